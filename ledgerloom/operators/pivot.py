@@ -112,31 +112,26 @@ def _cells_pivoted(ledger, rows, cols, value, parts, keys) -> DataFrame:
     return wide.toDF(*rows, *(f"c{i}_{p}" for i in range(len(keys)) for p in parts))
 
 
-def _across(part: str, cells: list[Column]) -> Column:
+def _across(part: str, keys: int, scale: int) -> str:
     """Combine one part over all columns of a row."""
-    if len(cells) == 1:
-        return cells[0]
-    if part == "max":
-        return F.array_max(F.array(*cells))
-    if part == "min":
-        return F.array_min(F.array(*cells))
-    number = "decimal(38,2)" if part == "sum" else "bigint"
-    zero = F.lit(0).cast(number)
-    return F.aggregate(
-        F.array(*cells), zero, lambda acc, x: (acc + F.coalesce(x, zero)).cast(number)
+    cells = ", ".join(f"c{i}_{part}" for i in range(keys))
+    if part in ("max", "min"):
+        return f"array_{part}(array({cells}))"
+    number = f"decimal(38,{scale})" if part == "sum" else "bigint"
+    return (
+        f"aggregate(array({cells}), cast(0 as {number}), "
+        f"(total, x) -> cast(total + coalesce(x, 0) as {number}))"
     )
 
 
-def _printed(agg: str, parts: dict[str, Column], fill: int, round_to: int | None) -> Column:
+def _printed(agg: str, parts: dict[str, str], fill: int, round_to: int | None) -> Column:
+    """The shown value of a cell. As SQL text: wide pivots have many of them."""
     if agg == "count":
-        return F.coalesce(parts["count"], F.lit(fill)).cast("bigint")
-    if agg == "mean":
-        shown = F.when(parts["count"] > 0, parts["sum"].cast("double") / parts["count"])
-    else:
-        shown = parts[agg]
+        return F.expr(f"cast(coalesce({parts['count']}, {fill}) as bigint)")
+    shown = parts.get(agg) or f"cast({parts['sum']} as double) / nullif({parts['count']}, 0)"
     if round_to is not None:
-        shown = F.bround(shown, round_to)
-    return F.coalesce(shown, F.lit(fill))
+        shown = f"bround({shown}, {round_to})"
+    return F.expr(f"coalesce({shown}, {fill})")
 
 
 def pivot(
@@ -175,10 +170,7 @@ def pivot(
     cells = _cells_direct if len(keys) <= direct_columns else _cells_pivoted
     wide = cells(ledger, rows, cols, value, parts, keys)
 
-    def cell(i: int) -> dict[str, Column]:
-        return {p: F.col(f"c{i}_{p}") for p in parts}
-
-    some_part = F.coalesce(*(F.col(f"c{i}_{parts[0]}") for i in range(len(keys))))
+    some_part = F.expr(f"coalesce({', '.join(f'c{i}_{parts[0]}' for i in range(len(keys)))})")
     if not rows:
         seen = F.col("c0_count") > 0 if agg == "count" and len(keys) == 1 else some_part.isNotNull()
         table = wide.filter(seen).withColumn("is_total", F.lit(True))
@@ -199,10 +191,12 @@ def pivot(
         table = wide.withColumn("is_total", F.lit(False))
 
     shown = [
-        _printed(agg, cell(i), fill, round_to).alias(name) for i, name in enumerate(names)
+        _printed(agg, {p: f"c{i}_{p}" for p in parts}, fill, round_to).alias(name)
+        for i, name in enumerate(names)
     ]
     if cols and margins:
-        across = {p: _across(p, [F.col(f"c{i}_{p}") for i in range(len(keys))]) for p in parts}
+        scale = getattr(ledger.schema[value].dataType, "scale", 0)
+        across = {p: _across(p, len(keys), scale) for p in parts}
         shown.append(_printed(agg, across, fill, round_to).alias(total_name))
     if ordered and rows:
         table = table.orderBy("is_total", *rows)

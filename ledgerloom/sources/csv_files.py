@@ -17,7 +17,6 @@ from ledgerloom.schema import AMOUNT_TYPE, NULL_TOKENS, SOURCE_COLUMNS, TEXT_COL
 
 # A whole quoted field, where "" stands for one quote.
 _QUOTED_FIELD = r'(?:^|(?<=,))"(?:[^"]++|"")*+"(?=,|\r?$)'
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$"
 _CORRUPT = "_corrupt_line"
 _TOO_LONG = "_too_long"
 
@@ -92,10 +91,13 @@ def _text(column: Column) -> Column:
     return F.when(missing, F.lit("")).otherwise(column)
 
 
-def _whole_number(column: Column) -> Column:
-    """Text to int, cutting decimals (2024.0, 2024.7 -> 2024); NULL if it isn't one."""
-    number = F.when(column.rlike(_NUMBER), column).try_cast("double")
-    return F.when(F.abs(number) < 1e9, number).cast("int")
+def _whole_number(column: Column, low: int, high: int) -> Column:
+    """Text to int in a range, cutting decimals (2024.0, 2024.7 -> 2024); else NULL.
+
+    Read as a decimal: unlike a double it takes no "inf", "nan" or "1d".
+    """
+    number = column.try_cast("decimal(38,18)")
+    return F.when((number >= low) & (number < high + 1), number.cast("int"))
 
 
 def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame:
@@ -118,17 +120,13 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
     extras = [n for n in names.values() if n not in known]
     too_long = F.col(_TOO_LONG) if _TOO_LONG in raw.columns else F.lit(False)
     digits = F.replace(source["amount"], F.lit(","), F.lit(""))
-    number = F.when(digits.rlike(_NUMBER), F.trim(digits))
-    year, month = _whole_number(source["year"]), _whole_number(source["month"])
 
     typed = raw.select(
         *(_text(source[c]).alias(c) for c in TEXT_COLUMNS),
-        F.when(year.between(1, 9999), year).alias("year"),
-        F.when(month.between(1, 12), month).alias("month"),
-        number.try_cast(amount_type).alias("amount"),
-        F.coalesce(
-            number.try_cast(amount_type) != number.try_cast("decimal(38,16)"), F.lit(False)
-        ).alias("over_precise"),
+        _whole_number(source["year"], 1, 9999).alias("year"),
+        _whole_number(source["month"], 1, 12).alias("month"),
+        digits.try_cast(amount_type).alias("amount"),
+        digits.try_cast("decimal(38,16)").alias("_exact"),
         *(_text(source[c]).alias(c) for c in extras),
         source["year"].alias("_year"),
         source["month"].alias("_month"),
@@ -149,7 +147,7 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
         "amount",
         F.make_date("year", "month", F.lit(1)).alias("date"),
         *(F.col(f"`{c}`") for c in extras),
-        "over_precise",
+        F.coalesce(F.col("amount") != F.col("_exact"), F.lit(False)).alias("over_precise"),
         "reject_reason",
         *(F.when(bad, F.col(f"_{c}")).alias(f"{c}_text") for c in ("year", "month", "amount")),
     )

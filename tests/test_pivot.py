@@ -1,0 +1,208 @@
+"""The pivot: hand-made tables, pandas on random ledgers, and what it rejects."""
+
+import random
+
+import pandas as pd
+import pytest
+
+from ledgerloom.operators.pivot import column_name, pivot
+from ledgerloom.schema import AGGREGATES, TOTAL
+from tests.conftest import make_ledger
+
+BOTH = pytest.mark.parametrize("direct_columns", [32, 0], ids=["direct", "pivoted"])
+
+ORG_CATEGORY = {
+    "sum": [(2000, 20000, -5000, 17000), (-2000, 80000, -8000, 70000), (0, 100000, -13000, 87000)],
+    "mean": [
+        (2000, 10000, -2500, 3400),
+        (-2000, 40000, -8000, 17500),
+        (0, 25000, -4333.33, 9666.67),
+    ],
+    "count": [(1, 2, 2, 5), (1, 2, 1, 4), (2, 4, 3, 9)],
+    "max": [(2000, 30000, 0, 30000), (-2000, 40000, -8000, 40000), (2000, 40000, 0, 40000)],
+    "min": [
+        (2000, -10000, -5000, -10000),
+        (-2000, 40000, -8000, -8000),
+        (-2000, -10000, -8000, -10000),
+    ],
+}
+
+
+def body(table, keys):
+    return [tuple(r[:keys]) for r in table], [tuple(map(float, r[keys:])) for r in table]
+
+
+@BOTH
+@pytest.mark.parametrize("agg", AGGREGATES)
+def test_org_by_category(toy, agg, direct_columns):
+    table = pivot(toy, ["org"], ["category"], agg=agg, direct_columns=direct_columns)
+    assert table.columns == ["org", "is_total", "fee", "rent", "repair", TOTAL]
+    keys, cells = body(table.collect(), 2)
+    assert keys == [("O1", False), ("O2", False), (TOTAL, True)]
+    assert cells == [tuple(map(float, r)) for r in ORG_CATEGORY[agg]]
+
+
+@BOTH
+def test_two_levels_in_typed_order(toy, direct_columns):
+    table = pivot(toy, ["org"], ["category", "month"], direct_columns=direct_columns)
+    assert table.columns[2:] == [
+        "fee|2", "rent|2", "rent|10", "rent|12", "repair|2", "repair|10", "repair|12", TOTAL,
+    ]
+    keys, cells = body(table.collect(), 2)
+    assert cells[-1] == (0, 20000, 40000, 40000, -5000, 0, -8000, 87000)
+
+
+@BOTH
+def test_defaults_and_blank_keys(toy, direct_columns):
+    table = pivot(toy, direct_columns=direct_columns).collect()
+    assert [(r.property_id, r.house_type) for r in table] == [
+        ("P1", "H1"), ("P2", "H2"), ("P3", ""), ("P4", "H1"), (TOTAL, ""),
+    ]
+    assert pivot(toy, ["org"], ["shop"]).columns[2] == "(blank)"
+
+
+def test_rows_only(toy):
+    table = pivot(toy, ["org", "shop"], [], agg="mean")
+    assert table.columns == ["org", "shop", "is_total", TOTAL]
+    keys, cells = body(table.collect(), 3)
+    assert keys == [
+        ("O1", "S1", False), ("O1", "S2", False), ("O2", "", False), ("O2", "S3", False),
+        (TOTAL, "", True),
+    ]
+    assert cells == [(6666.67,), (-1500.0,), (19000.0,), (16000.0,), (9666.67,)]
+
+
+@BOTH
+def test_columns_only(toy, direct_columns):
+    table = pivot(toy, [], ["category"], agg="count", direct_columns=direct_columns)
+    assert table.columns == ["is_total", "fee", "rent", "repair", TOTAL]
+    assert [tuple(r) for r in table.collect()] == [(True, 2, 4, 3, 9)]
+
+
+def test_without_margins(toy):
+    table = pivot(toy, ["org"], ["category"], margins=False)
+    assert table.columns == ["org", "fee", "rent", "repair"]
+    assert table.count() == 2
+
+
+@pytest.mark.parametrize("agg", AGGREGATES)
+@pytest.mark.parametrize("rows,cols", [(["org"], ["category"]), (["org"], []), ([], ["category"])])
+def test_empty_selection_gives_no_row(nothing, rows, cols, agg):
+    assert pivot(nothing, rows, cols, agg=agg).collect() == []
+
+
+def test_a_key_like_the_total_label_stays_apart(spark):
+    ledger = make_ledger(spark, [(TOTAL, "", "O", "S", "c", 2024, 1, "1.00")])
+    table = pivot(ledger, ["property_id"], ["category"]).collect()
+    assert [(r.property_id, r.is_total) for r in table] == [(TOTAL, False), (TOTAL, True)]
+
+
+def test_rejected_before_any_work(toy):
+    with pytest.raises(ValueError, match="at least one"):
+        pivot(toy, [], [])
+    with pytest.raises(ValueError, match="more than once: org"):
+        pivot(toy, ["org"], ["org"])
+    with pytest.raises(ValueError, match="not a row field: month"):
+        pivot(toy, ["month"], ["category"])
+    with pytest.raises(ValueError, match="not a column field: property_id"):
+        pivot(toy, ["org"], ["property_id"])
+    with pytest.raises(ValueError, match="not a aggregate field: median"):
+        pivot(toy, ["org"], ["category"], agg="median")
+    with pytest.raises(ValueError, match="not a value field: year"):
+        pivot(toy, ["org"], ["category"], value="year")
+
+
+def test_clashing_names_and_too_many_columns(spark, toy):
+    ledger = make_ledger(spark, [("P", "", "O", "S", TOTAL, 2024, 1, "1.00")])
+    with pytest.raises(ValueError, match="clash"):
+        pivot(ledger, ["org"], ["category"])
+    with pytest.raises(ValueError, match="more than 2 pivot columns"):
+        pivot(toy, ["org"], ["category"], max_columns=2)
+    assert len(pivot(toy, ["org"], ["category"], max_columns=3).columns) == 6
+
+
+def test_names_keep_separators_apart():
+    assert column_name(("a|b", "c")) != column_name(("a", "b|c"))
+    assert column_name(("a\\", "b")) != column_name(("a", "\\b"))
+
+
+@BOTH
+def test_odd_column_values(spark, direct_columns):
+    values = ["a.b", "a|b", "a`b", "a'b", 'a"b', "a\\b", "A", "a", " ", "%s", "费用"]
+    rows = [("P", "", "O", "S", v, 2024, 1, f"{i}.50") for i, v in enumerate(values)]
+    table = pivot(
+        make_ledger(spark, rows), ["org"], ["category", "shop"], direct_columns=direct_columns
+    )
+    order = sorted(values)
+    assert table.columns[2:-1] == [column_name((v, "S")) for v in order]
+    cells = table.toDF(*map(str, range(len(table.columns)))).first()
+    assert [float(x) for x in cells[2:-1]] == [values.index(v) + 0.5 for v in order]
+
+
+def random_rows(seed, n=300):
+    r = random.Random(seed)
+    return [
+        (
+            f"P{r.randrange(20)}",
+            r.choice(["", "H1", "H2"]),
+            r.choice(["O1", "O2", "O3"]),
+            r.choice(["", "S1", "S2", "S3"]),
+            r.choice(["rent", "fee", "repair", ""]),
+            r.choice([2022, 2023, 2024]),
+            r.randrange(1, 13),
+            f"{r.randrange(-10**7, 10**7) / 100:.2f}",
+        )
+        for _ in range(n)
+    ]
+
+
+FIELDS = ["property_id", "house_type", "org", "shop", "category", "year", "month", "amount"]
+
+
+@pytest.mark.parametrize("agg", AGGREGATES)
+@pytest.mark.parametrize(
+    "rows,cols",
+    [
+        (["org"], ["category"]),
+        (["org", "shop"], ["category"]),
+        (["property_id", "house_type"], ["category", "year"]),
+        (["house_type"], ["month", "org"]),
+    ],
+)
+def test_like_pandas_on_random_ledgers(spark, agg, rows, cols):
+    data = random_rows(len(agg) + len(rows) * 10 + len(cols) * 100)
+    frame = pd.DataFrame(data, columns=FIELDS).astype({"amount": float})
+    expected = pd.pivot_table(
+        frame, index=rows, columns=cols, values="amount", aggfunc=agg,
+        fill_value=0, margins=True, margins_name=TOTAL,
+    )
+    names = [
+        TOTAL if (k if isinstance(k, str) else k[0]) == TOTAL
+        else column_name(k if isinstance(k, tuple) else (k,))
+        for k in expected.columns
+    ]
+    table = pivot(make_ledger(spark, data), rows, cols, agg=agg, round_to=None)
+    found = table.collect()
+    assert table.columns[len(rows) + 1 :] == names
+    assert [tuple(r[: len(rows)]) for r in found] == [
+        k if isinstance(k, tuple) else (k,) for k in expected.index
+    ]
+    for r, (_, e) in zip(found, expected.iterrows()):
+        assert [float(x) for x in r[len(rows) + 1 :]] == pytest.approx(list(e), abs=1e-6)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_totals_agree(spark, seed):
+    ledger = make_ledger(spark, random_rows(seed))
+    table = pivot(ledger, ["property_id"], ["category", "year"]).collect()
+    cells = [[x for x in r[2:]] for r in table]
+    *rows, total = cells
+    assert total[-1] == ledger.agg({"amount": "sum"}).first()[0]
+    assert total == [sum(column) for column in zip(*rows)]
+    assert all(r[-1] == sum(r[:-1]) for r in cells)
+
+
+def test_rounding_is_half_to_even(spark):
+    rows = [("P", "", "O", "S", "c", 2024, 1, a) for a in ("0.12", "0.13")]
+    table = pivot(make_ledger(spark, rows), ["org"], ["category"], agg="mean")
+    assert table.first().c == 0.12

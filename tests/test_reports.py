@@ -1,0 +1,278 @@
+"""Every report on the nine-row ledger, against results worked out by hand."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import formats
+from ledgerloom.functions import measures as m
+from ledgerloom.operators import filters, ranking, totals
+from ledgerloom.plans import monthly, overview, pivot_export, properties, structure
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def near(found, expected):
+    assert len(found) == len(expected), found
+    for f, e in zip(found, expected):
+        assert len(f) == len(e)
+        for x, y in zip(f, e):
+            assert x == (pytest.approx(y) if isinstance(y, float) else y), (f, e)
+
+
+# selections
+
+
+def test_latest_period_is_latest_month_inside_latest_year(toy):
+    assert rows(filters.latest_period(toy)) == [(2024, 10)]
+
+
+def test_at_period_defaults(toy):
+    assert filters.at_period(toy).count() == 2
+    assert filters.at_period(toy, 2023).count() == 2
+    assert filters.at_period(toy, 2024, 2).count() == 5
+    assert filters.at_period(toy, month=2).count() == 5
+    assert filters.at_period(toy, 2023, 2).count() == 0
+
+
+def test_select_ignores_none_and_combines(toy):
+    assert filters.select(toy, org=None, category=None).count() == 9
+    assert filters.select(toy, org="O1", category="rent").count() == 2
+    assert filters.select(toy, house_type="").count() == 2
+
+
+def test_any_of_ignores_empty_lists(toy):
+    assert filters.any_of(toy, {"org": [], "year": None}).count() == 9
+    assert filters.any_of(toy, {"org": ["O2"], "month": [2, 10]}).count() == 2
+    assert filters.any_of(toy, {"shop": [""]}).count() == 2
+
+
+def test_options(toy):
+    assert rows(filters.options(toy, "shop")) == [("",), ("S1",), ("S2",), ("S3",)]
+    assert rows(filters.options(toy, "year", descending=True)) == [(2024,), (2023,)]
+    assert rows(filters.options(toy, "month")) == [(2,), (10,), (12,)]
+    assert rows(filters.month_options(toy)) == [(10,), (2,)]
+    assert rows(filters.month_options(toy, 2023)) == [(12,)]
+    assert rows(filters.property_options(toy, 2)) == [("P1",), ("P2",)]
+
+
+# overview
+
+
+def test_overview_kpis(toy):
+    near(rows(overview.kpis(toy)), [(2024, 10, 4.0, 0.0, 4.0, "normal", 9)])
+
+
+def test_overview_cards(toy):
+    assert rows(overview.cards(toy)) == [(2024, 10, "4.00", "0.00", "4.00", "normal", "9")]
+
+
+def test_data_range_counts_blanks(toy):
+    row = overview.data_range(toy).first().asDict()
+    assert row == {
+        "first_year": 2023,
+        "last_year": 2024,
+        "properties": 4,
+        "orgs": 2,
+        "shops": 4,
+        "house_types": 3,
+        "categories": 3,
+    }
+    assert overview.data_range_approx(toy).first().asDict() == row
+
+
+def test_top_income_categories(toy):
+    near(rows(overview.top_income_categories(toy)), [("rent", 11.0), ("fee", 0.2)])
+    near(rows(overview.top_income_categories(toy, 1)), [("rent", 11.0)])
+
+
+def test_org_category(toy):
+    table = overview.org_category(toy)
+    assert table.columns == ["org", "fee", "rent", "repair"]
+    near(rows(table), [("O1", 0.2, 2.0, -0.5), ("O2", -0.2, 8.0, -0.8)])
+
+
+def test_preview_is_the_head_of_the_full_order(toy):
+    order = ["year", "month", *(c for c in toy.columns if c not in ("year", "month"))]
+    for n in (1, 2, 3, 8, 9, 20):
+        assert rows(ranking.preview(toy, n)) == rows(toy.orderBy(*order).limit(n))
+
+
+# one month
+
+
+def test_month_kpis_use_category_nets(toy):
+    near(rows(monthly.kpis(toy, 2024, 2)), [(2.0, 0.5, 1.5, "normal", 25.0)])
+
+
+def test_gross_differs_from_net_basis(toy):
+    month = filters.at_period(toy, 2024, 2).withColumn("all", F.lit(0))
+    assert [tuple(map(float, r[1:])) for r in totals.gross_by(month, "all").collect()] == [
+        (32000.0, 17000.0, 15000.0)
+    ]
+
+
+def test_month_cards(toy):
+    assert rows(monthly.cards(toy, 2024, 2)) == [("2.00", "0.50", "1.50", "normal", "25.00%")]
+
+
+def test_category_net_zero_is_expense(toy):
+    near(
+        rows(monthly.category_net(toy, 2024, 2)),
+        [("rent", "income", 2.0), ("repair", "expense", -0.5), ("fee", "expense", 0.0)],
+    )
+
+
+def test_shares(toy):
+    near(rows(monthly.income_share(toy, 2024, 2)), [("rent", 2.0, 1.0)])
+    near(rows(monthly.expense_share(toy, 2024, 2)), [("repair", 0.5, 1.0)])
+
+
+def test_house_types_leave_out_blank(toy):
+    near(
+        rows(monthly.house_types(toy, 2024, 2)),
+        [("H1", 3.0, 1.0, 2.0), ("H2", 0.2, 0.5, -0.3)],
+    )
+    assert rows(monthly.house_types_text(toy, 2024, 2))[1] == ("H2", "0.20", "0.50", "-0.30")
+
+
+# one year
+
+
+def test_monthly_series_has_no_filled_gaps(toy):
+    near(rows(structure.monthly_series(toy, 2024)), [(2, 1.5), (10, 4.0)])
+    near(rows(structure.monthly_series(toy, 2024, "fee", "O2")), [(2, -0.2)])
+
+
+def test_category_net_year(toy):
+    near(rows(structure.category_net(toy)), [("rent", 6.0), ("fee", 0.0), ("repair", -0.5)])
+
+
+def test_detail_order(toy):
+    found = [(r.property_id, r.category, float(r.amount)) for r in structure.detail(toy, 2024).collect()]
+    assert found == [
+        ("P3", "rent", 40000.0),
+        ("P1", "rent", 30000.0),
+        ("P1", "rent", -10000.0),
+        ("P2", "repair", -5000.0),
+        ("P2", "fee", 2000.0),
+        ("P3", "fee", -2000.0),
+        ("P1", "repair", 0.0),
+    ]
+    head = structure.detail(toy, 2024, limit=3)
+    assert rows(head) == rows(structure.detail(toy, 2024))[:3]
+    assert head.columns == ["property_id", "org", "shop", "category", "month", "amount"]
+
+
+# properties
+
+
+def test_property_kpis(toy):
+    row = properties.kpis(toy, 2024).first()
+    assert row.all_properties == 4
+    assert row.active_properties == 3
+    assert row.gross_income_10k == pytest.approx(7.2)
+    assert row.income_per_property_10k == pytest.approx(2.4)
+    card = properties.cards(toy, 2024).first()
+    assert (card.gross_income_10k, card.income_per_property_10k) == ("7.20", "2.40")
+
+
+def test_property_kpis_of_one_property_without_income(toy):
+    row = properties.kpis(toy, 2024, "P2", "repair").first()
+    assert (row.all_properties, row.active_properties) == (4, 1)
+    assert (row.gross_income_10k, row.income_per_property_10k) == (0.0, 0.0)
+
+
+def test_property_rankings(toy):
+    near(rows(properties.top_income(toy, 2024)), [("P3", 4.0), ("P1", 3.0), ("P2", 0.2)])
+    near(rows(properties.top_expense(toy, 2024)), [("P1", 1.0), ("P2", 0.5), ("P3", 0.2)])
+    near(rows(properties.top_income(toy, 2024, k=1)), [("P3", 4.0)])
+
+
+def test_ties_are_ordered_by_key(toy):
+    totals_ = toy.filter("amount > 0").groupBy("property_id").agg(F.sum("amount").alias("v"))
+    assert [r[0] for r in ranking.top(totals_, "v", "property_id", 2).collect()] == ["P3", "P4"]
+
+
+def test_property_detail(toy):
+    assert properties.detail(toy, 2024, "P2").count() == 2
+    assert properties.detail(toy, 2024, "P2", "fee").count() == 1
+
+
+# nothing selected
+
+
+def test_empty_ledger(nothing):
+    assert rows(filters.latest_period(nothing)) == []
+    assert rows(overview.kpis(nothing)) == [(None, None, 0.0, 0.0, 0.0, "inverse", 0)]
+    assert rows(monthly.kpis(nothing)) == [(0.0, 0.0, 0.0, "inverse", 0.0)]
+    assert rows(overview.org_category(nothing)) == []
+    for table in (
+        overview.top_income_categories(nothing),
+        ranking.preview(nothing),
+        monthly.category_net(nothing),
+        monthly.income_share(nothing),
+        monthly.house_types(nothing),
+        structure.monthly_series(nothing),
+        structure.detail(nothing),
+        properties.top_income(nothing),
+    ):
+        assert table.isEmpty()
+    row = properties.kpis(nothing).first()
+    assert (row.active_properties, row.income_per_property_10k, row.all_properties) == (0, 0.0, 0)
+
+
+def test_a_month_without_income_or_expense(toy):
+    near(rows(monthly.kpis(toy, 2024, 10)), [(4.0, 0.0, 4.0, "normal", 0.0)])
+    assert monthly.expense_share(toy, 2024, 10).isEmpty()
+    fees = toy.filter("category = 'fee' and org = 'O2'")
+    near(rows(monthly.kpis(fees)), [(0.0, 0.2, -0.2, "inverse", 0.0)])
+
+
+# whole reports
+
+
+def test_reports_hold_all_their_tables(toy):
+    assert set(overview.report(toy)) == {
+        "kpis",
+        "org_category",
+        "data_range",
+        "top_income_categories",
+        "preview",
+    }
+    assert set(monthly.report(toy)) == {
+        "kpis",
+        "income_share",
+        "expense_share",
+        "category_net",
+        "house_types",
+    }
+    assert set(structure.report(toy)) == {"monthly_series", "category_net", "detail"}
+    assert set(properties.report(toy)) == {"kpis", "top_income", "top_expense", "detail"}
+    free = pivot_export.report(toy, org=["O1"], rows=["org"], cols=["month"])
+    assert set(free) == {"pivot", "preview", "rows"}
+    assert free["rows"].count() == 5
+
+
+# expressions
+
+
+def test_formats(spark):
+    df = spark.sql("select 0.125D a, 2.675D b, -1234.5D c, 1234567L n")
+    row = df.select(
+        *(formats.two_decimals(F.col(c)) for c in "abc"), formats.thousands(F.col("n"))
+    ).first()
+    assert tuple(row) == (f"{0.125:.2f}", f"{2.675:.2f}", f"{-1234.5:.2f}", f"{1234567:,}")
+
+
+def test_guarded_ratio(spark):
+    df = spark.sql("select 1D a, 0D z, -2D n")
+    ratio = m.guarded_ratio
+    assert tuple(
+        df.select(
+            ratio(F.col("a"), F.col("z")),
+            ratio(F.col("a"), F.col("n")),
+            ratio(F.col("a"), F.lit(4.0), 100.0),
+        ).first()
+    ) == (0.0, 0.0, 25.0)
