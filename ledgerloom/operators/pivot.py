@@ -44,14 +44,14 @@ def check_fields(rows: Sequence[str], cols: Sequence[str], value: str, agg: str)
     if not rows and not cols:
         raise ValueError("choose at least one row field or column field")
     for given, allowed, role in (
-        (rows, ROW_FIELDS, "row"),
-        (cols, COLUMN_FIELDS, "column"),
-        ([value], VALUE_FIELDS, "value"),
+        (rows, ROW_FIELDS, "row field"),
+        (cols, COLUMN_FIELDS, "column field"),
+        ([value], VALUE_FIELDS, "value field"),
         ([agg], AGGREGATES, "aggregate"),
     ):
         unknown = [f for f in given if f not in allowed]
         if unknown:
-            raise ValueError(f"not a {role} field: {', '.join(unknown)}")
+            raise ValueError(f"no such {role}: {', '.join(unknown)}")
     fields = [*rows, *cols]
     twice = sorted({f for f in fields if fields.count(f) > 1})
     if twice:

@@ -6,8 +6,9 @@ typed ledger and says, row by row, why a row can't be used.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ _CORRUPT = "_corrupt_line"
 _TOO_LONG = "_too_long"
 
 
-def files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
     """Files in which a quoted field may run over the end of a line.
 
     A line that still holds a quote after its whole quoted fields are taken out
@@ -30,14 +31,15 @@ def files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> list[st
     """
     line = F.col("value")
     rest = F.regexp_replace(line, _QUOTED_FIELD, "")
-    found = (
-        spark.read.text(list(paths))
-        .select("value", "_metadata.file_path")
-        .filter(line.contains('"') & rest.contains('"'))
-        .select("file_path")
-        .distinct()
-    )
-    return [row.file_path for row in found.collect()]
+    lines = spark.read.text(path).select("value", "_metadata.file_path")
+    return _paths(lines.filter(line.contains('"') & rest.contains('"')))
+
+
+def _paths(lines: DataFrame) -> list[str]:
+    """Distinct files of some lines, as the reader wants them: not URI-encoded, and
+    without characters that have a meaning in path patterns."""
+    found = (unquote(r.file_path) for r in lines.select("file_path").distinct().collect())
+    return sorted(re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in found)
 
 
 def _read(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
@@ -73,13 +75,13 @@ def read_csv(
     """
     parts = []
     for path in paths:
-        whole = [] if multi_line is not None else files_with_line_breaks(spark, [path])
+        whole = [] if multi_line is not None else files_with_line_breaks(spark, path)
         if not whole:
             parts.append(_read(spark, [path], bool(multi_line)))
             continue
-        every = spark.read.text(path).inputFiles()
+        every = _paths(spark.read.text(path).select("_metadata.file_path"))
         split = sorted(set(every) - set(whole))
-        parts.append(_read(spark, sorted(set(every) & set(whole)), True))
+        parts.append(_read(spark, whole, True))
         if split:
             parts.append(_read(spark, split, False))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

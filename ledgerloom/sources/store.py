@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerloom.schema import LEDGER_SCHEMA
 from ledgerloom.sources.csv_files import accepted, parse, quality, read_csv, rejects
 
 PARTITIONS = ["year", "month"]
+_NO_TEXT = [T.StructField(c, T.StringType()) for c in LEDGER_SCHEMA.names]
 
 
 def write_ledger(ledger: DataFrame, path: str) -> None:
@@ -29,17 +33,35 @@ def ingest(spark: SparkSession, path: str, *csv_paths: str, multi_line: bool | N
     write_ledger(parsed.withColumn("rejected", bad), path)
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table with its partition columns as ints.
+
+    Spark takes their type from folder names, which tell nothing if every year or
+    month is missing; a table without rows has no file to take a schema from.
+    """
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        nothing = parse(spark.createDataFrame([], T.StructType(_NO_TEXT)))
+        stored = nothing.withColumn("rejected", F.lit(0))
+    types = dict(stored.dtypes)
+    odd = [c for c in ("rejected", *PARTITIONS) if types.get(c, "int") != "int"]
+    return stored.withColumns({c: F.col(c).cast("int") for c in odd})
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """A stored ledger, without rejected rows."""
-    stored = spark.read.parquet(path)
+    stored = _read(spark, path)
     if "rejected" in stored.columns:
         stored = accepted(stored.filter("rejected = 0"))
     return stored
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return rejects(spark.read.parquet(path).filter("rejected = 1"))
+    return rejects(_read(spark, path).filter("rejected = 1"))
 
 
 def read_quality(spark: SparkSession, path: str) -> DataFrame:
-    return quality(spark.read.parquet(path))
+    return quality(_read(spark, path))

@@ -102,13 +102,13 @@ def test_rejected_before_any_work(toy):
         pivot(toy, [], [])
     with pytest.raises(ValueError, match="more than once: org"):
         pivot(toy, ["org"], ["org"])
-    with pytest.raises(ValueError, match="not a row field: month"):
+    with pytest.raises(ValueError, match="no such row field: month"):
         pivot(toy, ["month"], ["category"])
-    with pytest.raises(ValueError, match="not a column field: property_id"):
+    with pytest.raises(ValueError, match="no such column field: property_id"):
         pivot(toy, ["org"], ["property_id"])
-    with pytest.raises(ValueError, match="not a aggregate field: median"):
+    with pytest.raises(ValueError, match="no such aggregate: median"):
         pivot(toy, ["org"], ["category"], agg="median")
-    with pytest.raises(ValueError, match="not a value field: year"):
+    with pytest.raises(ValueError, match="no such value field: year"):
         pivot(toy, ["org"], ["category"], value="year")
 
 
