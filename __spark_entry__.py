@@ -107,10 +107,14 @@ def _csv_pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """Careless CSV files of the whole ledger, ingested: a stored ledger's path."""
-    source, path = _scratch(spark, "messy-csv"), _scratch(spark, "ingested")
-    csv_files.write_csv(_messy(workspace.ledger(spark, sf_dir)), source)
-    store.ingest(spark, path, source)
-    return path
+
+    def build() -> str:
+        source, path = _scratch(spark, "messy-csv"), _scratch(spark, "ingested")
+        csv_files.write_csv(_messy(workspace.ledger(spark, sf_dir)), source)
+        store.ingest(spark, path, source)
+        return path
+
+    return workspace.once(spark, sf_dir, "ingested", build)
 
 
 def _ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

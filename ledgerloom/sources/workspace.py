@@ -10,14 +10,18 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.schema import LEDGER_SCHEMA
 from ledgerloom.sources import order_tables
 from ledgerloom.sources.store import read_ledger, write_ledger
 
 _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
-_ledgers: dict[tuple[str, str], DataFrame] = {}
+T = TypeVar("T")
+_built: dict[tuple[str, str, str], Any] = {}
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -50,15 +54,20 @@ def _fingerprint(spark: SparkSession, folder: str) -> str:
     return seen.hexdigest()
 
 
+def once(spark: SparkSession, folder: str, name: str, build: Callable[[], T]) -> T:
+    """What ``build`` gives, made once per application and state of the order tables."""
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, folder), name)
+    if key not in _built:
+        _built[key] = build()
+    return _built[key]
+
+
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger of a folder of order tables, stored on first use.
 
     On a cluster without a shared folder it stays a plain join of the tables.
     """
-    key = (spark.sparkContext.applicationId, _fingerprint(spark, folder))
-    if key not in _ledgers:
-        _ledgers[key] = _store(spark, folder)
-    return _ledgers[key]
+    return once(spark, folder, "ledger", lambda: _store(spark, folder))
 
 
 def _store(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,4 +80,4 @@ def _store(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "ledger")
     write_ledger(order_tables.postings(spark, folder, properties), path)
     stored = read_ledger(spark, path)
-    return stored.select(*order_tables.LEDGER_SCHEMA.names)
+    return stored.select(*LEDGER_SCHEMA.names)

@@ -10,10 +10,10 @@ import duckdb
 TABLES = ["region", "nation", "customer", "orders", "lineitem"]
 
 
-def connect(folder: str) -> duckdb.DuckDBPyConnection:
+def connect(folder: str, files: str = "") -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
-        path = os.path.join(folder, f"{name}.parquet")
+        path = os.path.join(folder, f"{name}.parquet") + files
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 
@@ -25,15 +25,11 @@ def canonical(columns, rows) -> list[tuple]:
     def cell(v):
         if isinstance(v, float):
             return "nan" if math.isnan(v) else repr(v + 0.0)
-        return "" + repr(v)
+        return repr(v)
 
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-def kinds(rows, n) -> list[set]:
-    return [{type(r[i]).__name__ for r in rows if r[i] is not None} for i in range(n)]
-
-
 def difference(spark_df, con, sql: str) -> str | None:
     """What differs, or None."""
     result = con.execute(sql)
