@@ -6,18 +6,15 @@ typed ledger and says, row by row, why a row can't be used.
 
 from __future__ import annotations
 
-import re
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schema import AMOUNT_TYPE, NULL_TOKENS, SOURCE_COLUMNS, TEXT_COLUMNS
+from ledgerloom.sources import csv_records
 
-# A whole quoted field, where "" stands for one quote.
-_QUOTED_FIELD = r'(?:^|(?<=,))"(?:[^"]++|"")*+"(?=,|\r?$)'
 _CORRUPT = "_corrupt_line"
 _TOO_LONG = "_too_long"
 
@@ -29,61 +26,68 @@ def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
     doesn't end outside quotes for certain. If a file has no such line, every
     line of it is a record and Spark may split the file anywhere.
     """
-    line = F.col("value")
-    rest = F.regexp_replace(line, _QUOTED_FIELD, "")
-    lines = spark.read.text(path).select("value", "_metadata.file_path")
-    return _paths(lines.filter(line.contains('"') & rest.contains('"')))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return csv_records.files_of(lines.filter(csv_records.has_open_quote(F.col("value"))))
 
 
-def _paths(lines: DataFrame) -> list[str]:
-    """Distinct files of some lines, as the reader wants them: not URI-encoded, and
-    without characters that have a meaning in path patterns."""
-    found = (unquote(r.file_path) for r in lines.select("file_path").distinct().collect())
-    return sorted(re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in found)
+def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return (
+        spark.read.option("header", True)
+        .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        # The header of every file must be the one the columns are taken from.
+        .option("enforceSchema", False)
+    )
 
 
-def _read(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
-    def reader():
-        return (
-            spark.read.option("header", True)
-            .option("encoding", "UTF-8")
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            # The header of every file must be the one the columns are taken from.
-            .option("enforceSchema", False)
-        )
-
-    names = reader().csv(paths).columns
-    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
-    df = reader().schema(text).option("columnNameOfCorruptRecord", _CORRUPT).csv(paths)
-    # Spark drops surplus fields; count them so that such rows can be rejected.
-    plain = F.regexp_replace(F.col(_CORRUPT), r"(?s)" + _QUOTED_FIELD, "")
+def _mark_long_rows(df: DataFrame, columns: int) -> DataFrame:
+    """Spark drops surplus fields; count them so that such rows can be rejected."""
+    plain = F.regexp_replace(F.col(_CORRUPT), csv_records.QUOTED_FIELD, "")
     commas = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit("")))
-    too_long = F.coalesce(commas >= F.lit(len(names)), F.lit(False))
+    too_long = F.coalesce(commas >= F.lit(columns), F.lit(False))
     return df.withColumn(_TOO_LONG, too_long).drop(_CORRUPT)
 
 
+def _read(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    names = _reader(spark, multi_line).csv(paths).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
+    reader = _reader(spark, multi_line).option("columnNameOfCorruptRecord", _CORRUPT)
+    return _mark_long_rows(reader.schema(text).csv(paths), len(names))
+
+
+def _read_records(spark: SparkSession, files: list[str]) -> DataFrame:
+    names = _reader(spark, True).csv(files[0]).columns
+    return _mark_long_rows(csv_records.read(spark, files, names, _CORRUPT), len(names))
+
+
 def read_csv(
     spark: SparkSession, *paths: str, multi_line: bool | None = None
 ) -> DataFrame:
     """CSV files as text columns, whatever their column order.
 
     Each path (file, folder or pattern) is read with its own header and the
-    results are put together by name. A file is only read in one piece where
-    one of its fields holds a line break; ``multi_line`` set to True or False
-    skips that check.
+    results are put together by name. All files are read by many tasks, whether
+    their fields hold line breaks or not; only where line breaks and stray quotes
+    meet in one file does that file stay in one piece. ``multi_line`` skips the
+    checks: False if no field holds a line break, True to read files whole.
     """
     parts = []
     for path in paths:
-        whole = [] if multi_line is not None else files_with_line_breaks(spark, path)
-        if not whole:
+        breaks = [] if multi_line is not None else files_with_line_breaks(spark, path)
+        if not breaks:
             parts.append(_read(spark, [path], bool(multi_line)))
             continue
-        every = _paths(spark.read.text(path).select("_metadata.file_path"))
-        split = sorted(set(every) - set(whole))
-        parts.append(_read(spark, whole, True))
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"))
+        whole = csv_records.irregular_files(spark, breaks)
+        split = [f for f in csv_records.files_of(lines) if f not in breaks]
+        records = [f for f in breaks if f not in whole]
         if split:
             parts.append(_read(spark, split, False))
+        if records:
+            parts.append(_read_records(spark, records))
+        if whole:
+            parts.append(_read(spark, whole, True))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

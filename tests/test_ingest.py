@@ -1,6 +1,7 @@
 """CSV text to the stored ledger: messy cells, rejected rows, dialect, export."""
 
 import datetime
+import random
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans import pivot_export
 from ledgerloom.schema import LEDGER_SCHEMA, NULL_TOKENS, SOURCE_COLUMNS, TEXT_COLUMNS
-from ledgerloom.sources import csv_files, store
+from ledgerloom.sources import csv_files, csv_records, store
 
 HEADER = {ours: theirs for theirs, ours in SOURCE_COLUMNS.items()}
 GOOD = {
@@ -281,3 +282,69 @@ def test_exported_pivot_has_keys_and_totals(spark, toy, tmp_path):
 
 def test_text_columns_are_all_texts():
     assert [f.name for f in LEDGER_SCHEMA if f.dataType.simpleString() == "string"] == TEXT_COLUMNS
+
+
+# files with line breaks, read by many tasks
+
+
+def odd_texts(seed, n):
+    r = random.Random(seed)
+    pieces = ["a", '"', ",", "\n", "\r\n", "费", " ", "\n\n", '""', "b" * 40]
+    return ["".join(r.choice(pieces) for _ in range(r.randrange(0, 6))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed", range(3))
+def test_blocks_of_a_file_with_line_breaks(spark, tmp_path, seed, end):
+    texts = odd_texts(seed, 400)
+    lines = ["id,first,second,last"]
+    for i, t in enumerate(texts):
+        lines.append(",".join([str(i), cell(t), cell(texts[-i]), "x"]))
+    path = tmp_path / "in.csv"
+    path.write_bytes(("﻿" + end.join(lines) + end).encode())
+    expected = sorted((str(i), t or None, texts[-i] or None, "x") for i, t in enumerate(texts))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 20
+        assert csv_files.files_with_line_breaks(spark, str(path))
+        assert csv_records.irregular_files(spark, [str(path)]) == []
+        raw = csv_files.read_csv(spark, str(path))
+        assert raw.columns == ["id", "first", "second", "last", "_too_long"]
+        found = [tuple(r[:4]) for r in raw.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    key = lambda row: tuple(str(x) for x in row)
+    assert sorted(found, key=key) == sorted(expected, key=key)
+
+
+def test_stray_quotes_and_line_breaks_in_one_file(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('id,t,u\n1,5" pipe,z\n2,"a\nb",z\n3,6" pipe,z\n4,"c\nd",7"\n')
+    assert csv_files.files_with_line_breaks(spark, str(path))
+    assert len(csv_records.irregular_files(spark, [f"file://{path}"])) == 1
+    raw = csv_files.read_csv(spark, str(path))
+    assert sorted(tuple(r[:3]) for r in raw.collect()) == [
+        ("1", '5" pipe', "z"), ("2", "a\nb", "z"), ("3", '6" pipe', "z"), ("4", "c\nd", '7"'),
+    ]
+
+
+def test_headers_of_files_with_line_breaks(spark, tmp_path):
+    for name, header in (("a", '"id\nx",t'), ("b", '"id\nx",t')):
+        (tmp_path / f"{name}.csv").write_text(f'\n{header}\n\n1,"p\nq"\n"id\nx",t\n')
+    raw = csv_files.read_csv(spark, str(tmp_path))
+    assert raw.columns[:2] == ["id\nx", "t"]
+    assert sorted(tuple(r[:2]) for r in raw.collect()) == 2 * [("1", "p\nq")] + 2 * [("id\nx", "t")]
+    (tmp_path / "c.csv").write_text('t,"id\nx"\n1,"p\nq"\n')
+    with pytest.raises(ValueError, match="different headers"):
+        csv_files.read_csv(spark, str(tmp_path))
+
+
+def test_records_of_unlikely_length_are_not_gathered(spark, tmp_path, monkeypatch):
+    path = tmp_path / "in.csv"
+    path.write_text('id,t\n1,"a\nb"\n2,c\n')
+    monkeypatch.setattr(csv_records, "MAX_RECORD", 5)
+    assert len(csv_records.irregular_files(spark, [str(path)])) == 1
+    raw = csv_files.read_csv(spark, str(path))
+    assert sorted(tuple(r[:2]) for r in raw.collect()) == [("1", "a\nb"), ("2", "c")]
