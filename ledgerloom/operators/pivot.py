@@ -33,9 +33,7 @@ _PARTS = {
 _FROM_ROWS = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 _FROM_PARTS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
-# Up to this many columns each cell is its own conditional aggregate, which needs
-# a single shuffle. Beyond it the conditions per row cost more than the second
-# shuffle of Spark's pivot.
+# Up to this many columns a pivot by property is one conditional aggregate.
 DIRECT_COLUMNS = 32
 
 
@@ -70,18 +68,24 @@ def column_keys(ledger: DataFrame, cols: Sequence[str], max_columns: int) -> lis
     return [tuple(row) for row in found]
 
 
-def _escaped(value: object) -> str:
-    return str(value).replace("\\", "\\\\").replace("|", "\\|")
-
-
 def column_name(key: tuple) -> str:
     """``category|year``; blanks are shown, separators inside values are escaped."""
-    return "|".join(_escaped(v) or "(blank)" for v in key)
+    texts = (str(v).replace("\\", "\\\\").replace("|", "\\|") for v in key)
+    return "|".join(t or "(blank)" for t in texts)
 
 
-def _cells_direct(ledger, rows, cols, value, parts, keys) -> DataFrame:
-    """One conditional aggregate per cell: scan, partial aggregate, one shuffle."""
+def _one_shuffle(rows: list[str], cols: list[str], keys: list[tuple]) -> bool:
+    """Whether each cell is its own conditional aggregate of the rows.
 
+    Rows are then shuffled once, a property's cells together. That pays where the
+    table is long; a short table (organisations, stores) shuffles next to nothing
+    either way and Spark's pivot, which adds each row to one cell only, is faster.
+    So it is where conditions per row get many.
+    """
+    return not cols or ("property_id" in rows and len(keys) <= DIRECT_COLUMNS)
+
+
+def _cells_direct(ledger, rows, cols, value, parts, keys) -> DataFrame:
     def cell(key: tuple) -> Column:
         tests = [F.col(c) == v for c, v in zip(cols, key)]
         return F.when(reduce(Column.__and__, tests), F.col(value)) if tests else F.col(value)
@@ -96,17 +100,18 @@ def _cells_direct(ledger, rows, cols, value, parts, keys) -> DataFrame:
 
 
 def _cells_pivoted(ledger, rows, cols, value, parts, keys) -> DataFrame:
-    """Spark's pivot: cost per row doesn't depend on the number of columns."""
+    """Spark's pivot by one text per column tuple; lengths keep the texts apart."""
+    texts = [F.col(c).cast("string") for c in cols]
+    key = F.concat_ws(",", *map(F.length, texts[:-1]), *texts)
 
-    def escaped(column: str) -> Column:
-        text = F.replace(F.col(column).cast("string"), F.lit("\\"), F.lit("\\\\"))
-        return F.replace(text, F.lit("|"), F.lit("\\|"))
+    def key_text(values: tuple) -> str:
+        shown = [str(v) for v in values]
+        return ",".join([str(len(t)) for t in shown[:-1]] + shown)
 
-    texts = ["|".join(_escaped(v) for v in key) for key in keys]
     wide = (
-        ledger.select(*rows, value, F.concat_ws("|", *map(escaped, cols)).alias("_key"))
+        ledger.select(*rows, value, key.alias("_key"))
         .groupBy(*rows)
-        .pivot("_key", texts)
+        .pivot("_key", [key_text(k) for k in keys])
         .agg(*(_FROM_ROWS[p](value).alias(p) for p in parts))
     )
     return wide.toDF(*rows, *(f"c{i}_{p}" for i in range(len(keys)) for p in parts))
@@ -145,7 +150,7 @@ def pivot(
     round_to: int | None = 2,
     total_name: str = TOTAL,
     max_columns: int = 10_000,
-    direct_columns: int = DIRECT_COLUMNS,
+    one_shuffle: bool | None = None,
     ordered: bool = True,
 ) -> DataFrame:
     """Row fields, then one column per column tuple, then the total column.
@@ -167,7 +172,8 @@ def pivot(
         keys, names, cols = [()], [total_name], []
 
     parts = _PARTS[agg]
-    cells = _cells_direct if len(keys) <= direct_columns else _cells_pivoted
+    direct = _one_shuffle(rows, cols, keys) if one_shuffle is None else one_shuffle
+    cells = _cells_direct if direct or not cols else _cells_pivoted
     wide = cells(ledger, rows, cols, value, parts, keys)
 
     some_part = F.expr(f"coalesce({', '.join(f'c{i}_{parts[0]}' for i in range(len(keys)))})")

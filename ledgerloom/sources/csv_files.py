@@ -100,10 +100,23 @@ def _text(column: Column) -> Column:
 def _whole_number(column: Column, low: int, high: int) -> Column:
     """Text to int in a range, cutting decimals (2024.0, 2024.7 -> 2024); else NULL.
 
-    Read as a decimal: unlike a double it takes no "inf", "nan" or "1d".
+    Texts that aren't plain ints are read as decimals, which unlike doubles take
+    no "inf", "nan" or "1d".
     """
-    number = column.try_cast("decimal(38,18)")
-    return F.when((number >= low) & (number < high + 1), number.cast("int"))
+    decimal = column.try_cast("decimal(38,18)")
+    whole = F.when((decimal >= low) & (decimal < high + 1), decimal.cast("int"))
+    plain = column.try_cast("int")
+    return F.when(plain.between(low, high), plain).when(plain.isNull(), whole)
+
+
+def _finer_than(digits: Column, amount_type: T.DecimalType) -> Column:
+    """True if an amount had to be rounded. Most texts are too short for that."""
+    decimals = F.length(digits) - F.instr(digits, ".")
+    long_enough = digits.contains(".") & (decimals > amount_type.scale)
+    rounded = digits.try_cast(amount_type) != digits.try_cast("decimal(38,16)")
+    return F.when(long_enough | digits.rlike("[eE]"), F.coalesce(rounded, F.lit(False))).otherwise(
+        F.lit(False)
+    )
 
 
 def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame:
@@ -132,7 +145,7 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
         _whole_number(source["year"], 1, 9999).alias("year"),
         _whole_number(source["month"], 1, 12).alias("month"),
         digits.try_cast(amount_type).alias("amount"),
-        digits.try_cast("decimal(38,16)").alias("_exact"),
+        _finer_than(digits, amount_type).alias("over_precise"),
         *(_text(source[c]).alias(c) for c in extras),
         source["year"].alias("_year"),
         source["month"].alias("_month"),
@@ -153,7 +166,7 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
         "amount",
         F.make_date("year", "month", F.lit(1)).alias("date"),
         *(F.col(f"`{c}`") for c in extras),
-        F.coalesce(F.col("amount") != F.col("_exact"), F.lit(False)).alias("over_precise"),
+        "over_precise",
         "reject_reason",
         *(F.when(bad, F.col(f"_{c}")).alias(f"{c}_text") for c in ("year", "month", "amount")),
     )

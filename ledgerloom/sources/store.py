@@ -11,6 +11,7 @@ from ledgerloom.schema import LEDGER_SCHEMA
 from ledgerloom.sources.csv_files import accepted, parse, quality, read_csv, rejects
 
 PARTITIONS = ["year", "month"]
+MAX_ROWS_PER_FILE = 1_000_000
 _NO_TEXT = [T.StructField(c, T.StringType()) for c in LEDGER_SCHEMA.names]
 
 
@@ -20,10 +21,16 @@ def write_ledger(ledger: DataFrame, path: str) -> None:
     The rebalance gathers each month into few files. It is a hint, so at run time
     Spark splits a month that is too big for one task (however large its part of
     the rows) and joins small ones, towards
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file.
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file. Rows per file
+    are limited too, for months that compress to almost nothing.
     """
     keys = [c for c in ("rejected", *PARTITIONS) if c in ledger.columns]
-    ledger.hint("rebalance", *PARTITIONS).write.partitionBy(*keys).parquet(path)
+    (
+        ledger.hint("rebalance", *PARTITIONS)
+        .write.partitionBy(*keys)
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+        .parquet(path)
+    )
 
 
 def ingest(spark: SparkSession, path: str, *csv_paths: str, multi_line: bool | None = None) -> None:
