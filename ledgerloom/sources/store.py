@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schema import LEDGER_SCHEMA
-from ledgerloom.sources.csv_files import accepted, parse, quality, read_csv, rejects
+from ledgerloom.sources.csv_files import ledger_columns, parse, quality, read_csv, rejects
 
 PARTITIONS = ["year", "month"]
 MAX_ROWS_PER_FILE = 1_000_000
@@ -62,7 +62,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """A stored ledger, without rejected rows."""
     stored = _read(spark, path)
     if "rejected" in stored.columns:
-        stored = accepted(stored.filter("rejected = 0"))
+        stored = ledger_columns(stored.filter("rejected = 0"))
     return stored
 
 
