@@ -47,13 +47,6 @@ def _on_ledger(report: Callable[[DataFrame], DataFrame]) -> Query:
 # --- CSV: files made from the ledger, read back ---------------------------------
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    path = workspace.new_folder(spark, name)
-    if path is None:
-        raise ValueError("name a shared folder in spark.checkpoint.dir to write CSV files")
-    return path
-
-
 def _messy(ledger: DataFrame) -> DataFrame:
     """The ledger as careless CSV text: float years, thousands separators, null
     tokens, an extra column, and some years, months and amounts that can't be used."""
@@ -87,13 +80,13 @@ def _messy(ledger: DataFrame) -> DataFrame:
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "rows-csv")
+    path = workspace.new_folder(spark, "rows-csv")
     pivot_export.export_rows(pivot_export.chosen(workspace.ledger(spark, sf_dir)), path)
     return _plain(csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))))
 
 
 def _csv_pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "pivot-csv")
+    path = workspace.new_folder(spark, "pivot-csv")
     table = pivot(workspace.ledger(spark, sf_dir), ["property_id", "house_type"], ["category"])
     pivot_export.export_pivot(table, path)
     back = csv_files.read_csv(spark, path).select(*(f"`{c}`" for c in table.columns))
@@ -109,7 +102,8 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """Careless CSV files of the whole ledger, ingested: a stored ledger's path."""
 
     def build() -> str:
-        source, path = _scratch(spark, "messy-csv"), _scratch(spark, "ingested")
+        source = workspace.new_folder(spark, "messy-csv")
+        path = workspace.new_folder(spark, "ingested")
         csv_files.write_csv(_messy(workspace.ledger(spark, sf_dir)), source)
         store.ingest(spark, path, source)
         return path

@@ -19,8 +19,8 @@ def largest_first(df: DataFrame, value: str = "amount", limit: int | None = None
     A full sort is split into ranges of the sort key. Copies of one row have the
     same key and would all land in one range, so the row's position in the scan
     is the last key: it changes nothing a reader can see and lets Spark cut a
-    run of copies. Positions are the same on a retried task because the ledger
-    is read from files.
+    run of copies. A task that is run again must find the same positions, so the
+    rows have to come from files (a stored ledger), filtered or not.
     """
     order = [F.abs(value).desc(), *(F.col(c) for c in df.columns)]
     if limit is not None:

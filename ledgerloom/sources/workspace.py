@@ -1,8 +1,8 @@
 """Tables written once per Spark application and read by every query after.
 
 They go to the shared folder the cluster names in ``spark.checkpoint.dir``, so a
-lost executor takes none of them along. Where that is unset and Spark runs on
-this machine only, a folder of our own is used.
+lost executor takes none of them along. A folder of our own is used where that is
+unset and Spark runs on this machine only.
 """
 
 from __future__ import annotations
@@ -24,23 +24,22 @@ T = TypeVar("T")
 _built: dict[tuple[str, str, str], Any] = {}
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder every executor can reach, or None if the cluster names none."""
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
-        return None
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     folder = tempfile.mkdtemp(prefix="ledgerloom-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def new_folder(spark: SparkSession, name: str) -> str | None:
+def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing was written to yet."""
-    shared = shared_folder(spark)
     app = spark.sparkContext.applicationId
-    return shared and f"{shared}/ledgerloom-{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}/ledgerloom-{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _fingerprint(spark: SparkSession, folder: str) -> str:
@@ -63,21 +62,14 @@ def once(spark: SparkSession, folder: str, name: str, build: Callable[[], T]) ->
 
 
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """The ledger of a folder of order tables, stored on first use.
-
-    On a cluster without a shared folder it stays a plain join of the tables.
-    """
+    """The ledger of a folder of order tables, stored on first use."""
     return once(spark, folder, "ledger", lambda: _store(spark, folder))
 
 
 def _store(spark: SparkSession, folder: str) -> DataFrame:
-    properties = order_tables.properties(spark, folder)
     path = new_folder(spark, "properties")
-    if path is None:
-        return order_tables.postings(spark, folder, properties)
-    properties.write.parquet(path)
+    order_tables.properties(spark, folder).write.parquet(path)
     properties = spark.read.parquet(path)
     path = new_folder(spark, "ledger")
     write_ledger(order_tables.postings(spark, folder, properties), path)
-    stored = read_ledger(spark, path)
-    return stored.select(*LEDGER_SCHEMA.names)
+    return read_ledger(spark, path).select(*LEDGER_SCHEMA.names)
