@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
@@ -30,6 +30,15 @@ def net_basis(nets: DataFrame) -> DataFrame:
     )
 
 
+def distinct_count(ledger: DataFrame, column: str) -> Column:
+    """Exact number of distinct values, as a scalar subquery that reads one column.
+
+    Written as a count over distinct rows: Spark would merge a count(distinct) with
+    the subquery that finds the latest year, and pruning would wait for both.
+    """
+    return ledger.select(column).distinct().agg(F.count(F.lit(1))).scalar()
+
+
 def share_of_total(nets: DataFrame, key: str) -> DataFrame:
     """Each group's part of the sum of all groups.
 

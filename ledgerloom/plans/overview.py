@@ -10,6 +10,7 @@ from ledgerloom.functions.formats import as_text
 from ledgerloom.operators.filters import at_period
 from ledgerloom.operators.pivot import pivot
 from ledgerloom.operators.ranking import preview, top
+from ledgerloom.operators.totals import distinct_count
 
 
 def kpis(ledger: DataFrame) -> DataFrame:
@@ -57,7 +58,6 @@ def data_range(ledger: DataFrame) -> DataFrame:
     properties are counted by a scan that reads that column alone.
     """
     small = ["org", "shop", "house_type", "category"]
-    properties = ledger.agg(F.count_distinct("property_id")).scalar()
     return (
         ledger.groupBy(*small)
         .agg(F.min("year").alias("first"), F.max("year").alias("last"))
@@ -69,7 +69,7 @@ def data_range(ledger: DataFrame) -> DataFrame:
             F.count_distinct("house_type").alias("house_types"),
             F.count_distinct("category").alias("categories"),
         )
-        .withColumn("properties", properties)
+        .withColumn("properties", distinct_count(ledger, "property_id"))
     )
 
 

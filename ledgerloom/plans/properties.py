@@ -9,6 +9,7 @@ from ledgerloom.functions import measures as m
 from ledgerloom.functions.formats import as_text
 from ledgerloom.operators.filters import at_year, select
 from ledgerloom.operators.ranking import largest_first, top
+from ledgerloom.operators.totals import distinct_count
 from ledgerloom.schema import DETAIL_COLUMNS
 
 
@@ -33,7 +34,6 @@ def kpis(
     Rows are added up per property first, so a hot property is one row per task
     before anything is shuffled.
     """
-    everywhere = ledger.agg(F.count_distinct("property_id")).scalar()
     return (
         chosen(ledger, year, property_id, category)
         .groupBy("property_id")
@@ -46,7 +46,7 @@ def kpis(
             "income_per_property_10k",
             m.guarded_ratio(F.col("gross_income_10k"), F.col("active_properties")),
         )
-        .withColumn("all_properties", everywhere)
+        .withColumn("all_properties", distinct_count(ledger, "property_id"))
     )
 
 

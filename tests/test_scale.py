@@ -84,6 +84,15 @@ def test_year_reports_prune_and_read_few_columns(stored):
         assert s["ReadSchema"] == "struct<property_id:string,amount:decimal(18,2)>"
 
 
+def test_pruning_does_not_wait_for_the_distinct_count(stored):
+    schemas = [s["ReadSchema"] for s in scans(properties.kpis(stored))]
+    assert sorted(set(schemas)) == [
+        "struct<>",
+        "struct<property_id:string,amount:decimal(18,2)>",
+        "struct<property_id:string>",
+    ]
+
+
 def test_whole_ledger_counts_read_no_amount(stored):
     schemas = [s["ReadSchema"] for s in scans(overview.data_range(stored))]
     assert sorted(set(schemas)) == [
