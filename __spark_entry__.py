@@ -79,12 +79,24 @@ def _messy(ledger: DataFrame) -> DataFrame:
     )
 
 
-def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _written_and_read(spark: SparkSession, ledger: DataFrame) -> DataFrame:
     path = workspace.new_folder(spark, "rows-csv")
-    pivot_export.export_rows(pivot_export.chosen(workspace.ledger(spark, sf_dir)), path)
+    pivot_export.export_rows(ledger, path)
     return _plain(csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))))
 
 
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written_and_read(spark, workspace.ledger(spark, sf_dir))
+
+
+def _csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with quotes and line breaks in some addresses."""
+    address = F.concat_ws("\n", "property_id", F.concat(F.lit('c/o "'), "shop", F.lit('", 2')))
+    shown = F.when(F.col("house_type") == "", address).otherwise(F.col("property_id"))
+    ledger = workspace.ledger(spark, sf_dir).withColumn("property_id", shown)
+    return _written_and_read(spark, ledger)
+
+
 def _csv_pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace.new_folder(spark, "pivot-csv")
     table = pivot(workspace.ledger(spark, sf_dir), ["property_id", "house_type"], ["category"])
@@ -201,6 +213,7 @@ def queries() -> dict[str, Query]:
     }
     return {name: _on_ledger(report) for name, report in reports.items()} | {
         "csv_roundtrip": _csv_roundtrip,
+        "csv_line_breaks": _csv_line_breaks,
         "csv_pivot_roundtrip": _csv_pivot_roundtrip,
         "ingest_rows": _ingest_rows,
         "ingest_rejects": _ingest_rejects,
@@ -451,6 +464,9 @@ FROM ledger WHERE {_LAST_MONTH}"""
         "rows_export": f"SELECT {_ROW} FROM ledger WHERE org IN ('AFRICA') AND month IN (2, 11)",
         "ledger_normalised": f"SELECT {_ROW}, {note} FROM ledger WHERE {good}",
         "csv_roundtrip": f"SELECT {_ROW} FROM ledger",
+        "csv_line_breaks": f"""SELECT * REPLACE (CASE WHEN house_type = ''
+            THEN concat(property_id, chr(10), 'c/o "', shop, '", 2')
+            ELSE property_id END AS property_id) FROM (SELECT {_ROW} FROM ledger)""",
         "csv_pivot_roundtrip": _pivot(["property_id", "house_type"], by_category),
         "ingest_rows": f"SELECT {_ROW}, {note} FROM ledger WHERE {good}",
         "ingest_rejects": f"""SELECT property_id, house_type, lease_start, lease_end, org, shop,

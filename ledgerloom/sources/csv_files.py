@@ -18,6 +18,8 @@ from ledgerloom.sources import csv_records
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$"
 _CORRUPT = "_corrupt_line"
 _TOO_LONG = "_too_long"
+_CHECKS = ["over_precise", "reject_reason"]
+_TEXTS = ["year_text", "month_text", "amount_text"]
 
 
 def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
@@ -75,14 +77,14 @@ def read_csv(
     """
     parts = []
     for path in paths:
-        breaks = [] if multi_line is not None else files_with_line_breaks(spark, path)
+        breaks = set() if multi_line is not None else set(files_with_line_breaks(spark, path))
         if not breaks:
             parts.append(_read(spark, [path], bool(multi_line)))
             continue
         lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"))
-        whole = csv_records.irregular_files(spark, breaks)
+        whole = csv_records.irregular_files(spark, sorted(breaks))
         split = [f for f in csv_records.files_of(lines) if f not in breaks]
-        records = [f for f in breaks if f not in whole]
+        records = sorted(breaks.difference(whole))
         if split:
             parts.append(_read(spark, split, False))
         if records:
@@ -135,6 +137,10 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
     if lacking:
         raise ValueError(f"columns missing from the CSV: {', '.join(lacking)}")
 
+    reserved = sorted({*_CHECKS, *_TEXTS, "rejected"}.intersection(names.values()))
+    if reserved:
+        raise ValueError(f"column names used by the ingest: {', '.join(reserved)}")
+
     source = {ours: F.col(f"`{theirs}`") for theirs, ours in names.items()}
     extras = [n for n in names.values() if n not in known]
     too_long = F.col(_TOO_LONG) if _TOO_LONG in raw.columns else F.lit(False)
@@ -173,10 +179,6 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
     )
 
 
-_CHECKS = ["over_precise", "reject_reason"]
-_TEXTS = ["year_text", "month_text", "amount_text"]
-
-
 def ledger_columns(parsed: DataFrame) -> DataFrame:
     return parsed.drop(*_CHECKS, *_TEXTS, "rejected")
 

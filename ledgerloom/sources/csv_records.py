@@ -84,9 +84,9 @@ def _split(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines.filter(alone), longer
 
 
-def records(spark: SparkSession, files: list[str]) -> DataFrame:
+def _records(lines: DataFrame) -> DataFrame:
     """Columns ``file``, ``block``, ``pos`` of a record's first line, and ``record``."""
-    alone, longer = _split(_lines(spark, files))
+    alone, longer = _split(lines)
     joined = (
         longer.groupBy("file", "number")
         .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts"))
@@ -111,28 +111,35 @@ def irregular_files(spark: SparkSession, files: list[str]) -> list[str]:
     """
     _, longer = _split(_lines(spark, files))
     sizes = longer.groupBy("file", "number").agg(F.sum(F.length("value") + 1).alias("size"))
-    found = files_of(sizes.filter(F.col("size") > MAX_RECORD))
+    found = set(files_of(sizes.filter(F.col("size") > MAX_RECORD)))
     rest = [f for f in files if f not in found]
     if rest:
         left = F.regexp_replace("record", QUOTED_FIELD, "")
-        found += files_of(records(spark, rest).filter(left.rlike('["\\r\\n]')))
+        found.update(files_of(_records(_lines(spark, rest)).filter(left.rlike('["\\r\\n]'))))
     return sorted(found)
 
 
 def read(spark: SparkSession, files: list[str], names: list[str], corrupt: str) -> DataFrame:
     """The records of files as text columns; their first records are the headers."""
-    found = records(spark, files).filter(F.trim("record") != "")
-    headers = found.groupBy("file").agg(F.min(F.struct("block", "pos")).alias("first"))
-    headers = headers.select("file", "first.block", "first.pos")
-    texts = found.join(headers, ["file", "block", "pos"], "left_semi").select(
-        F.ltrim(F.col("record"), F.lit("\ufeff")).alias("record")
+    lines = _lines(spark, files)
+    filled = F.trim("record") != ""
+    start = F.struct("block", "pos")
+    headers = (
+        _records(lines.filter("block = 0"))
+        .filter(filled)
+        .groupBy("file")
+        .agg(F.min(start).alias("first"), F.min_by("record", start).alias("header"))
+        .select("file", "first.block", "first.pos", "header")
     )
+    texts = headers.select(F.ltrim(F.col("header"), F.lit("\ufeff")))
     if len(texts.distinct().limit(2).collect()) > 1:
         raise ValueError(f"CSV files with different headers: {', '.join(files)}")
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, corrupt])
     options = {"escape": '"', "columnNameOfCorruptRecord": corrupt}
     return (
-        found.join(headers, ["file", "block", "pos"], "left_anti")
+        _records(lines)
+        .filter(filled)
+        .join(headers, ["file", "block", "pos"], "left_anti")
         .select(F.from_csv("record", schema, options).alias("row"))
         .select("row.*")
     )

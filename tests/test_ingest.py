@@ -216,6 +216,9 @@ def test_missing_and_doubled_columns(spark, tmp_path):
     path.write_text(csv_text([{}], [c for c in GOOD if c != "org"]))
     with pytest.raises(ValueError, match="missing from the CSV: org"):
         csv_files.parse(csv_files.read_csv(spark, str(path)))
+    path.write_text(csv_text([{"reject_reason": "x"}], extra=["reject_reason"]))
+    with pytest.raises(ValueError, match="used by the ingest: reject_reason"):
+        csv_files.parse(csv_files.read_csv(spark, str(path)))
     path.write_text(csv_text([{"org": "x"}]).replace(HEADER["shop"], "org"))
     with pytest.raises(ValueError, match="column given twice: org"):
         csv_files.parse(csv_files.read_csv(spark, str(path)))
