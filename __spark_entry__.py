@@ -23,6 +23,12 @@ from ledgerloom.plans import monthly, overview, pivot_export, properties, struct
 from ledgerloom.schema import SOURCE_COLUMNS, TOTAL
 from ledgerloom.sources import csv_files, store, workspace
 
+try:  # the operators for training data are a part that can be left out
+    import corpus_pipeline
+    from ledgerloom.llm import queries as training
+except ImportError:
+    corpus_pipeline = training = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -144,6 +150,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    if training is None:
+        return ledger_queries()
+    return ledger_queries() | training.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def ledger_queries() -> dict[str, Query]:
     reports: dict[str, Callable[[DataFrame], DataFrame]] = {
         # selections and option lists
         "latest_period": filters.latest_period,
@@ -344,6 +356,13 @@ def _pivot(rows: list[str], cols: dict[str, str], agg: str = "sum", where: str =
 
 
 def oracle_sql() -> dict[str, str]:
+    if training is None:
+        return ledger_sql()
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return ledger_sql() | training.oracle_sql() | own
+
+
+def ledger_sql() -> dict[str, str]:
     by_category = {c: f"category = '{c}'" for c in _CATEGORIES}
     category_year = {
         f"{c}|{y}": f"category = '{c}' AND year = {y}" for c in _CATEGORIES for y in _YEARS

@@ -20,9 +20,9 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.ledger_queries()))
 def test_same_rows_and_types(spark, con, name):
-    df, sql = entry.queries()[name](spark, FOLDER), entry.oracle_sql()[name]
+    df, sql = entry.ledger_queries()[name](spark, FOLDER), entry.ledger_sql()[name]
     assert difference(df, con, sql) is None
     theirs = {d[0]: str(d[1]) for d in con.execute(sql).description}
     assert {c: TYPES[t] for c, t in df.dtypes} == theirs
