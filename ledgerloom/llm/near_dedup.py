@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.tables import documents, slices, stored
+from ledgerloom.llm.tables import by_place, documents, place, slices, stored
 from ledgerloom.llm.words import U, blank_separated, shingles, words
 
 TREES, DEPTH = 16, 8
@@ -334,5 +334,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id."""
-    gone = near_duplicates(docs, size, percent).where("NOT kept").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    gone = near_duplicates(docs, size, percent).where("NOT kept").select("doc_id").distinct()
+    plain = by_place(docs)
+    same = plain[place(docs, "doc_id")].cast("long") == gone["doc_id"]
+    return plain.join(gone, same, "left_anti").toDF(*docs.columns)

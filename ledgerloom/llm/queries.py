@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import near_dedup
+from ledgerloom.llm import decontaminate, language_id, near_dedup, toxicity
+from ledgerloom.llm.tables import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +17,33 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = language_id.identify(docs, language_id.learn(docs))
+    return found.withColumn("held_out", in_fold(F.col("doc_id")))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir), size=3, percent=85)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).withColumn("held_out", in_fold(F.col("doc_id")))
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_near_dedup": op4_near_dedup}
+    return {
+        "op1_language_id": op1_language_id,
+        "op2_decontamination": op2_decontamination,
+        "op4_near_dedup": op4_near_dedup,
+        "op10_toxicity": op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,23 +21,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def column(df: DataFrame, name: str, as_type: str):
-    """A column by its exact name; a table without it is an error, not a null."""
-    found = [c for c in df.columns if c == name]
+def place(df: DataFrame, name: str) -> str:
+    """The column of ``by_place`` that has exactly this name; it must be there once."""
+    found = [i for i, c in enumerate(df.columns) if c == name]
     if len(found) != 1:
         raise ValueError(f"one column {name!r} is needed, the table has {df.columns}")
-    return F.col(f"`{name}`").cast(as_type)
+    return f"c{found[0]}"
 
 
-def documents(df: DataFrame, *more: str) -> DataFrame:
-    """doc_id and text (null: empty) alone, whatever other columns there are."""
-    return df.select(
-        column(df, "doc_id", "long").alias("doc_id"),
-        F.coalesce(column(df, "text", "string"), F.lit("")).alias("text"),
-        *(F.col(f"`{c}`") for c in more),
+def by_place(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ...: names that clash, also but for case, do no harm."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def chosen(df: DataFrame, **types: str) -> DataFrame:
+    """The columns of these names, cast, whatever other columns there are."""
+    plain = by_place(df)
+    return plain.select(
+        *(plain[place(df, name)].cast(kind).alias(name) for name, kind in types.items())
     )
 
 
+def documents(df: DataFrame, **more: str) -> DataFrame:
+    """doc_id, text (null: empty) and the further columns named, with their types."""
+    found = chosen(df, doc_id="long", text="string", **more)
+    return found.withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def in_fold(doc_id):
     """True for the fifth of the documents that is held out of learning."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -45,7 +55,7 @@ def in_fold(doc_id):
 
 def slices(batch: pa.RecordBatch, name: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``most`` bytes of text together; a longer text comes alone."""
-    sizes = pc.binary_length(batch.column(name)).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_pylist()
     at, held = 0, 0
     for i, size in enumerate(sizes):
         if i > at and held + size > most:
