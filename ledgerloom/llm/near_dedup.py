@@ -88,7 +88,8 @@ def _regions(rows: DataFrame, depth: int) -> DataFrame:
     sizes = keyed.groupBy("key").agg(
         F.count("*").alias("size"), F.max_by("id", F.struct("copies", -F.col("id"))).alias("pivot")
     )
-    return keyed.join(sizes.where("size > 1"), "key")
+    # Stored, so that the join reads both sides from shuffles and can split a hot region.
+    return keyed.join(stored(sizes.where("size > 1"), f"sizes-{depth}"), "key")
 
 
 def candidates(classes: DataFrame, first_depth: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -288,7 +289,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     shown = stored(
-        texts.withColumnRenamed("doc_id", "id").join(needed, "id").select("id", "text"), "texts"
+        texts.withColumnRenamed("doc_id", "id")
+        .join(needed.hint("merge"), "id")  # grows with the input: never broadcast
+        .select("id", "text"),
+        "texts",
     )
     # First every member with the pivot that most of its regions name.
     best = (
