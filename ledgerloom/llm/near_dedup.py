@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import components
+from ledgerloom.llm.components import components, merged
 from ledgerloom.llm.tables import by_place, documents, place, slices, stored
 from ledgerloom.llm.words import U, blank_separated, shingles, words
 
@@ -319,7 +319,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     found = components(links)
     more = stored(_apart(members, found, shown, size, percent), "more-links")
     if not more.isEmpty():
-        found = components(links.union(more))
+        found = merged(found, more)
     found = found.withColumnRenamed("id", "member")
 
     grouped = (
