@@ -165,8 +165,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
     return documents(docs).mapInArrow(run, schema)
 
 
-def drop_unknown(docs: DataFrame, most_noise: float = 0.5, penalty: float = 2.0) -> DataFrame:
-    """``docs`` without the texts of no language: ``und``, or more noise than allowed."""
+def drop_unknown(
+    docs: DataFrame, most_noise: float = 0.5, least_letters: int = 40, penalty: float = 2.0
+) -> DataFrame:
+    """``docs`` without the texts of no language: ``und``, or more noise than allowed.
+    Fewer than ``least_letters`` letters tell too little to be called noise."""
     languages, table = learn(docs)
     shared = docs.sparkSession.sparkContext.broadcast(table)
     text = place(docs, "text")
@@ -176,7 +179,11 @@ def drop_unknown(docs: DataFrame, most_noise: float = 0.5, penalty: float = 2.0)
             for rows in slices(batch, text):
                 texts = [t or "" for t in rows.column(text).to_pylist()]
                 found = _judged(texts, languages, shared.value, penalty)
-                keep = [lang != "und" and noise <= most_noise for lang, _, _, _, noise in found]
+                sizes = map(len, trigrams(texts))
+                keep = [
+                    lang != "und" and (noise <= most_noise or n < least_letters)
+                    for (lang, _, _, _, noise), n in zip(found, sizes)
+                ]
                 yield rows.filter(pa.array(keep, pa.bool_()))
 
     plain = by_place(docs)

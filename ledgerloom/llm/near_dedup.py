@@ -255,7 +255,7 @@ def _apart(members: DataFrame, found: DataFrame, shown: DataFrame, size: int, pe
     )
 
 
-def first_depth(percent: int, target: float = 0.99999) -> int:
+def first_depth(percent: int, target: float = 0.99998) -> int:
     """The deepest beginning that one of the trees shares for pairs just alike enough,
     with the target chance."""
     fits = [d for d in range(1, DEPTH) if 1 - (1 - (percent / 100) ** d) ** TREES >= target]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import documents, slices, stored
-from ledgerloom.llm.token_files import Encoder
+from ledgerloom.llm.token_files import encoder
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16  # cost of a sequence besides its tokens, in tokens
@@ -74,12 +74,11 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens): ids of the whole text by a tokenizer's file, and an end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
         for batch in batches:
-            for rows in slices(batch, most=1 << 21):
-                n = [x + 1 for x in encoder.lengths(rows.column("text").to_pylist())]
+            for rows in slices(batch, most=1 << 22):
+                _, sizes = encoder(tokenizer).encode(rows.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"]
+                    [rows.column("doc_id"), pa.array(sizes + 1)], names=["doc_id", "n_tokens"]
                 )
 
     return documents(docs).mapInArrow(run, "doc_id long, n_tokens long")

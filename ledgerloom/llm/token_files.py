@@ -8,6 +8,7 @@ document skips every stripe and row group that can't hold it.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -18,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import documents, slices, stored
+from ledgerloom.llm.words import space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
-HELD_WORDS = 1 << 18  # words a task remembers, besides those of the texts at hand
+HELD_WORDS = 4_000_000  # words a Python process remembers, besides those of the texts at hand
 
 
 @cache
@@ -56,49 +58,112 @@ def _by_word(path: str) -> bool:
     )
 
 
+@cache
+def _end_suffix(path: str) -> str:
+    import json
+
+    return json.loads(_tokenizer(path).to_str())["model"].get("end_of_word_suffix") or ""
+
+
+# Letters that no normal form and no lower-casing turns into several characters, and a
+# comma or full stop after them.
+_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,]?)")
+
+
 class Encoder:
-    """Ids of texts; words seen before are looked up instead of merged again."""
+    """Ids of texts; words seen before are looked up instead of merged again.
+
+    Words between blanks are told apart by 64-bit hashes. ``hashes`` is sorted; the ids of
+    its word i are ``size[i]`` numbers of ``pool`` from ``start[i]`` on.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.by_word = _by_word(path)
-        self.held: dict[str, np.ndarray] = {}
-
-    def _split(self, texts: list[str]) -> list[list[str]]:
-        """The texts' words, all of them known after this."""
-        # Cutting at spaces alone is enough: other white space stays inside a "word" and
-        # goes to the tokenizer. A tokenizer that needs the whole text gets it whole.
-        split = [t.split(" ") for t in texts] if self.by_word else [[t] for t in texts]
-        if len(self.held) > HELD_WORDS:
-            self.held.clear()
-        new = list({w for ws in split for w in ws if w not in self.held})
-        if new:
-            ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.held.update((w, np.array(f.ids, dtype=np.uint32)) for w, f in zip(new, ids))
-        return split
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, without special tokens."""
-        return [np.concatenate([*map(self.held.__getitem__, ws)]) for ws in self._split(texts)]
-
-    def lengths(self, texts: list[str]) -> list[int]:
-        """The number of ids of each text."""
-        return [sum(map(len, map(self.held.__getitem__, ws))) for ws in self._split(texts)]
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.pool = np.zeros(0, dtype=np.uint32)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        if self.by_word and _end_suffix(path):
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(_end_suffix(path))]] = True
+
+    def _merged(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, dtype=np.uint32) for f in found]
+
+    def _learned(self, new: list[str]) -> list[np.ndarray]:
+        """The ids of new words. A word of letters with a comma or full stop is the letters
+        and the mark; words of letters alone are merged many at a time and told apart by
+        the tokens that end a word."""
+        if not self.ends.any():
+            return self._merged(new)
+        parts = [_LETTERS.fullmatch(w) for w in new]
+        cores = [found and (found[1].lower() if found[1].isascii() else found[1]) for found in parts]
+        plain = sorted(set(filter(None, cores)))
+        ids: dict[str, np.ndarray] = {}
+        for at in range(0, len(plain), 512):
+            some = plain[at : at + 512]
+            (together,) = self._merged([" ".join(some)])
+            stops = np.flatnonzero(self.ends[together]) + 1
+            if len(stops) == len(some) and stops[-1] == len(together):
+                ids.update(zip(some, np.split(together, stops[:-1])))
+            else:
+                ids.update(zip(some, self._merged(some)))
+        other = [*(w for w, found in zip(new, parts) if found is None), ".", ","]
+        ids.update(zip(other, self._merged(other)))
+        marked = {mark: ids[mark] for mark in ".,"}
+        return [
+            ids[w] if found is None else np.concatenate((ids[core], marked[found[2]])) if found[2] else ids[core]
+            for w, found, core in zip(new, parts, cores)
+        ]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, without special tokens, and how many
+        each text has."""
+        if not self.by_word:  # a tokenizer that needs the whole text gets it whole
+            found = self._merged(texts)
+            sizes = np.array([len(ids) for ids in found], dtype=np.int64)
+            return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
+        found = words(texts, space_separated())
+        kinds, one, each = np.unique(found.hash, return_index=True, return_inverse=True)
+        held = self.hashes, self.start, self.size, self.pool
+        if len(new := one[~np.isin(kinds, self.hashes, assume_unique=True)]):
+            text = found.text[new]
+            places = zip(text.tolist(), (found.start[new] - found.offset[text]).tolist(), (found.end[new] - found.offset[text]).tolist())
+            ids = self._learned([texts[i][a:b] for i, a, b in places])
+            sizes = np.array([len(x) for x in ids], dtype=np.int32)
+            hashes = np.concatenate((self.hashes, found.hash[new]))
+            order = np.argsort(hashes, kind="stable")
+            self.hashes = hashes[order]
+            self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(sizes) - sizes))[order]
+            self.size = np.concatenate((self.size, sizes))[order]
+            self.pool = np.concatenate((self.pool, *ids))
+        at = np.searchsorted(self.hashes, kinds)[each]
+        sizes = self.size[at].astype(np.int64)
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+        flat = self.pool[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], sizes)]
+        if len(self.hashes) > HELD_WORDS:  # the words met first stay
+            self.hashes, self.start, self.size, self.pool = held
+        return flat, np.diff(ends[found.first])
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each Python process, so that tasks share the words seen."""
+    return Encoder(path)
 
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        end = np.array([END], dtype=np.uint32)
         for batch in batches:
-            for rows in slices(batch, most=1 << 21):
-                texts = rows.column("text").to_pylist()
-                ids = [np.concatenate((own, end)) for own in encoder.encode(texts)]
-                lengths = np.array([len(own) for own in ids])
-                at = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
-                flat = pa.array(np.concatenate(ids).view(np.int32))
+            for rows in slices(batch, most=1 << 22):
+                ids, sizes = encoder(path).encode(rows.column("text").to_pylist())
+                ends = np.cumsum(sizes)
+                flat = pa.array(np.insert(ids, ends, END).view(np.int32))
+                at = pa.array(np.concatenate(([0], ends + np.arange(1, len(ends) + 1))).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(lengths), pa.ListArray.from_arrays(at, flat)],
+                    [rows.column("doc_id"), pa.array(sizes + 1), pa.ListArray.from_arrays(at, flat)],
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
@@ -120,7 +185,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, stripe: int = STRIP
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.stripe.size", stripe)
         .option("orc.row.index.stride", rows)
-        .option("orc.compress", "ZLIB")
+        .option("orc.compress", "SNAPPY")
         .orc(path)
     )
 

@@ -40,6 +40,14 @@ def blank_separated() -> np.ndarray:
     return values
 
 
+@cache
+def space_separated() -> np.ndarray:
+    """Words between spaces and line breaks, as they are."""
+    values = mixed(np.arange(0x110000, dtype=U) + U(1))
+    values[[32, 10]] = 0
+    return values
+
+
 @cache
 def folded_letters(digits: bool) -> np.ndarray:
     """Code point of the lower-cased letter (or digit), 0 for all else."""

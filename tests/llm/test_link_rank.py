@@ -1,0 +1,104 @@
+import numpy as np
+import pytest
+
+from ledgerloom.llm import link_rank as lr
+from tests.llm.frames import given
+
+
+def reference(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url[url.index("://") + 3 :]
+    end = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+    path = rest[end:]
+    stop = min([path.index(c) for c in "?#" if c in path], default=len(path))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+    return host, path[:stop]
+
+
+def rule_of(host, path):
+    fits = [
+        (r, v)
+        for r, v in lr.RULES
+        for d, s, p in [r.partition("/")]
+        if (host == d or host.endswith("." + d)) and path.startswith(s + p)
+    ]
+    return max(fits, key=lambda x: len(x[0]), default=(None, None))
+
+
+URLS = [
+    None, "", "no scheme.org/", "http://", "http://A.Example.ORG", "http://a.example.org/", "HTTP://example.org/es/x?y#z",
+    "x://example.org/en/1", "x://www.example.org/en/12", "x://org/", "x://notexample.org/es/1", "x://É.COM/fr/é?a=/de/",
+    "x://q.com/de/1://b.org/", "x://u.com?/fr/", "x://com#/de/", "//a.org/", "x://a\nb.com/fr/\nq", "x://net/en",
+]
+
+
+def test_hosts_paths_and_rules(spark):
+    pages = spark.createDataFrame([(i, u, None, "x") for i, u in enumerate(URLS)], "page_id long, url string, html string, URL string")
+    rows = {r["page_id"]: r for r in lr.verdicts(pages).collect()}
+    assert len(rows) == len(URLS)
+    for i, url in enumerate(URLS):
+        host, path = reference(url)
+        assert (rows[i]["host"], rows[i]["path"]) == (host, path), url
+        rule, verdict = rule_of(host, path)
+        assert rows[i]["rule"] == rule
+        assert rows[i]["verdict"] == (verdict or rows[i]["verdict"]) and rows[i]["verdict"] in ("allow", "block")
+
+
+def test_given_pages(spark):
+    pages = given(spark, "pages", "sf0.01")
+    urls = {r["page_id"]: r["url"] for r in pages.collect()}
+    rows = lr.verdicts(pages).collect()
+    assert len(rows) == len(urls)
+    for r in rows:
+        host, path = reference(urls[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule_of(host, path)[0])
+    # A .com host has pages blocked by rule, pages allowed by rule, or neither.
+    assert {r["verdict"] for r in rows if r["rule"] is None} == {"allow", "block"}
+
+
+def test_ranks_are_those_of_power_iteration(spark):
+    rng = np.random.default_rng(2)
+    n, hosts = 12, [f"h{i}.net" for i in range(12)]
+    counts = rng.integers(0, 3, (n, n)) * (rng.random((n, n)) < 0.3)
+    counts[3] = 0  # a host without links
+    hosts[0], hosts[1] = "good.org", "bad.com"
+    pages = []
+    for i in range(n):
+        links = "".join(f'<a href="http://{hosts[j].upper()}/p">x</a>' * counts[i, j] for j in range(n))
+        pages.append((i, f"http://{hosts[i]}{'/de/' if i == 1 else '/'}", f"<p>{links}</p><a href='mailto:x'>m</a>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["host"]: (r["trust"], r["distrust"]) for r in lr.ranks(df).collect()}
+
+    def power(matrix, seed):
+        sums = matrix.sum(axis=1, keepdims=True)
+        step = np.divide(matrix, sums, out=np.zeros_like(matrix, dtype=float), where=sums > 0)
+        moving = np.zeros(n)
+        moving[seed] = 1 - lr.DAMPING
+        total = moving.copy()
+        for _ in range(200):
+            moving = lr.DAMPING * (moving @ step)
+            total += moving
+        return total
+
+    trust, distrust = power(counts.astype(float), 0), power(counts.T.astype(float), 1)
+    for i, host in enumerate(hosts):
+        a, b = found.get(host, (0.0, 0.0))
+        assert a == pytest.approx(trust[i], abs=lr.TOLERANCE) and b == pytest.approx(distrust[i], abs=lr.TOLERANCE)
+    verdict = {r["host"]: r["verdict"] for r in lr.verdicts(df).collect() if r["rule"] is None}
+    for i, host in enumerate(hosts[2:], 2):
+        if abs(trust[i] - distrust[i]) > 2 * lr.TOLERANCE:
+            assert verdict[host] == ("block" if distrust[i] > trust[i] else "allow")
+
+
+def test_relative_absolute_and_other_links(spark):
+    html = """<a href="/x"><A class=q HREF='//B.org/y'><a href=https://c.net?z>t</a><a href="mailto:m@n"><a href="#top">
+    <a href="http:///none"><abbr href="http://no.org/"><a name="k">"""
+    df = spark.createDataFrame([(1, "http://a.com/", html), (2, None, html), (3, "http://a.com/2", None)], "page_id long, url string, html string")
+    links = {(r["src"], r["dst"]): r["n"] for r in lr.links(df).collect()}
+    assert links == {("a.com", "a.com"): 2, ("a.com", "b.org"): 1, ("a.com", "c.net"): 1}
+
+
+def test_no_pages(spark):
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    assert lr.verdicts(df).count() == 0
