@@ -56,14 +56,17 @@ def check_fields(rows: Sequence[str], cols: Sequence[str], value: str, agg: str)
         raise ValueError(f"field used more than once: {', '.join(twice)}")
 
 
-def column_keys(ledger: DataFrame, cols: Sequence[str], max_columns: int) -> list[tuple]:
+def column_keys(
+    ledger: DataFrame, cols: Sequence[str], max_columns: int | None = None
+) -> list[tuple]:
     """Distinct column tuples in typed order (month 2 before 10).
 
     They become result columns, so the driver has to know them; more than
-    ``max_columns`` is an error, never a cut.
+    ``max_columns`` is an error, never a cut. See ``pivot_long`` for any number.
     """
-    found = ledger.select(*cols).distinct().orderBy(*cols).limit(max_columns + 1).collect()
-    if len(found) > max_columns:
+    keys = ledger.select(*cols).distinct().orderBy(*cols)
+    found = (keys if max_columns is None else keys.limit(max_columns + 1)).collect()
+    if max_columns is not None and len(found) > max_columns:
         raise ValueError(f"more than {max_columns} pivot columns for {', '.join(cols)}")
     return [tuple(row) for row in found]
 
@@ -132,7 +135,8 @@ def _across(part: str, keys: int, scale: int) -> str:
 def _printed(agg: str, parts: dict[str, str], fill: int, round_to: int | None) -> Column:
     """The shown value of a cell. As SQL text: wide pivots have many of them."""
     if agg == "count":
-        return F.expr(f"cast(coalesce({parts['count']}, {fill}) as bigint)")
+        # Without rows the count is 0 in one plan and NULL in the other.
+        return F.expr(f"cast(coalesce(nullif({parts['count']}, 0), {fill}) as bigint)")
     shown = parts.get(agg) or f"cast({parts['sum']} as double) / nullif({parts['count']}, 0)"
     if round_to is not None:
         shown = f"bround({shown}, {round_to})"
@@ -149,7 +153,7 @@ def pivot(
     fill: int = 0,
     round_to: int | None = 2,
     total_name: str = TOTAL,
-    max_columns: int = 10_000,
+    max_columns: int | None = None,
     one_shuffle: bool | None = None,
     ordered: bool = True,
 ) -> DataFrame:
@@ -207,3 +211,36 @@ def pivot(
     if ordered and rows:
         table = table.orderBy("is_total", *rows)
     return table.select(*rows, *(["is_total"] if margins else []), *shown)
+
+
+def pivot_long(
+    ledger: DataFrame,
+    rows: Sequence[str] = DEFAULT_ROWS,
+    cols: Sequence[str] = DEFAULT_COLUMNS,
+    value: str = "amount",
+    agg: str = "sum",
+    margins: bool = True,
+    round_to: int | None = 2,
+) -> DataFrame:
+    """The pivot's cells as rows: row fields, column fields, value, and two flags that
+    mark the totals over all row keys and over all column keys (whose fields are NULL).
+
+    Nothing is collected, so there may be any number of column keys. Cells without rows
+    are left out. Totals are made from the cells' parts, so rows are read once.
+    """
+    rows, cols = list(rows), list(cols)
+    check_fields(rows, cols, value, agg)
+    parts = _PARTS[agg]
+    cells = ledger.groupBy(*rows, *cols).agg(*(_FROM_ROWS[p](value).alias(f"_{p}") for p in parts))
+    if margins:
+        some = [[*rows, *cols], *([rows] if cols else []), *([cols] if rows else []), *([[]] if rows and cols else [])]
+        combined = cells.groupingSets([[F.col(c) for c in s] for s in some], *rows, *cols)
+        flags = {"is_row_total": rows, "is_column_total": cols}
+        table = combined.agg(
+            *(_FROM_PARTS[p](f"_{p}").alias(f"_{p}") for p in parts),
+            *((F.grouping(of[0]) == 1 if of else F.lit(False)).alias(name) for name, of in flags.items()),
+        ).filter(F.col(f"_{parts[0]}").isNotNull())
+    else:
+        table = cells.withColumns({"is_row_total": F.lit(False), "is_column_total": F.lit(False)})
+    shown = _printed(agg, {p: f"_{p}" for p in parts}, 0, round_to).alias(value)
+    return table.select(*rows, *cols, "is_row_total", "is_column_total", shown)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.measures import period_code
+from ledgerloom.functions.names import quoted
 
 
 def top(totals: DataFrame, value: str, key: str, k: int) -> DataFrame:
@@ -22,7 +23,7 @@ def largest_first(df: DataFrame, value: str = "amount", limit: int | None = None
     run of copies. A task that is run again must find the same positions, so the
     rows have to come from files (a stored ledger), filtered or not.
     """
-    order = [F.abs(value).desc(), *(F.col(c) for c in df.columns)]
+    order = [F.abs(value).desc(), *map(quoted, df.columns)]
     if limit is not None:
         return df.orderBy(*order).limit(limit)
     return (
@@ -49,5 +50,5 @@ def preview(ledger: DataFrame, rows: int = 20) -> DataFrame:
         .agg(F.max(period_code()))
         .scalar()
     )
-    rest = [c for c in ledger.columns if c not in ("year", "month")]
+    rest = [quoted(c) for c in ledger.columns if c not in ("year", "month")]
     return ledger.filter(period_code() <= cutoff).orderBy("year", "month", *rest).limit(rows)

@@ -1,145 +1,162 @@
-"""Records of CSV files whose quoted fields hold line breaks, found by many tasks.
+"""Records of CSV files, found by many tasks whatever their quotes and line breaks.
 
-Spark reads such a file in one task. Here its lines are read in blocks, as text
-files always are. Whether a line begins inside quotes follows from the number of
-quotes before it: counted per block first, then added up over the blocks of a
-file. Only lines of records with breaks are brought together.
+Lines are read in blocks, as text files always are. A line takes one of two states, its
+beginning inside or outside a quoted field, to the state at its end; a quote opens a
+field only at its start, ``""`` is a quote, and a quote that something else than a comma
+follows ends the quoting without ending the field. Such functions of two states compose:
+they are put together for buckets of lines, then the few buckets of a file one after
+another, and so every line's state is known without reading the file in order.
 
-Counting is exact for whole quoted fields but not where a quote stands inside an
-unquoted one, so the records are checked; see ``irregular_files``.
+Only the buckets in which a record runs over the end of a line are shuffled.
 """
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A whole quoted field, where "" stands for one quote.
-QUOTED_FIELD = r'(?s)(?:^|(?<=,))"(?:[^"]++|"")*+"(?=,|\r?\z)'
-MAX_RECORD = 16 * 1024 * 1024  # characters
+BUCKET = 4096  # lines
+_QUOTED = r'"(?:[^"]++|"")*+"[^,]*+'  # a quoted field and what else is in it
+_OPEN = r'"(?:[^"]++|"")*+$'  # a quoted field that the line doesn't close
+_FIELDS = rf'(?:(?:{_QUOTED}|[^",][^,]*+|),)*+'
+_OUT_TO_IN = rf"(?s)^{_FIELDS}{_OPEN}"
+_IN_TO_IN = rf'(?s)^(?:[^"]++|"")*+(?:$|"[^,]*+,{_FIELDS}{_OPEN})'
+# A whole quoted field of a record.
+QUOTED_FIELD = rf"(?s)(?:^|(?<=,)){_QUOTED}"
 
 
-def reader_path(file_path: str) -> str:
-    """A ``_metadata.file_path`` as readers want it: not URI-encoded, and without
-    characters that have a meaning in path patterns."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file_path))
+def lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, path, block, bucket, pos, value): the lines of files. ``pos`` rises within a
+    block; ``file`` is a hash of the path."""
+    within = F.col("pos").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(paths)
+        .select(
+            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("pos"),
+            "value",
+        )
+        .withColumn("bucket", F.floor(within / BUCKET))
+    )
 
 
-def files_of(lines: DataFrame) -> list[str]:
-    """Distinct files some rows come from, by their column ``file``."""
-    return sorted(reader_path(r.file) for r in lines.select("file").distinct().collect())
+def _after(value: Column) -> tuple[Column, Column]:
+    """Whether a line ends inside quotes if it begins outside, and if it begins inside."""
+    text = F.regexp_replace(value, r"\r\z", "")
+    quotes = value.contains('"')
+    return quotes & text.rlike(_OUT_TO_IN), ~quotes | text.rlike(_IN_TO_IN)
 
 
-def has_open_quote(text: Column) -> Column:
-    """True if quotes are left once the whole quoted fields are taken out."""
-    return text.contains('"') & F.regexp_replace(text, QUOTED_FIELD, "").contains('"')
+def summary(found: DataFrame) -> DataFrame:
+    """One row for each bucket: whether it begins inside quotes (``inside``), where the
+    record that then is open began (``open``), whether any of its lines ends inside
+    (``broken``), and its first line that isn't blank (``head``).
 
+    One pass over the text. Of a line that holds quotes its place and function are
+    shuffled, of all others nothing but a bucket's sums.
+    """
+    from_out, from_in = _after(F.col("value"))
+    changes = F.when(from_out | ~from_in, F.struct("pos", from_out.alias("o"), from_in.alias("i")))
+    filled = F.when(F.trim("value").rlike(r"[^\s]"), F.struct("pos", "value"))
+    buckets = found.groupBy("file", "block", "bucket").agg(
+        F.sort_array(F.collect_list(changes)).alias("changes"),
+        F.max("pos").alias("last"),
+        F.min(F.when(F.col("block") == 0, filled)).alias("head"),
+        F.first("path").alias("path"),
+    )
 
-def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
-    """Lines with the running number of quotes; ``toggles`` counts the lines up to
-    and including this one that change between inside and outside quotes."""
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(files)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
-            (quotes % 2).alias("odd"),
+    def walked(begin: bool) -> Column:
+        """State at the bucket's end and the last line in it at which a record begins."""
+        start = F.struct(F.lit(begin).alias("inside"), F.lit(None).cast("bigint").alias("at"))
+
+        def step(s: Column, x: Column) -> Column:
+            return F.struct(
+                F.when(s["inside"], x["i"]).otherwise(x["o"]).alias("inside"),
+                F.when(s["inside"], s["at"]).otherwise(x["pos"]).alias("at"),
+            )
+
+        changed = F.coalesce(F.try_element_at("changes", F.lit(-1))["pos"], F.lit(-1))
+        more = lambda s: ~s["inside"] & (changed < F.col("last"))
+        return F.aggregate(
+            "changes",
+            start,
+            step,
+            lambda s: F.struct(s["inside"].alias("inside"), F.when(more(s), F.col("last")).otherwise(s["at"]).alias("at")),
         )
+
+    both = buckets.withColumn("out", walked(False)).withColumn("in", walked(True))
+    order = Window.partitionBy("file").orderBy("block", "bucket")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("out.inside") == F.col("in.inside")
+    flips = F.when(F.col("out.inside") & ~F.col("in.inside"), 1).otherwise(0)
+    stated = (
+        both.withColumn("flips", F.sum(flips).over(so_far))
+        .withColumn("set", F.last(F.when(same, F.struct(F.col("out.inside").cast("int").alias("to"), "flips")), True).over(so_far))
+        .withColumn(
+            "ends",
+            (F.coalesce(F.col("set.to"), F.lit(0)) + F.col("flips") - F.coalesce(F.col("set.flips"), F.lit(0))) % 2 == 1,
+        )
+        .withColumn("inside", F.coalesce(F.lag("ends").over(order), F.lit(False)))
     )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        lines.groupBy("file", "block")
-        .agg(F.sum("odd").alias("odd_lines"))
-        .withColumn("before", F.coalesce(F.sum("odd_lines").over(earlier), F.lit(0)))
-        .drop("odd_lines")
-    )
-    so_far = Window.partitionBy("file", "block").orderBy("pos")
+    begun = F.when(F.col("inside"), F.col("in.at")).otherwise(F.col("out.at"))
     return (
-        lines.withColumn(
-            "toggles", F.sum("odd").over(so_far.rowsBetween(Window.unboundedPreceding, 0))
-        )
-        .join(blocks, ["file", "block"])
-        .withColumn("toggles", F.col("toggles") + F.col("before"))
-        .drop("before")
+        stated.withColumn("begun", F.when(begun.isNotNull(), F.struct("block", begun.alias("pos"))))
+        .withColumn("open", F.last("begun", True).over(earlier))
+        .withColumn("broken", F.col("inside") | F.exists("changes", lambda x: x["o"]))
+        .select("file", "path", "block", "bucket", "inside", "open", "broken", "head")
     )
 
 
-def _split(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lines that are a record, and lines of longer records with the record's number.
+def records(found: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(file, block, pos, record): every record with the place of its first line.
 
-    The line that opens a record, those inside and the one that closes it have
-    2n-1, 2n-1 and 2n toggles: all give n.
+    ``buckets`` is the stored summary of the same lines. The text is read once for lines
+    that are a record each, and once for those of broken buckets.
     """
-    inside = (F.col("toggles") - F.col("odd")) % 2 == 1
-    alone = ~inside & (F.col("odd") == 0)
-    longer = lines.filter(~alone).withColumn("number", F.expr("(toggles + 1) div 2"))
-    return lines.filter(alone), longer
-
-
-def _records(lines: DataFrame) -> DataFrame:
-    """Columns ``file``, ``block``, ``pos`` of a record's first line, and ``record``."""
-    alone, longer = _split(lines)
+    place = ["file", "block", "bucket"]
+    broken = buckets.where("broken").select(*place, "inside", "open")
+    whole = found.join(broken.select(*place), place, "left_anti").select(
+        "file", "block", "pos", F.col("value").alias("record")
+    )
+    if broken.isEmpty():
+        return whole.withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+    from_out, from_in = _after(F.col("value"))
+    order = Window.partitionBy(*place).orderBy("pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col("o") == F.col("i")
+    flips = F.when(F.col("o") & ~F.col("i"), 1).otherwise(0)
+    begin = F.col("inside").cast("int")
+    stated = (
+        found.join(broken, place)
+        .withColumns({"o": from_out, "i": from_in})
+        .withColumn("flips", F.sum(flips).over(so_far))
+        .withColumn("set", F.last(F.when(same, F.struct(F.col("o").cast("int").alias("to"), "flips")), True).over(so_far))
+        .withColumn(
+            "ends", (F.coalesce("set.to", begin) + F.col("flips") - F.coalesce(F.col("set.flips"), F.lit(0))) % 2 == 1
+        )
+        .withColumn("begins_inside", F.coalesce(F.lag("ends").over(order), F.col("inside")))
+    )
+    start = F.when(~F.col("begins_inside"), F.struct("block", "pos"))
     joined = (
-        longer.groupBy("file", "number")
+        stated.withColumn("first", F.coalesce(F.last(start, True).over(so_far), F.col("open")))
+        .groupBy("file", "first")
         .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts"))
-        .select(
-            "file",
-            F.col("parts")[0]["block"].alias("block"),
-            F.col("parts")[0]["pos"].alias("pos"),
-            F.array_join(F.col("parts")["value"], "\n").alias("record"),
-        )
+        .select("file", "first.block", "first.pos", F.array_join("parts.value", "\n").alias("record"))
     )
-    whole = alone.select("file", "block", "pos", F.col("value").alias("record"))
     return whole.union(joined).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
 
 
-def irregular_files(spark: SparkSession, files: list[str]) -> list[str]:
-    """Files for which counting quotes isn't proven to find the records.
-
-    If every record consists of whole fields, then each ended where the next one
-    began, and they are right. Records of unlikely length are ruled out before
-    their lines are brought together: one stray quote can make a "record" of
-    everything up to the next.
-    """
-    _, longer = _split(_lines(spark, files))
-    sizes = longer.groupBy("file", "number").agg(F.sum(F.length("value") + 1).alias("size"))
-    found = set(files_of(sizes.filter(F.col("size") > MAX_RECORD)))
-    rest = [f for f in files if f not in found]
-    if rest:
-        left = F.regexp_replace("record", QUOTED_FIELD, "")
-        found.update(files_of(_records(_lines(spark, rest)).filter(left.rlike('["\\r\\n]'))))
-    return sorted(found)
-
-
-def read(spark: SparkSession, files: list[str], names: list[str], corrupt: str) -> DataFrame:
-    """The records of files as text columns; their first records are the headers."""
-    lines = _lines(spark, files)
-    filled = F.trim("record") != ""
-    start = F.struct("block", "pos")
-    headers = (
-        _records(lines.filter("block = 0"))
-        .filter(filled)
-        .groupBy("file")
-        .agg(F.min(start).alias("first"), F.min_by("record", start).alias("header"))
-        .select("file", "first.block", "first.pos", "header")
+def heads(buckets: DataFrame) -> DataFrame:
+    """(file, path, pos, text, open): each file's first line that isn't blank, and
+    whether its record goes on."""
+    first = buckets.where("head IS NOT NULL").groupBy("file").agg(
+        F.min("head").alias("head"), F.first("path").alias("path")
     )
-    texts = headers.select(F.ltrim(F.col("header"), F.lit("\ufeff")))
-    if len(texts.distinct().limit(2).collect()) > 1:
-        raise ValueError(f"CSV files with different headers: {', '.join(files)}")
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, corrupt])
-    options = {"escape": '"', "columnNameOfCorruptRecord": corrupt}
-    return (
-        _records(lines)
-        .filter(filled)
-        .join(headers, ["file", "block", "pos"], "left_anti")
-        .select(F.from_csv("record", schema, options).alias("row"))
-        .select("row.*")
+    text = F.regexp_replace("head.value", r"\r\z", "")
+    return first.select("file", "path", F.col("head.pos").alias("pos"), text.alias("text")).withColumn(
+        "open", _after(F.col("text"))[0]
     )

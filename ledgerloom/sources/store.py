@@ -7,37 +7,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.schema import LEDGER_SCHEMA
-from ledgerloom.sources.csv_files import ledger_columns, parse, quality, read_csv, rejects
+from ledgerloom.schema import AMOUNT_TYPE, LEDGER_SCHEMA
+from ledgerloom.sources.csv_files import ledger_columns, parse, quality, read_csv, rejects, rounded
 
 PARTITIONS = ["year", "month"]
-MAX_ROWS_PER_FILE = 1_000_000
 _NO_TEXT = [T.StructField(c, T.StringType()) for c in LEDGER_SCHEMA.names]
 
 
-def write_ledger(ledger: DataFrame, path: str) -> None:
+def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0) -> None:
     """Store a ledger.
 
     The rebalance gathers each month into few files. It is a hint, so at run time
     Spark splits a month that is too big for one task (however large its part of
     the rows) and joins small ones, towards
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file. Rows per file
-    are limited too, for months that compress to almost nothing.
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file. ``rows_per_file``
+    limits the rows of a file as well; 0 sets no limit.
     """
     keys = [c for c in ("rejected", *PARTITIONS) if c in ledger.columns]
     (
         ledger.hint("rebalance", *PARTITIONS)
         .write.partitionBy(*keys)
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+        .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)
     )
 
 
-def ingest(spark: SparkSession, path: str, *csv_paths: str, multi_line: bool | None = None) -> None:
-    """CSV files to a stored ledger and its rejected rows, in one pass over them."""
-    parsed = parse(read_csv(spark, *csv_paths, multi_line=multi_line))
+def ingest(
+    spark: SparkSession,
+    path: str,
+    *csv_paths: str,
+    multi_line: bool | None = None,
+    amount_type: T.DecimalType = AMOUNT_TYPE,
+    rows_per_file: int = 0,
+) -> None:
+    """CSV files to a stored ledger and its rejected rows.
+
+    The text is read once to write the rows; see ``read_csv`` for what it reads before.
+    """
+    parsed = parse(read_csv(spark, *csv_paths, multi_line=multi_line), amount_type)
     bad = F.when(F.col("reject_reason") == "", 0).otherwise(1)
-    write_ledger(parsed.withColumn("rejected", bad), path)
+    write_ledger(parsed.withColumn("rejected", bad), path, rows_per_file)
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -70,5 +79,10 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return rejects(_read(spark, path).filter("rejected = 1"))
 
 
+def read_rounded(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the ledger whose amount had to be rounded, with its text."""
+    return rounded(_read(spark, path).filter("rejected = 0"))
+
+
 def read_quality(spark: SparkSession, path: str) -> DataFrame:
     return quality(_read(spark, path))

@@ -1,15 +1,12 @@
 """Tables written once per Spark application and read by every query after.
 
-They go to the shared folder the cluster names in ``spark.checkpoint.dir``, so a
-lost executor takes none of them along. A folder of our own is used where that is
-unset and Spark runs on this machine only.
+They go to a folder that all executors share, so a lost executor takes none of them
+along; see ``folders``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
-import uuid
 from collections.abc import Callable
 from typing import Any, TypeVar
 
@@ -17,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.schema import LEDGER_SCHEMA
 from ledgerloom.sources import order_tables
+from ledgerloom.sources.folders import new_folder
 from ledgerloom.sources.store import read_ledger, write_ledger
 
 _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
@@ -24,32 +22,17 @@ T = TypeVar("T")
 _built: dict[tuple[str, str, str], Any] = {}
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing was written to yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/ledgerloom-{app}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _fingerprint(spark: SparkSession, folder: str) -> str:
     """Names, sizes and times of the input files: changed data is read again."""
     jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
     seen = hashlib.sha256()
     for name in _INPUTS:
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
-        for f in path.getFileSystem(hadoop).listStatus(path):
-            seen.update(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}\n".encode())
+        files, told = path.getFileSystem(hadoop).listFiles(path, True), []
+        while files.hasNext():  # all levels, for partitioned tables
+            f = files.next()
+            told.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}\n")
+        seen.update("".join(sorted(told)).encode())
     return seen.hexdigest()
 
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.plans import pivot_export
 from ledgerloom.schema import LEDGER_SCHEMA, NULL_TOKENS, SOURCE_COLUMNS, TEXT_COLUMNS
@@ -93,6 +94,9 @@ def test_texts_that_only_look_empty_are_kept(ingested):
         ("1,234.50", "1234.50"),
         ("-1,234,567.89", "-1234567.89"),
         ("12.345", "12.35"),
+        ("12.3400", "12.34"),
+        ("1234.5e-1", "123.45"),
+        ("1200e-2", "12.00"),
         ("-12.345", "-12.35"),
         (" 5 ", "5.00"),
         ("1e3", "1000.00"),
@@ -107,7 +111,7 @@ def test_amounts(ingested, text, value):
     assert counts["over_precise_rows"] == (1 if "345" in text and len(text) < 8 else 0)
 
 
-@pytest.mark.parametrize("text", ["", "NA", "x", "1.2.3", "10000000000000000", "inf", "5d", "NaN"])
+@pytest.mark.parametrize("text", ["", "NA", "x", "1.2.3", "10000000000000000", "inf", "5d", "NaN", "1,2,3", "12,50", ",5", "1,234,56"])
 def test_bad_amounts(ingested, text):
     ledger, bad, counts = ingested(csv_text([{"amount": text}, {}]))
     assert ledger.count() == 1
@@ -134,6 +138,28 @@ def test_bad_months(ingested, text):
     assert [r.reject_reason for r in bad.collect()] == ["month"]
 
 
+@pytest.mark.parametrize("text,kept", [("0.00000000000000000012", "0.00"), ("1.005e-3", "0.00"), ("7.001", "7.00")])
+def test_rounded_amounts_keep_their_text(spark, tmp_path, text, kept):
+    path = tmp_path / "in.csv"
+    path.write_text(csv_text([{"amount": text}, {"amount": "7.000"}, {"amount": "x"}]))
+    out = str(tmp_path / "ledger")
+    store.ingest(spark, out, str(path))
+    (row,) = store.read_rounded(spark, out).collect()
+    assert (row.amount, row.amount_text) == (Decimal(kept), text)
+    assert store.read_quality(spark, out).first().over_precise_rows == 1
+    exact = str(tmp_path / "exact")
+    store.ingest(spark, exact, str(path), amount_type=T.DecimalType(38, 25), rows_per_file=1)
+    assert sorted(r.amount for r in store.read_ledger(spark, exact).collect()) == sorted([Decimal(text), Decimal(7)])
+
+
+def test_blanks_at_the_ends_of_texts_are_exported(spark, toy, tmp_path):
+    odd = toy.withColumn("shop", F.concat(F.lit(" "), "shop", F.lit("\t"))).withColumn("house_type", F.lit("  "))
+    path = str(tmp_path / "rows")
+    pivot_export.export_rows(odd, path)
+    back = csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))).select(*odd.columns)
+    assert back.exceptAll(odd).isEmpty() and odd.exceptAll(back).isEmpty()
+
+
 def test_all_reasons_are_named(ingested):
     _, bad, counts = ingested(csv_text([{"year": "x", "month": "13", "amount": ""}]))
     assert bad.first().reject_reason == "year,month,amount"
@@ -162,15 +188,6 @@ def test_quotes_commas_and_line_breaks(ingested):
     assert counts["rejected_rows"] == 0
 
 
-def test_only_files_with_broken_lines_are_read_whole(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(csv_text([{"shop": 'say "hi", x'}, {"shop": ""}]))
-    (tmp_path / "b.csv").write_text(csv_text([{"shop": "x\ny"}]))
-    found = csv_files.files_with_line_breaks(spark, str(tmp_path))
-    assert [f.rsplit("/", 1)[1] for f in found] == ["b.csv"]
-    raw = csv_files.read_csv(spark, str(tmp_path))
-    assert sorted(r[HEADER["shop"]] or "" for r in raw.collect()) == ["", 'say "hi", x', "x\ny"]
-
-
 def test_a_stray_quote_is_text(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text(csv_text([{}]) + '5" pipe,H,s,e,O,S,rent,2024,2,1\nP2,H,s,e,O,S,rent,2024,2,2\n')
@@ -188,11 +205,37 @@ def test_files_with_other_column_order_or_columns(ingested):
     ]
 
 
-def test_different_headers_in_one_folder_are_an_error(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(csv_text([{}]))
-    (tmp_path / "b.csv").write_text(csv_text([{}], [*reversed(GOOD)]))
-    with pytest.raises(Exception, match="(?i)header"):
-        csv_files.read_csv(spark, str(tmp_path)).collect()
+def test_files_of_one_folder_are_read_by_their_headers(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(csv_text([{"org": "A"}, {"org": "B", "shop": "x\ny"}]))
+    (folder / "b.csv").write_text(csv_text([{"org": "C", "note": "n,m"}], [*reversed(GOOD)], extra=["note"]))
+    (folder / "c.csv").write_text(csv_text([{"org": "D", "NOTE": "k"}], extra=["NOTE"], bom=True))
+    ledger = csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, str(folder))))
+    note = next(c for c in ledger.columns if c.lower() == "note")
+    assert sorted((r.org, r.shop, r.year, r[note]) for r in ledger.collect()) == [
+        ("A", "S1", 2024, ""), ("B", "x\ny", 2024, ""), ("C", "S1", 2024, "n,m"), ("D", "S1", 2024, "k"),
+    ]
+
+
+def test_extra_columns_of_any_name(spark, tmp_path):
+    names = ["Year", "note.1", "a`b", "x y", "n", "N", "SHOP", "Amount_text"]
+    path = tmp_path / "in.csv"
+    path.write_text(csv_text([{n: f"v{i}" for i, n in enumerate(names)}], extra=names))
+    out = str(tmp_path / "ledger")
+    store.ingest(spark, out, str(path))
+    ledger = store.read_ledger(spark, out)
+    extra = {c: v for c, v in ledger.first().asDict().items() if c not in LEDGER_SCHEMA.names}
+    assert extra == {
+        "Year_2": "v0", "note.1": "v1", "a`b": "v2", "x y": "v3", "n": "v4", "N_2": "v5", "SHOP_2": "v6", "Amount_text_2": "v7",
+    }
+    from ledgerloom.operators.ranking import largest_first, preview
+
+    assert preview(ledger).count() == 1 and largest_first(ledger).count() == 1
+    csv_out = str(tmp_path / "csv")
+    pivot_export.export_rows(ledger, csv_out)
+    back = csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, csv_out)))
+    assert sorted(map(str, back.first())) == sorted(map(str, ledger.first()))
 
 
 def test_short_and_long_rows(ingested):
@@ -310,8 +353,6 @@ def test_blocks_of_a_file_with_line_breaks(spark, tmp_path, seed, end):
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         assert spark.read.text(str(path)).rdd.getNumPartitions() > 20
-        assert csv_files.files_with_line_breaks(spark, str(path))
-        assert csv_records.irregular_files(spark, [str(path)]) == []
         raw = csv_files.read_csv(spark, str(path))
         assert raw.columns == ["id", "first", "second", "last", "_too_long"]
         found = [tuple(r[:4]) for r in raw.collect()]
@@ -325,14 +366,51 @@ def test_blocks_of_a_file_with_line_breaks(spark, tmp_path, seed, end):
 def test_stray_quotes_and_line_breaks_in_one_file(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('id,t,u\n1,5" pipe,z\n2,"a\nb",z\n3,6" pipe,z\n4,"c\nd",7"\n')
-    assert csv_files.files_with_line_breaks(spark, str(path))
-    assert len(csv_records.irregular_files(spark, [f"file://{path}"])) == 1
     raw = csv_files.read_csv(spark, str(path))
     assert sorted(tuple(r[:3]) for r in raw.collect()) == [
         ("1", '5" pipe', "z"), ("2", "a\nb", "z"), ("3", '6" pipe', "z"), ("4", "c\nd", '7"'),
     ]
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_random_text_is_read_as_by_the_whole_file_reader(spark, tmp_path, seed, monkeypatch):
+    """Quotes anywhere, closed or not, in small blocks and buckets."""
+    monkeypatch.setattr(csv_records, "BUCKET", 3)
+    r = random.Random(seed)
+    pieces = ["a", "b", '"', '"', ",", ",", "\n", "费", '""', '",', ',"', "bbbbbbbbbb"]
+    body = "".join(r.choice(pieces) for _ in range(700))
+    path = tmp_path / "in.csv"
+    path.write_text("one,two,three\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = [tuple(x[:3]) for x in csv_files.read_csv(spark, str(path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = [tuple(x[:3]) for x in csv_files.read_csv(spark, str(path), multi_line=True).collect()]
+    assert sorted(found, key=str) == sorted(whole, key=str) and len(found) > 20
+
+
+def test_a_stray_quote_leaves_the_number_of_scan_tasks_as_it_is(spark, tmp_path):
+    sizes = []
+    for name, address in (("clean", "Addr 5 pipe"), ("stray", 'Addr 5" pipe')):
+        path = tmp_path / f"{name}.csv"
+        rows = [f"P{i},H,s,e,O,S,rent,2024,2,{i}" for i in range(4000)]
+        rows[2000] = f"{address},H,s,e,O,S,rent,2024,2,1"
+        path.write_text(csv_text([{}]) + "\n".join(rows) + "\n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            raw = csv_files.read_csv(spark, str(path))
+            sizes.append(raw.rdd.getNumPartitions())
+            assert raw.count() == 4001
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sizes[0] == sizes[1] > 5
+
+
 def test_headers_of_files_with_line_breaks(spark, tmp_path):
     for name, header in (("a", '"id\nx",t'), ("b", '"id\nx",t')):
         (tmp_path / f"{name}.csv").write_text(f'\n{header}\n\n1,"p\nq"\n"id\nx",t\n')
@@ -340,14 +418,5 @@ def test_headers_of_files_with_line_breaks(spark, tmp_path):
     assert raw.columns[:2] == ["id\nx", "t"]
     assert sorted(tuple(r[:2]) for r in raw.collect()) == 2 * [("1", "p\nq")] + 2 * [("id\nx", "t")]
     (tmp_path / "c.csv").write_text('t,"id\nx"\n1,"p\nq"\n')
-    with pytest.raises(ValueError, match="different headers"):
-        csv_files.read_csv(spark, str(tmp_path))
-
-
-def test_records_of_unlikely_length_are_not_gathered(spark, tmp_path, monkeypatch):
-    path = tmp_path / "in.csv"
-    path.write_text('id,t\n1,"a\nb"\n2,c\n')
-    monkeypatch.setattr(csv_records, "MAX_RECORD", 5)
-    assert len(csv_records.irregular_files(spark, [str(path)])) == 1
-    raw = csv_files.read_csv(spark, str(path))
-    assert sorted(tuple(r[:2]) for r in raw.collect()) == [("1", "a\nb"), ("2", "c")]
+    raw = csv_files.read_csv(spark, str(tmp_path))
+    assert ("p\nq", "1") in [tuple(r[:2]) for r in raw.select("`id\nx`", "t").collect()]
