@@ -177,7 +177,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, stripe: int = STRIP
     null text is empty and has the end id alone. ``file`` numbers the files in order.
     """
     texts = documents(docs)
-    ordered = texts.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # By the id alone: Spark brings a sample of the keys to the driver.
+    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     encoded = ordered.mapInArrow(_encode(tokenizer), "doc_id long, n_tokens long, ids array<int>")
     (
         encoded.withColumn("file", F.spark_partition_id())
