@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators import filters, ranking, totals
-from ledgerloom.operators.pivot import pivot
+from ledgerloom.operators.pivot import pivot, pivot_long
 from ledgerloom.plans import monthly, overview, pivot_export, properties, structure
 from ledgerloom.schema import SOURCE_COLUMNS, TOTAL
 from ledgerloom.sources import csv_files, store, workspace
@@ -103,6 +103,108 @@ def _csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written_and_read(spark, ledger)
 
 
+def _csv_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inch marks in addresses, line breaks in others and quotes that close too early, as
+    a careless program writes them: no quote is doubled."""
+    ledger = workspace.ledger(spark, sf_dir)
+    kind = F.col("month") % 4
+    address = (
+        F.when(kind == 1, F.concat("property_id", F.lit(' 5" pipe')))
+        .when(kind == 2, F.concat(F.lit('"'), "property_id", F.lit('\n"')))
+        .when(kind == 3, F.concat(F.lit('"'), "property_id", F.lit('"x" y')))
+        .otherwise(F.col("property_id"))
+    )
+    rest = [c for c in ledger.columns if c != "property_id"]
+    line = F.concat_ws(",", address, *(F.col(c).cast("string") for c in rest))
+    text = {ours: theirs for theirs, ours in SOURCE_COLUMNS.items()}
+    header = F.lit(",".join(text[c] for c in ["property_id", *rest]) + "\n")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    path = workspace.new_folder(spark, "stray-csv")
+    ledger.select(F.when(first, F.concat(header, line)).otherwise(line).alias("value")).write.text(path)
+    return _plain(csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))))
+
+
+def _csv_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blanks at the ends of texts, and texts of nothing else."""
+    ledger = workspace.ledger(spark, sf_dir).withColumns(
+        {
+            "shop": F.concat(F.lit("\t"), "shop", F.lit(" ")),
+            "property_id": F.concat(F.lit("  "), "property_id"),
+            "house_type": F.when(F.col("house_type") == "", F.lit("  ")).otherwise(F.col("house_type")),
+        }
+    )
+    return _written_and_read(spark, ledger)
+
+
+def _csv_padded_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace.new_folder(spark, "padded-pivot")
+    ledger = workspace.ledger(spark, sf_dir).withColumn("shop", F.concat(F.lit(" "), "shop", F.lit("\t")))
+    table = pivot(ledger, ["shop"], ["category"], margins=False)
+    pivot_export.export_pivot(table, path)
+    back = csv_files.read_csv(spark, path)
+    return back.select("shop", *(F.col(f"`{c}`").cast("double").alias(c) for c in table.columns[1:]))
+
+
+def _csv_two_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with two column orders, one with a further column."""
+    ledger = workspace.ledger(spark, sf_dir)
+    path = workspace.new_folder(spark, "two-orders")
+    text = {ours: theirs for theirs, ours in SOURCE_COLUMNS.items()}
+    even = F.col("month") % 2 == 0
+    csv_files.write_csv(ledger.filter(even), path, text)
+    other = ledger.filter(~even).select(*reversed(ledger.columns), F.col("shop").alias("note"))
+    csv_files.write_csv(other, path, text, mode="append")
+    return _plain(csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))))
+
+
+_EXTRA = {"note.1": "shop", "a`b": "org", "x y": "category", "Year": "month", "SHOP": "org"}
+
+
+def _csv_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Further columns with dots, backticks, blanks, and names that differ from ours by
+    nothing but case: ingested, stored, exported and read again."""
+    ledger = workspace.ledger(spark, sf_dir)
+    text = {ours: theirs for theirs, ours in SOURCE_COLUMNS.items()}
+    given = ledger.select(
+        *(F.col(c).cast("string").alias(text[c]) for c in ledger.columns),
+        *(F.col(of).cast("string").alias(name) for name, of in _EXTRA.items()),
+    )
+    source, stored = workspace.new_folder(spark, "extra-csv"), workspace.new_folder(spark, "extra")
+    csv_files.write_csv(given, source)
+    store.ingest(spark, stored, source)
+    path = workspace.new_folder(spark, "extra-rows")
+    pivot_export.export_rows(store.read_ledger(spark, stored), path)
+    return _plain(csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))))
+
+
+def _extra_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = workspace.ledger(spark, sf_dir)
+    more = {name: F.col(of) for name, of in _EXTRA.items() if name.lower() not in ledger.columns}
+    return _plain(ranking.preview(ledger.withColumns(more)))
+
+
+def _amounts(spark: SparkSession, sf_dir: str) -> str:
+    """Amounts with misplaced commas and with more decimals than are kept, ingested."""
+
+    def build() -> str:
+        ledger = workspace.ledger(spark, sf_dir)
+        text = {ours: theirs for theirs, ours in SOURCE_COLUMNS.items()}
+        plain = F.col("amount").cast("string")
+        shown = (
+            F.when(F.col("month") == 3, F.concat(plain, F.lit(",5")))
+            .when(F.col("month") == 4, F.concat(plain, F.lit("0000000000000000004")))
+            .when(F.col("month") == 5, F.concat(plain, F.lit("000")))
+            .when(F.col("month") == 6, F.concat(plain, F.lit("e-1")))
+            .otherwise(plain)
+        )
+        source, path = workspace.new_folder(spark, "amounts-csv"), workspace.new_folder(spark, "amounts")
+        csv_files.write_csv(ledger.withColumn("amount", shown), source, text)
+        store.ingest(spark, path, source)
+        return path
+
+    return workspace.once(spark, sf_dir, "amounts", build)
+
+
 def _csv_pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace.new_folder(spark, "pivot-csv")
     table = pivot(workspace.ledger(spark, sf_dir), ["property_id", "house_type"], ["category"])
@@ -219,6 +321,20 @@ def ledger_queries() -> dict[str, Query]:
             ["month", "year"],
             agg="min",
         ),
+        "pivot_property_wide": lambda d: pivot(d, ["property_id"], ["category", "year"]),
+        "pivot_count_fill": lambda d: pivot(d, ["shop"], ["category", "year"], agg="count", fill=-1),
+        "pivot_property_count_fill": lambda d: pivot(
+            d, ["property_id"], ["category"], agg="count", fill=-1
+        ),
+        "pivot_long_mean": lambda d: pivot_long(d, ["org"], ["category", "year"], agg="mean"),
+        "pivot_long_property": lambda d: pivot_long(d, ["property_id"], ["category", "month"]),
+        # a month, a year and a selection without rows
+        "empty_month_kpis": lambda d: monthly.kpis(d, 1990, 1),
+        "empty_income_share": lambda d: monthly.income_share(d, 1990, 1),
+        "empty_series": lambda d: structure.monthly_series(d, 1990),
+        "empty_top10": lambda d: properties.top_income(d, 1990),
+        "empty_property_kpis": lambda d: properties.kpis(d, 1990),
+        "empty_pivot": lambda d: pivot(pivot_export.chosen(d, year=[1990]), ["org"], ["category"]),
         "rows_export": lambda d: pivot_export.chosen(d, org=["AFRICA"], month=[2, 11]),
         # ingest of clean text rows, without files
         "ledger_normalised": lambda d: csv_files.accepted(csv_files.parse(_messy(d))),
@@ -226,6 +342,15 @@ def ledger_queries() -> dict[str, Query]:
     return {name: _on_ledger(report) for name, report in reports.items()} | {
         "csv_roundtrip": _csv_roundtrip,
         "csv_line_breaks": _csv_line_breaks,
+        "csv_stray_quotes": _csv_stray_quotes,
+        "csv_padded": _csv_padded,
+        "csv_padded_pivot": _csv_padded_pivot,
+        "csv_two_orders": _csv_two_orders,
+        "csv_extra_columns": _csv_extra_columns,
+        "extra_preview": _extra_preview,
+        "amounts_quality": lambda s, d: store.read_quality(s, _amounts(s, d)),
+        "amounts_rejects": lambda s, d: store.read_rejects(s, _amounts(s, d)),
+        "amounts_rounded": lambda s, d: _plain(store.read_rounded(s, _amounts(s, d))),
         "csv_pivot_roundtrip": _csv_pivot_roundtrip,
         "ingest_rows": _ingest_rows,
         "ingest_rejects": _ingest_rejects,
@@ -355,6 +480,19 @@ def _pivot(rows: list[str], cols: dict[str, str], agg: str = "sum", where: str =
     )
 
 
+def _filled(sql: str, cols: dict[str, str]) -> str:
+    """Counts of 0 shown as -1."""
+    shown = ", ".join(f'CASE WHEN "{c}" = 0 THEN -1 ELSE "{c}" END AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({shown}) FROM ({sql})"
+
+
+def _long(rows: list[str], cols: list[str], agg: str) -> str:
+    keys, across = ", ".join([*rows, *cols]), ", ".join(cols)
+    return f"""SELECT {keys}, grouping({rows[0]}) = 1 AS is_row_total,
+        grouping({cols[0]}) = 1 AS is_column_total, {_cell(agg)} AS amount
+        FROM ledger GROUP BY GROUPING SETS (({keys}), ({", ".join(rows)}), ({across}), ())"""
+
+
 def oracle_sql() -> dict[str, str]:
     if training is None:
         return ledger_sql()
@@ -480,12 +618,60 @@ FROM ledger WHERE {_LAST_MONTH}"""
             "min",
             "org IN ('ASIA', 'AMERICA') AND year IN (1996, 1998) AND month IN (1, 2, 10)",
         ),
+        "pivot_property_wide": _pivot(["property_id"], category_year),
+        "pivot_count_fill": _filled(_pivot(["shop"], category_year, "count"), category_year),
+        "pivot_property_count_fill": _filled(_pivot(["property_id"], by_category, "count"), by_category),
+        "pivot_long_mean": _long(["org"], ["category", "year"], "mean"),
+        "pivot_long_property": _long(["property_id"], ["category", "month"], "sum"),
+        "empty_month_kpis": _month_kpis("year = 1990 AND month = 1"),
+        "empty_income_share": _share(">").replace(_LAST_MONTH, "false"),
+        "empty_series": """SELECT month, CAST(sum(amount) AS DOUBLE) / 10000 AS net_10k
+            FROM ledger WHERE false GROUP BY month""",
+        "empty_top10": """SELECT property_id, CAST(sum(amount) AS DOUBLE) / 10000 AS income_10k
+            FROM ledger WHERE false GROUP BY property_id""",
+        "empty_property_kpis": _property_kpis("year = 1990"),
+        "empty_pivot": f"""SELECT org, false AS is_total, CAST(sum(amount) AS DOUBLE) AS "{TOTAL}"
+            FROM ledger WHERE false GROUP BY org""",
         "rows_export": f"SELECT {_ROW} FROM ledger WHERE org IN ('AFRICA') AND month IN (2, 11)",
         "ledger_normalised": f"SELECT {_ROW}, {note} FROM ledger WHERE {good}",
         "csv_roundtrip": f"SELECT {_ROW} FROM ledger",
         "csv_line_breaks": f"""SELECT * REPLACE (CASE WHEN house_type = ''
             THEN concat(property_id, chr(10), 'c/o "', shop, '", 2')
             ELSE property_id END AS property_id) FROM (SELECT {_ROW} FROM ledger)""",
+        "csv_stray_quotes": f"""SELECT * REPLACE (CASE month % 4
+            WHEN 1 THEN concat(property_id, ' 5" pipe') WHEN 2 THEN concat(property_id, chr(10))
+            WHEN 3 THEN concat('"', property_id, '"x" y') ELSE property_id END AS property_id)
+            FROM (SELECT {_ROW} FROM ledger)""",
+        "csv_padded": f"""SELECT * REPLACE (concat('  ', property_id) AS property_id,
+            concat(chr(9), shop, ' ') AS shop,
+            CASE WHEN house_type = '' THEN '  ' ELSE house_type END AS house_type)
+            FROM (SELECT {_ROW} FROM ledger)""",
+        "csv_padded_pivot": f"""SELECT concat(' ', shop, chr(9)) AS shop, {crosstab.replace(" / 10000", "")}
+            FROM ledger GROUP BY ALL""",
+        "csv_two_orders": f"""SELECT *, CASE WHEN month % 2 = 0 THEN '' ELSE shop END AS note
+            FROM (SELECT {_ROW} FROM ledger)""",
+        "csv_extra_columns": f"""SELECT {_ROW}, shop AS "note.1", org AS "a`b", category AS "x y",
+            CAST(month AS VARCHAR) AS "Year_2", org AS "SHOP_2" FROM ledger""",
+        "extra_preview": f"""SELECT *, shop AS "note.1", org AS "a`b", category AS "x y" FROM (
+            SELECT {_ROW} FROM ledger ORDER BY year, month, property_id, house_type, lease_start,
+            lease_end, org, shop, category, ledger.amount LIMIT 20)""",
+        "amounts_quality": """SELECT count(*) AS input_rows,
+            count(*) FILTER (WHERE month <> 3) AS accepted_rows,
+            count(*) FILTER (WHERE month = 3) AS rejected_rows,
+            CAST(0 AS BIGINT) AS bad_year, CAST(0 AS BIGINT) AS bad_month,
+            count(*) FILTER (WHERE month = 3) AS bad_amount, CAST(0 AS BIGINT) AS bad_columns,
+            count(*) FILTER (WHERE month = 4 OR month = 6 AND abs(amount * 100) % 10 <> 0)
+              AS over_precise_rows FROM ledger""",
+        "amounts_rejects": """SELECT property_id, house_type, lease_start, lease_end, org, shop,
+            category, 'amount' AS reject_reason, CAST(year AS VARCHAR) AS year_text,
+            CAST(month AS VARCHAR) AS month_text, concat(amount, ',5') AS amount_text
+            FROM ledger WHERE month = 3""",
+        "amounts_rounded": f"""SELECT * EXCLUDE (cents) REPLACE (coalesce(cents / 100, amount) AS amount)
+            FROM (SELECT {_ROW},
+              concat(ledger.amount, CASE WHEN month = 4 THEN '0000000000000000004' ELSE 'e-1' END) AS amount_text,
+              CASE WHEN month = 6 THEN sign(ledger.amount)
+                * CAST(floor(abs(ledger.amount) * 10 + 0.5) AS DOUBLE) END AS cents
+              FROM ledger WHERE month = 4 OR month = 6 AND abs(ledger.amount * 100) % 10 <> 0)""",
         "csv_pivot_roundtrip": _pivot(["property_id", "house_type"], by_category),
         "ingest_rows": f"SELECT {_ROW}, {note} FROM ledger WHERE {good}",
         "ingest_rejects": f"""SELECT property_id, house_type, lease_start, lease_end, org, shop,

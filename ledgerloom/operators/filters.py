@@ -2,7 +2,8 @@
 
 ``None`` or an empty list means "no filter". Default periods ("the latest one")
 are scalar subqueries: nothing runs until the report does, and Spark prunes the
-ledger's year/month partitions with the subquery's value.
+ledger's year/month partitions with the subquery's value. A stored ledger brings a
+small table of its periods, so that finding a month opens none of its files.
 """
 
 from __future__ import annotations
@@ -16,6 +17,31 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.measures import period_code
 
 
+def with_periods(ledger: DataFrame, periods: DataFrame) -> DataFrame:
+    """The ledger with its table of (year, month, rows), one row per month that occurs.
+    Tables made from it, filtered ones as well, don't have it."""
+    ledger.ledger_periods = periods
+    return ledger
+
+
+def stored_periods(ledger: DataFrame) -> DataFrame | None:
+    return ledger.__dict__.get("ledger_periods")
+
+
+def _with_year_and_month(ledger: DataFrame) -> DataFrame:
+    """The smallest table with every (year, month) of the ledger."""
+    periods = stored_periods(ledger)
+    return ledger if periods is None else periods
+
+
+def period_rows(ledger: DataFrame) -> DataFrame:
+    """(year, month, rows) of a ledger."""
+    periods = stored_periods(ledger)
+    if periods is None:
+        periods = ledger.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
+    return periods
+
+
 def select(ledger: DataFrame, **equal: Any) -> DataFrame:
     """Keep rows with ``column == value`` for every value that is given."""
     for column, value in equal.items():
@@ -35,7 +61,8 @@ def any_of(ledger: DataFrame, choices: Mapping[str, Sequence[Any] | None]) -> Da
 def latest_period(ledger: DataFrame) -> DataFrame:
     """Latest year, and the latest month inside that year. No row if empty."""
     return (
-        ledger.agg(F.max(period_code()).alias("code"))
+        _with_year_and_month(ledger)
+        .agg(F.max(period_code()).alias("code"))
         .filter(F.col("code").isNotNull())
         .select(
             (F.col("code") / 100).cast("int").alias("year"),
@@ -54,14 +81,14 @@ def at_year(ledger: DataFrame, year: int | None = None) -> DataFrame:
 
 
 def _latest_year(ledger: DataFrame) -> Column:
-    return ledger.agg(F.max("year")).scalar()
+    return _with_year_and_month(ledger).agg(F.max("year")).scalar()
 
 
 def at_period(ledger: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
     """Rows of one month. Default: latest year, and its latest month."""
     if month is not None:
         return at_year(ledger, year).filter(F.col("month") == month)
-    code = _latest_code(ledger if year is None else select(ledger, year=year))
+    code = _latest_code(select(_with_year_and_month(ledger), year=year))
     return ledger.filter(
         (F.col("year") == (code / 100).cast("int")) & (F.col("month") == code % 100)
     )
@@ -70,12 +97,14 @@ def at_period(ledger: DataFrame, year: int | None = None, month: int | None = No
 def options(ledger: DataFrame, column: str, descending: bool = False) -> DataFrame:
     """Distinct values of a column in order."""
     order = F.desc(column) if descending else F.asc(column)
+    if column in ("year", "month"):
+        ledger = _with_year_and_month(ledger)
     return ledger.select(column).distinct().orderBy(order)
 
 
 def month_options(ledger: DataFrame, year: int | None = None) -> DataFrame:
     """Months that occur in a year, latest first."""
-    return options(at_year(ledger, year), "month", descending=True)
+    return options(at_year(_with_year_and_month(ledger), year), "month", descending=True)
 
 
 def property_options(ledger: DataFrame, limit: int = 100) -> DataFrame:

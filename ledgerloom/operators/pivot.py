@@ -132,14 +132,24 @@ def _across(part: str, keys: int, scale: int) -> str:
     )
 
 
-def _printed(agg: str, parts: dict[str, str], fill: int, round_to: int | None) -> Column:
-    """The shown value of a cell. As SQL text: wide pivots have many of them."""
+def _printed(
+    agg: str, parts: dict[str, str], fill: int, round_to: int | None, scale: int
+) -> Column:
+    """The shown value of a cell. As SQL text: wide pivots have many of them.
+
+    A rounded mean is taken in decimals, where a half is a half; sums or counts too
+    large for that, or amounts with more decimals, are divided as doubles.
+    """
     if agg == "count":
         # Without rows the count is 0 in one plan and NULL in the other.
         return F.expr(f"cast(coalesce(nullif({parts['count']}, 0), {fill}) as bigint)")
     shown = parts.get(agg) or f"cast({parts['sum']} as double) / nullif({parts['count']}, 0)"
     if round_to is not None:
         shown = f"bround({shown}, {round_to})"
+        if agg == "mean" and scale <= 2:
+            sums = f"try_cast({parts['sum']} as decimal(22,2))"
+            exact = f"{sums} / nullif(try_cast({parts['count']} as decimal(12,0)), 0)"
+            shown = f"coalesce(cast(bround({exact}, {round_to}) as double), {shown})"
     return F.expr(f"coalesce({shown}, {fill})")
 
 
@@ -200,14 +210,14 @@ def pivot(
     else:
         table = wide.withColumn("is_total", F.lit(False))
 
+    scale = getattr(ledger.schema[value].dataType, "scale", 0)
     shown = [
-        _printed(agg, {p: f"c{i}_{p}" for p in parts}, fill, round_to).alias(name)
+        _printed(agg, {p: f"c{i}_{p}" for p in parts}, fill, round_to, scale).alias(name)
         for i, name in enumerate(names)
     ]
     if cols and margins:
-        scale = getattr(ledger.schema[value].dataType, "scale", 0)
         across = {p: _across(p, len(keys), scale) for p in parts}
-        shown.append(_printed(agg, across, fill, round_to).alias(total_name))
+        shown.append(_printed(agg, across, fill, round_to, scale).alias(total_name))
     if ordered and rows:
         table = table.orderBy("is_total", *rows)
     return table.select(*rows, *(["is_total"] if margins else []), *shown)
@@ -242,5 +252,6 @@ def pivot_long(
         ).filter(F.col(f"_{parts[0]}").isNotNull())
     else:
         table = cells.withColumns({"is_row_total": F.lit(False), "is_column_total": F.lit(False)})
-    shown = _printed(agg, {p: f"_{p}" for p in parts}, 0, round_to).alias(value)
+    scale = getattr(ledger.schema[value].dataType, "scale", 0)
+    shown = _printed(agg, {p: f"_{p}" for p in parts}, 0, round_to, scale).alias(value)
     return table.select(*rows, *cols, "is_row_total", "is_column_total", shown)

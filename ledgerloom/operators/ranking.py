@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.measures import period_code
 from ledgerloom.functions.names import quoted
+from ledgerloom.operators.filters import period_rows
 
 
 def top(totals: DataFrame, value: str, key: str, k: int) -> DataFrame:
@@ -36,16 +37,15 @@ def largest_first(df: DataFrame, value: str = "amount", limit: int | None = None
 def preview(ledger: DataFrame, rows: int = 20) -> DataFrame:
     """The first rows by year, month and then every other column.
 
-    Only the earliest periods can hold them. Their cut-off comes from counting
-    rows per period, which reads no column outside the partition keys; the other
-    periods are pruned before the wide read. The window sees one row per period,
+    Only the earliest periods can hold them. Their cut-off comes from the rows of
+    each period, stored beside the ledger or else counted without reading a column;
+    the other periods are pruned before the wide read. The window sees one row per period,
     at most 12 x 9999 of them since the ledger checks both ranges.
     """
     earlier = Window.orderBy("year", "month").rowsBetween(Window.unboundedPreceding, -1)
     cutoff = (
-        ledger.groupBy("year", "month")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        period_rows(ledger)
+        .withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
         .filter(F.col("before") < rows)
         .agg(F.max(period_code()))
         .scalar()

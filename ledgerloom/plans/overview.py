@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
 from ledgerloom.functions.formats import as_text
-from ledgerloom.operators.filters import at_period
+from ledgerloom.operators.filters import at_period, period_rows
 from ledgerloom.operators.pivot import pivot
 from ledgerloom.operators.ranking import preview, top
 from ledgerloom.operators.totals import distinct_count
@@ -16,9 +16,9 @@ from ledgerloom.operators.totals import distinct_count
 def kpis(ledger: DataFrame) -> DataFrame:
     """Gross income, expense and net of the latest month, and all rows' count.
 
-    Only the latest month's amounts are read; the count needs no column.
+    Only the latest month's amounts are read; the count is that of the periods.
     """
-    records = ledger.agg(F.count(F.lit(1))).scalar()
+    records = period_rows(ledger).agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
     return (
         at_period(ledger)
         .agg(

@@ -311,7 +311,9 @@ def quality(parsed: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, header: dict[str, str] | None = None) -> None:
+def write_csv(
+    df: DataFrame, path: str, header: dict[str, str] | None = None, mode: str = "error"
+) -> None:
     """Rows as a folder of UTF-8 CSV files, one per partition, each with a header.
 
     Partitions are written as they are, so an ordered result keeps its order over
@@ -321,7 +323,8 @@ def write_csv(df: DataFrame, path: str, header: dict[str, str] | None = None) ->
     header = header or {}
     (
         df.toDF(*(header.get(c, c) for c in df.columns))
-        .write.option("header", True)
+        .write.mode(mode)
+        .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')
         .option("emptyValue", "")

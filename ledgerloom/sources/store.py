@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.filters import with_periods
 from ledgerloom.schema import AMOUNT_TYPE, LEDGER_SCHEMA
 from ledgerloom.sources.csv_files import ledger_columns, parse, quality, read_csv, rejects, rounded
 
 PARTITIONS = ["year", "month"]
+PERIODS = "_periods"  # readers of the ledger skip names that begin so
 _NO_TEXT = [T.StructField(c, T.StringType()) for c in LEDGER_SCHEMA.names]
 
 
@@ -23,6 +25,7 @@ def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0) -> None:
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file. ``rows_per_file``
     limits the rows of a file as well; 0 sets no limit.
     """
+    spark = ledger.sparkSession
     keys = [c for c in ("rejected", *PARTITIONS) if c in ledger.columns]
     (
         ledger.hint("rebalance", *PARTITIONS)
@@ -30,6 +33,16 @@ def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0) -> None:
         .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)
     )
+    _count_periods(spark, path).coalesce(1).write.parquet(f"{path}/{PERIODS}")
+
+
+def _count_periods(spark: SparkSession, path: str) -> DataFrame:
+    """(year, month, rows) of the accepted rows, from the files' metadata."""
+    stored = _read(spark, path)
+    if "rejected" in stored.columns:
+        stored = stored.filter("rejected = 0")
+    return stored.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
+
 
 
 def ingest(
@@ -67,12 +80,15 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return stored.withColumns({c: F.col(c).cast("int") for c in odd})
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """A stored ledger, without rejected rows."""
+def read_ledger(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A stored ledger, without rejected rows, with its table of periods."""
     stored = _read(spark, path)
     if "rejected" in stored.columns:
         stored = ledger_columns(stored.filter("rejected = 0"))
-    return stored
+    if columns:
+        stored = stored.select(*columns)
+    periods = spark.read.schema("year int, month int, rows long").parquet(f"{path}/{PERIODS}")
+    return with_periods(stored, periods)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:

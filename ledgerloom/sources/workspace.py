@@ -55,4 +55,4 @@ def _store(spark: SparkSession, folder: str) -> DataFrame:
     properties = spark.read.parquet(path)
     path = new_folder(spark, "ledger")
     write_ledger(order_tables.postings(spark, folder, properties), path)
-    return read_ledger(spark, path).select(*LEDGER_SCHEMA.names)
+    return read_ledger(spark, path, LEDGER_SCHEMA.names)

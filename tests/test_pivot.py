@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from ledgerloom.operators.pivot import column_name, pivot
+from ledgerloom.operators.pivot import column_name, pivot, pivot_long
 from ledgerloom.schema import AGGREGATES, TOTAL
 from tests.conftest import make_ledger
 
@@ -206,3 +206,38 @@ def test_rounding_is_half_to_even(spark):
     rows = [("P", "", "O", "S", "c", 2024, 1, a) for a in ("0.12", "0.13")]
     table = pivot(make_ledger(spark, rows), ["org"], ["category"], agg="mean")
     assert table.first().c == 0.12
+
+
+@pytest.mark.parametrize("agg", AGGREGATES)
+@pytest.mark.parametrize("fill", [0, -1])
+def test_both_plans_give_the_same_cells(toy, agg, fill):
+    one, other = (
+        pivot(toy, ["org", "property_id"], ["category", "year"], agg=agg, fill=fill, one_shuffle=plan).collect()
+        for plan in (True, False)
+    )
+    assert one == other
+    assert any(fill in row[3:] for row in one)
+
+
+def test_a_mean_that_is_a_half_is_rounded_to_even(spark):
+    ledger = make_ledger(spark, [("P", "H", "O", "S", "c", 2024, 2, a) for a in ["1785477.19", *["0.00"] * 33]])
+    assert pivot(ledger, ["org"], [], agg="mean", margins=False).first()[-1] == 52514.04
+    assert pivot_long(ledger, ["org"], ["year"], agg="mean").first()["amount"] == 52514.04
+
+
+@pytest.mark.parametrize("agg", AGGREGATES)
+def test_the_long_pivot_has_the_wide_one_s_cells(toy, agg):
+    wide = pivot(toy, ["org"], ["category", "year"], agg=agg)
+    long = pivot_long(toy, ["org"], ["category", "year"], agg=agg).collect()
+    cells = {}
+    for r in long:
+        org = TOTAL if r["is_row_total"] else r["org"]
+        column = TOTAL if r["is_column_total"] else f"{r['category']}|{r['year']}"
+        cells[org, column] = r["amount"]
+    rows = {r["org"]: r.asDict() for r in wide.collect()}
+    assert set(cells) <= {(o, c) for o in rows for c in wide.columns[2:]}
+    for org, row in rows.items():
+        for c in wide.columns[2:]:
+            assert row[c] == cells.get((org, c), 0)
+    assert all(not r["is_row_total"] for r in pivot_long(toy, ["org"], ["year"], margins=False).collect())
+    assert pivot_long(toy.limit(0), ["org"], ["year"]).count() == 0

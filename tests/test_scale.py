@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from ledgerloom.operators import filters, ranking
 from ledgerloom.operators.pivot import pivot
 from ledgerloom.plans import monthly, overview, properties, structure
-from ledgerloom.sources import order_tables, store, workspace
+from ledgerloom.sources import folders, order_tables, store, workspace
 from tests.compare import connect, difference
 from tests.conftest import TOY_ROWS, make_ledger
 
@@ -43,15 +43,15 @@ def formatted(df):
     return explain(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.ledger_queries()))
 def test_no_pairwise_join_and_no_python(spark, name):
-    plan = formatted(entry.queries()[name](spark, SMALL))
+    plan = formatted(entry.ledger_queries()[name](spark, SMALL))
     for bad in ("CartesianProduct", "NestedLoop", "PythonUDF", "EvalPython", "InPandas"):
         assert bad not in plan, plan
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.ledger_queries().keys() == entry.ledger_sql().keys()
 
 
 def scans(df):
@@ -73,7 +73,7 @@ def test_latest_month_is_pruned_and_found_without_columns(stored):
     main, *subqueries = scans(filters.at_period(stored).select("amount"))
     assert "year" in main["PartitionFilters"] and "month" in main["PartitionFilters"]
     assert main["ReadSchema"] == "struct<amount:decimal(18,2)>"
-    assert subqueries and all(s["ReadSchema"] == "struct<>" for s in subqueries)
+    assert subqueries and all(s["ReadSchema"] == "struct<year:int,month:int>" for s in subqueries)
 
 
 def test_year_reports_prune_and_read_few_columns(stored):
@@ -87,9 +87,9 @@ def test_year_reports_prune_and_read_few_columns(stored):
 def test_pruning_does_not_wait_for_the_distinct_count(stored):
     schemas = [s["ReadSchema"] for s in scans(properties.kpis(stored))]
     assert sorted(set(schemas)) == [
-        "struct<>",
         "struct<property_id:string,amount:decimal(18,2)>",
         "struct<property_id:string>",
+        "struct<year:int>",
     ]
 
 
@@ -104,7 +104,7 @@ def test_whole_ledger_counts_read_no_amount(stored):
 def test_preview_reads_wide_rows_of_early_months_only(stored):
     wide, *counts = scans(ranking.preview(stored))
     assert "Subquery" in wide["PartitionFilters"]
-    assert all(c["ReadSchema"] == "struct<>" for c in counts)
+    assert counts and all(c["ReadSchema"] == "struct<year:int,month:int,rows:bigint>" for c in counts)
 
 
 def test_top_k_is_no_full_sort(stored):
@@ -239,7 +239,7 @@ def test_hot_customer_and_hot_order_are_split(spark, skewed, tmp_path):
 )
 def test_skewed_results(spark, skewed, name):
     con = connect(skewed, "/*.parquet")
-    assert difference(entry.queries()[name](spark, skewed), con, entry.oracle_sql()[name]) is None
+    assert difference(entry.ledger_queries()[name](spark, skewed), con, entry.ledger_sql()[name]) is None
 
 
 def test_changed_tables_are_read_again(spark, tmp_path):
@@ -257,4 +257,32 @@ def test_changed_tables_are_read_again(spark, tmp_path):
 
 
 def test_tables_go_to_the_named_shared_folder(spark):
-    assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert folders.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert folders.new_folder(spark, "x").startswith(folders.shared_folder(spark))
+
+
+def test_finding_a_month_opens_no_file_of_the_ledger(stored):
+    """The stored ledger's table of periods tells the latest month, options and counts."""
+    from ledgerloom.operators import filters, ranking
+
+    def files(df):
+        return {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+
+    for df in (filters.latest_period(stored), filters.options(stored, "year"), filters.month_options(stored)):
+        assert files(df) == {"_periods"}
+    counted = filters.period_rows(stored).agg({"rows": "sum"})
+    assert files(counted) == {"_periods"} and counted.first()[0] == stored.count()
+    assert filters.stored_periods(stored.filter("year = 1997")) is None
+    plan = ranking.preview(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and "rows#" in plan
+
+
+def test_a_second_ingest_has_its_own_periods(spark, toy, tmp_path):
+    from ledgerloom.operators import filters
+    from ledgerloom.sources import store
+
+    for name, rows in (("a", toy), ("b", toy.filter("year = 2023"))):
+        store.write_ledger(rows, str(tmp_path / name))
+    first, second = (store.read_ledger(spark, str(tmp_path / name)) for name in "ab")
+    assert tuple(filters.latest_period(first).first()) == (2024, 10)
+    assert tuple(filters.latest_period(second).first()) == (2023, 12)
