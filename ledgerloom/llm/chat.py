@@ -23,6 +23,7 @@ from ledgerloom.llm.tables import chosen
 
 TURNS = "array<struct<role:string,text:string>>"
 OPEN, CLOSE = "<turn ", "\n</turn>\n"
+ESCAPES = (("\\b", "\\bb"), ("\\l", "\\bl"), ("\\g", "\\bg"), ("<turn", "\\lturn"), ("</turn", "\\l/turn"))
 
 
 class Mapping(NamedTuple):
@@ -155,7 +156,7 @@ def canonical(records: DataFrame, mappings: list[Mapping] = MAPPINGS) -> DataFra
 def escaped(text: Column) -> Column:
     """No mark of the template is left: a backslash before b, l or g is marked itself,
     then ``<turn`` and ``</turn`` lose their first character."""
-    for raw, told in (("\\b", "\\bb"), ("\\l", "\\bl"), ("\\g", "\\bg"), ("<turn", "\\lturn"), ("</turn", "\\l/turn")):
+    for raw, told in ESCAPES:
         text = F.replace(text, F.lit(raw), F.lit(told))
     return text
 

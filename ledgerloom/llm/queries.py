@@ -17,6 +17,7 @@ from ledgerloom.llm import (
     near_dedup,
     packing,
     pii,
+    sql,
     token_files,
     toxicity,
 )
@@ -51,7 +52,8 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_link_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_rank.verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    found = link_rank.verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +100,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_near_dedup": sql.NEAR_DEDUP,
+        "op5_link_rank": sql.LINK_RANK,
+        "op6_chat_format": sql.CHAT_FORMAT,
+    }
