@@ -37,7 +37,7 @@ SIGNS = {
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
 _INNER = "!|+"  # of these, only those before a letter are part of a word
-AS_LETTER, AS_ITSELF, SHORTER, CLOSED, OPEN = -1.0, -2.5, -1.0, -0.2, -1.5
+AS_LETTER, AS_ITSELF, SHORTER, CLOSED, OPEN = -1.0, -9.0, -1.0, -0.2, -1.5
 _U32 = np.uint32
 
 
@@ -122,7 +122,8 @@ class Decoder:
         for c, run in groupby(word):
             n = len(list(run))
             if c in SIGNS:
-                lattice += [[*((x, AS_LETTER) for x in SIGNS[c]), (" ", AS_ITSELF)]] * n
+                read = [(x * k, AS_LETTER + SHORTER * (k < n)) for x in SIGNS[c] for k in sorted({1, min(n, 2), n})]
+                lattice.append([*read, (" ", AS_ITSELF)])
             elif n >= 2 and c.isalpha():
                 likely = {n: SHORTER * (n > 2), 2: SHORTER * (n > 2), 1: SHORTER * (n if n == 2 else 1)}
                 lattice.append([(c * k, cost) for k, cost in sorted(likely.items())])
@@ -190,7 +191,9 @@ def disguised(texts: list[str]) -> Iterator[tuple[int, int, int]]:
     edge = np.concatenate(([0], np.flatnonzero(last) + 1))
     run = np.repeat(np.diff(edge), np.diff(edge))
     followed = np.concatenate((letter[1:], [False]))
-    part = letter | (kind == 2) & (run < 3) | (kind == 3) & followed
+    digit = (codes >= 48) & (codes <= 57)
+    # Three and more of another sign set words apart.
+    part = letter | (kind == 2) & ((run < 3) | digit) | (kind == 3) & followed
     inside = np.concatenate(([False], part, [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[::2], edges[1::2]
@@ -251,10 +254,13 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model(NamedTuple):
-    """Sorted features, their weights, the intercept, and the language model."""
+    """Sorted features, their weights, which of them are telling, the weight of having
+    any of those, the intercept, and the language model."""
 
     features: np.ndarray
     weights: np.ndarray
+    telling: np.ndarray
+    any_weight: float
     intercept: float
     table: np.ndarray
 
@@ -265,7 +271,9 @@ class Model(NamedTuple):
             at = np.minimum(np.searchsorted(self.features, value), len(self.features) - 1)
             hit = self.features[at] == value
             both = np.unique(text[hit].astype(np.int64) * len(self.features) + at[hit])
-            np.add.at(total, both // len(self.features), self.weights[both % len(self.features)])
+            of, feature = both // len(self.features), both % len(self.features)
+            np.add.at(total, of, self.weights[feature])
+            total[np.unique(of[self.telling[feature]])] += self.any_weight
         return 1.0 / (1.0 + np.exp(-np.clip(total, -40, 40)))
 
 
@@ -289,7 +297,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     Labelled documents outside the held-out fold are learned from, at most MOST_LABELS,
     those with the smallest hash of their id; that many ids are broadcast. Several
     labels of a document count as toxic if one is. Features are the MOST_FEATURES words
-    and beginnings that tell most about the label.
+    and beginnings that tell most about the label, and whether a text has any of those
+    that stand in toxic texts alone, or nearly so: one such word is enough, though most
+    toxic texts have several.
     """
     table = language_model(docs)
     spark = docs.sparkSession
@@ -328,7 +338,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     )
     n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if n_toxic in (0, n):
-        return Model(np.zeros(0, np.int64), np.zeros(0), -40.0 if n_toxic == 0 else 40.0, table)
+        return _constant(-40.0 if n_toxic == 0 else 40.0, table)
     counts = (
         rows.select("toxic", F.explode("found").alias("feature"))
         .groupBy("feature")
@@ -340,18 +350,29 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     tells = F.col("t") * F.log(F.col("t") / expected) + F.when(
         clean > 0, clean * F.log(clean / (F.col("all") * (1 - rate)))
     ).otherwise(0.0)
-    top = counts.orderBy(F.desc(tells), "feature").limit(MOST_FEATURES).select("feature")
-    values = np.sort(top.toArrow()["feature"].to_numpy())
+    # So often in toxic texts alone that chance makes none of some 100,000 words so.
+    often = max(5, math.ceil(math.log(1e-7) / math.log(n_toxic / n)))
+    alone = (F.col("t") >= often) & (F.col("t") >= 0.95 * F.col("all"))
+    top = counts.orderBy(F.desc(tells), "feature").limit(MOST_FEATURES).select("feature", alone.alias("alone"))
+    chosen_features = top.toArrow().sort_by("feature")
+    values = chosen_features["feature"].to_numpy()
+    telling = np.array(chosen_features["alone"].to_pylist(), dtype=bool)
     if not len(values):
-        return Model(values, np.zeros(0), math.log(n_toxic / (n - n_toxic)), table)
+        return _constant(math.log(n_toxic / (n - n_toxic)), table)
     kept = F.filter("found", lambda x: F.array_contains(F.lit(values.tolist()), x))
     sample = rows.orderBy("doc_id").select("toxic", kept.alias("found")).toArrow()
-    x = np.zeros((len(sample), len(values) + 1))
+    x = np.zeros((len(sample), len(values) + 2))
     x[:, -1] = 1.0
     for i, own in enumerate(sample["found"].to_pylist()):
-        x[i, np.searchsorted(values, own)] = 1.0
+        at = np.searchsorted(values, own)
+        x[i, at] = 1.0
+        x[i, -2] = telling[at].any()
     w = _fit(x, sample["toxic"].to_numpy().astype(float))
-    return Model(values, w[:-1], float(w[-1]), table)
+    return Model(values, w[:-2], telling, float(w[-2]), float(w[-1]), table)
+
+
+def _constant(logit: float, table: np.ndarray) -> Model:
+    return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), 0.0, logit, table)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
