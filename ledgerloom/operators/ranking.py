@@ -15,18 +15,33 @@ def top(totals: DataFrame, value: str, key: str, k: int) -> DataFrame:
     return totals.orderBy(F.desc(value), F.asc(key)).limit(k)
 
 
+def _keeps_positions(df: DataFrame) -> bool:
+    """Whether a task that is run again finds its rows in the same order: there are
+    only files (or given rows) below, filtered and projected, and no shuffle."""
+
+    def fixed(node) -> bool:
+        below = node.children()
+        name = node.nodeName().split(" ")[0]
+        known = {"Project", "Filter", "SubqueryAlias", "LogicalRelation", "Relation", "LocalRelation", "LogicalRDD"}
+        return name in known and all(fixed(below.apply(i)) for i in range(below.size()))
+
+    return fixed(df._jdf.queryExecution().analyzed())
+
+
 def largest_first(df: DataFrame, value: str = "amount", limit: int | None = None) -> DataFrame:
     """All rows by absolute value, largest first, or only the first ``limit``.
 
     A full sort is split into ranges of the sort key. Copies of one row have the
     same key and would all land in one range, so the row's position in the scan
     is the last key: it changes nothing a reader can see and lets Spark cut a
-    run of copies. A task that is run again must find the same positions, so the
-    rows have to come from files (a stored ledger), filtered or not.
+    run of copies. Rows that don't come straight from files are sorted without it,
+    since a task that is run again may find them in another order.
     """
     order = [F.abs(value).desc(), *map(quoted, df.columns)]
     if limit is not None:
         return df.orderBy(*order).limit(limit)
+    if not _keeps_positions(df):
+        return df.orderBy(*order)
     return (
         df.withColumn("_position", F.monotonically_increasing_id())
         .orderBy(*order, "_position")

@@ -286,3 +286,11 @@ def test_a_second_ingest_has_its_own_periods(spark, toy, tmp_path):
     first, second = (store.read_ledger(spark, str(tmp_path / name)) for name in "ab")
     assert tuple(filters.latest_period(first).first()) == (2024, 10)
     assert tuple(filters.latest_period(second).first()) == (2023, 12)
+
+
+def test_positions_are_sort_keys_of_rows_from_files_only(stored):
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "_position" in plan(ranking.largest_first(filters.at_year(stored, 1997)))
+    shuffled = stored.repartition(3)
+    assert "_position" not in plan(ranking.largest_first(shuffled))
+    assert ranking.largest_first(shuffled).count() == stored.count()
