@@ -75,8 +75,8 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, most=1 << 22):
-                _, sizes = encoder(tokenizer).encode(rows.column("text").to_pylist())
+            for rows in slices(batch):
+                sizes = encoder(tokenizer).sizes(rows.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(sizes + 1)], names=["doc_id", "n_tokens"]
                 )

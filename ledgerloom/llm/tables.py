@@ -64,3 +64,4 @@ def slices(batch: pa.RecordBatch, name: str = "text", most: int = 1 << 20) -> It
         held += size
     if at < batch.num_rows:
         yield batch.slice(at)
+    pa.default_memory_pool().release_unused()  # between batches, for the other tasks

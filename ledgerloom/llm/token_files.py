@@ -23,7 +23,7 @@ from ledgerloom.llm.words import space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
-HELD_WORDS = 4_000_000  # words a Python process remembers, besides those of the texts at hand
+HELD_WORDS = 1_000_000  # words a Python process remembers, besides those of the texts at hand
 
 
 @cache
@@ -118,9 +118,13 @@ class Encoder:
             for w, found, core in zip(new, parts, cores)
         ]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def sizes(self, texts: list[str]) -> np.ndarray:
+        """How many ids each text has, without special tokens."""
+        return self.encode(texts, count_only=True)[1]
+
+    def encode(self, texts: list[str], count_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, without special tokens, and how many
-        each text has."""
+        each text has; with ``count_only`` only the second."""
         if not self.by_word:  # a tokenizer that needs the whole text gets it whole
             found = self._merged(texts)
             sizes = np.array([len(ids) for ids in found], dtype=np.int64)
@@ -142,7 +146,9 @@ class Encoder:
         at = np.searchsorted(self.hashes, kinds)[each]
         sizes = self.size[at].astype(np.int64)
         ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
-        flat = self.pool[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], sizes)]
+        flat = np.zeros(0, dtype=np.uint32)
+        if not count_only:
+            flat = self.pool[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], sizes)]
         if len(self.hashes) > HELD_WORDS:  # the words met first stay
             self.hashes, self.start, self.size, self.pool = held
         return flat, np.diff(ends[found.first])
@@ -157,7 +163,7 @@ def encoder(path: str) -> Encoder:
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, most=1 << 22):
+            for rows in slices(batch):
                 ids, sizes = encoder(path).encode(rows.column("text").to_pylist())
                 ends = np.cumsum(sizes)
                 flat = pa.array(np.insert(ids, ends, END).view(np.int32))

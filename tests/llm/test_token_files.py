@@ -53,6 +53,7 @@ def test_words_encoded_one_by_one_give_the_ids_of_the_text(monkeypatch):
         return out
 
     assert whole(5000) == ids
+    assert encoder.sizes(texts).tolist() == [len(x) for x in ids]
     encoder = t.Encoder(WORDS)
     monkeypatch.setattr(t, "HELD_WORDS", 100)  # words beyond these are not kept
     assert whole(20) == ids and len(encoder.hashes) <= 100
