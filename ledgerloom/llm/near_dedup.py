@@ -31,7 +31,7 @@ from ledgerloom.llm.words import U, blank_separated, shingles, words
 
 TREES, DEPTH = 16, 8
 SMALL = 8  # members of a region that are all paired
-BLOCK, CHUNK = 128, 512  # texts compared with each other in one call, about
+BLOCK, CHUNK = 64, 128  # texts compared with each other in one call, about
 
 _FEATURES = "doc_id long, n_shingles long, set_hash binary, labels binary"
 
