@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     hadoop = spark._jsc.hadoopConfiguration()
     system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(hadoop)
     if system.getScheme() == "file":
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         return f"file:///tmp/ledgerloom-{spark.sparkContext.sparkUser()}"
     return f"{system.getHomeDirectory().toString().rstrip('/')}/.ledgerloom"
