@@ -23,7 +23,7 @@ from ledgerloom.llm.words import space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
-HELD_WORDS = 1_000_000  # words a Python process remembers, besides those of the texts at hand
+HELD_WORDS = 2_000_000  # words a Python process remembers, besides those of the texts at hand
 
 
 @cache
@@ -163,7 +163,7 @@ def encoder(path: str) -> Encoder:
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, most=1 << 21):
                 ids, sizes = encoder(path).encode(rows.column("text").to_pylist())
                 ends = np.cumsum(sizes)
                 flat = pa.array(np.insert(ids, ends, END).view(np.int32))
