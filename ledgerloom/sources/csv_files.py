@@ -87,10 +87,13 @@ def _read_split(spark: SparkSession, path: str) -> DataFrame:
     csv_records.summary(found).write.parquet(folder)
     buckets = spark.read.parquet(folder)
     heads = csv_records.heads(buckets)
-    headers = heads.where("NOT open").drop("open")
-    if not heads.where("open").isEmpty():
-        headers = headers.union(_whole_headers(spark, found, buckets, heads))
-    layouts = [r.text for r in headers.select("text").distinct().orderBy("text").collect()]
+    told = heads.groupBy("text", "open").agg(F.bool_or("broken").alias("broken")).collect()
+    headers = heads.where("NOT open").select("file", "path", "pos", "text")
+    layouts = sorted(r.text for r in told if not r.open)
+    if any(r.open for r in told):
+        more = _whole_headers(spark, found, buckets, heads)
+        layouts = sorted({*layouts, *(r.text for r in more.select("text").distinct().collect())})
+        headers = headers.union(more)
     names = {text: _names(text) for text in layouts}
     every = list(dict.fromkeys(n for own in names.values() for n in own))
     spread = {c.lower(): c for c in every}
@@ -107,8 +110,8 @@ def _read_split(spark: SparkSession, path: str) -> DataFrame:
         F.col("file").alias("of"), F.col("pos").alias("header_pos"), layout.alias("layout"), columns.alias("columns")
     )
     rows = (
-        csv_records.records(found, buckets)
-        .where(F.trim("record").rlike(r"[^\s]"))
+        csv_records.records(found, buckets, any(r.broken for r in told))
+        .where(F.col("record").rlike(r"\S"))
         .join(of_file, F.col("file") == F.col("of"))
         .where("NOT (block = 0 AND pos = header_pos)")
     )

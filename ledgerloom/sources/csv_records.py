@@ -60,11 +60,12 @@ def summary(found: DataFrame) -> DataFrame:
     """
     from_out, from_in = _after(F.col("value"))
     changes = F.when(from_out | ~from_in, F.struct("pos", from_out.alias("o"), from_in.alias("i")))
-    filled = F.when(F.trim("value").rlike(r"[^\s]"), F.struct("pos", "value"))
+    filled = F.when((F.col("block") == 0) & F.col("value").rlike(r"\S"), F.col("pos"))
     buckets = found.groupBy("file", "block", "bucket").agg(
         F.sort_array(F.collect_list(changes)).alias("changes"),
         F.max("pos").alias("last"),
-        F.min(F.when(F.col("block") == 0, filled)).alias("head"),
+        F.min(filled).alias("head_pos"),
+        F.min_by("value", filled).alias("head_value"),
         F.first("path").alias("path"),
     )
 
@@ -87,7 +88,8 @@ def summary(found: DataFrame) -> DataFrame:
             lambda s: F.struct(s["inside"].alias("inside"), F.when(more(s), F.col("last")).otherwise(s["at"]).alias("at")),
         )
 
-    both = buckets.withColumn("out", walked(False)).withColumn("in", walked(True))
+    head = F.when(F.col("head_pos").isNotNull(), F.struct(F.col("head_pos").alias("pos"), F.col("head_value").alias("value")))
+    both = buckets.withColumn("head", head).withColumn("out", walked(False)).withColumn("in", walked(True))
     order = Window.partitionBy("file").orderBy("block", "bucket")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -111,19 +113,18 @@ def summary(found: DataFrame) -> DataFrame:
     )
 
 
-def records(found: DataFrame, buckets: DataFrame) -> DataFrame:
+def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> DataFrame:
     """(file, block, pos, record): every record with the place of its first line.
 
     ``buckets`` is the stored summary of the same lines. The text is read once for lines
-    that are a record each, and once for those of broken buckets.
+    that are a record each, and, if there are any, once for those of broken buckets.
     """
     place = ["file", "block", "bucket"]
+    shown = ["file", "block", "pos", F.regexp_replace("value", r"\r\z", "").alias("record")]
+    if not any_broken:
+        return found.select(*shown)
     broken = buckets.where("broken").select(*place, "inside", "open")
-    whole = found.join(broken.select(*place), place, "left_anti").select(
-        "file", "block", "pos", F.col("value").alias("record")
-    )
-    if broken.isEmpty():
-        return whole.withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+    whole = found.join(broken.select(*place), place, "left_anti").select(*shown)
     from_out, from_in = _after(F.col("value"))
     order = Window.partitionBy(*place).orderBy("pos")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -147,16 +148,18 @@ def records(found: DataFrame, buckets: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("parts"))
         .select("file", "first.block", "first.pos", F.array_join("parts.value", "\n").alias("record"))
     )
-    return whole.union(joined).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+    return whole.union(joined.withColumn("record", F.regexp_replace("record", r"\r\z", "")))
 
 
 def heads(buckets: DataFrame) -> DataFrame:
-    """(file, path, pos, text, open): each file's first line that isn't blank, and
-    whether its record goes on."""
-    first = buckets.where("head IS NOT NULL").groupBy("file").agg(
-        F.min("head").alias("head"), F.first("path").alias("path")
+    """(file, path, pos, text, open, broken): each file's first line that isn't blank,
+    whether its record goes on, and whether any record of the file goes over a line."""
+    first = (
+        buckets.groupBy("file")
+        .agg(F.min("head").alias("head"), F.first("path").alias("path"), F.bool_or("broken").alias("broken"))
+        .where("head IS NOT NULL")
     )
     text = F.regexp_replace("head.value", r"\r\z", "")
-    return first.select("file", "path", F.col("head.pos").alias("pos"), text.alias("text")).withColumn(
-        "open", _after(F.col("text"))[0]
+    return first.select(
+        "file", "path", F.col("head.pos").alias("pos"), text.alias("text"), _after(text)[0].alias("open"), "broken"
     )
