@@ -3,8 +3,9 @@
 A character trigram model is counted over all documents. A word that looks disguised
 (digits or signs among letters, a letter three times or more, single letters with one
 gap between them) becomes a lattice: every sign may stand for letters or for itself, a
-run may be shorter, gaps may close. Viterbi decoding picks the likeliest path under
-the language model and the channel's costs. The restored text is scored by a logistic
+run may be shorter, gaps may close or part words. Viterbi decoding picks the likeliest
+path under the language model and the channel's costs; among its best paths, and for
+where words of a spaced run end, the counts of whole words tell too. The restored text is scored by a logistic
 regression on its words and their beginnings, learned from labelled documents.
 """
 
@@ -23,13 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import chosen, documents, in_fold, slices, stored
-from ledgerloom.llm.words import U, code_points, folded_letters, mixed, words
+from ledgerloom.llm.words import BASE, U, code_points, folded_letters, mixed, words
 
 MOST_LABELS = 8192  # labelled documents learned from; the bound of the sample
 MOST_FEATURES = 512
 PREFIXES = (3, 4, 5, 6, 8)
 TRIPLES, CONTEXTS = 1 << 18, 1 << 16  # hashed cells of the language model
+WORDS = 1 << 18  # cells of the words' counts, two such rows
 HELD_WORDS = 1 << 16  # decoded words a task remembers
+PATHS = 8  # best paths kept for each state
+LONGEST = 40  # letters, equal ones in a row counted once, of a word in a spaced run
 
 # Signs and the letters they may stand for.
 SIGNS = {
@@ -38,6 +42,7 @@ SIGNS = {
 }
 _INNER = "!|+"  # of these, only those before a letter are part of a word
 AS_LETTER, AS_ITSELF, SHORTER, CLOSED, OPEN = -1.0, -9.0, -1.0, -0.2, -1.5
+UNSEEN = -6.0  # log-probability that a word is none of those counted
 _U32 = np.uint32
 
 
@@ -54,10 +59,15 @@ def _cells(a, b, c):
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(TRIPLES + CONTEXTS, dtype=np.int64)
+    total = np.zeros(TRIPLES + CONTEXTS + 2 * WORDS, dtype=np.int64)
+    of_words = total[TRIPLES + CONTEXTS :].reshape(2, WORDS)
     for batch in batches:
         for rows in slices(batch):
-            codes, _ = code_points(rows.column("text").to_pylist())
+            texts = rows.column("text").to_pylist()
+            found = words(texts, _letter_values()).hash
+            of_words[0] += np.bincount((found >> U(46)).astype(np.int64), minlength=WORDS)
+            of_words[1] += np.bincount((found & U(WORDS - 1)).astype(np.int64), minlength=WORDS)
+            codes, _ = code_points(texts)
             letters = folded_letters(False)[codes]
             keep = letters > 0
             keep[1:] |= letters[:-1] > 0
@@ -67,14 +77,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before[line[:-1] == 0] = 0
             triple, pair = _cells(before, line[:-1], line[1:])
             total[:TRIPLES] += np.bincount(triple, minlength=TRIPLES)
-            total[TRIPLES:] += np.bincount(pair, minlength=CONTEXTS)
+            total[TRIPLES : TRIPLES + CONTEXTS] += np.bincount(pair, minlength=CONTEXTS)
     some = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "n"])
 
 
 def language_model(docs: DataFrame) -> np.ndarray:
-    """Log-probability cells from all documents: TRIPLES counts, then CONTEXTS counts,
-    summed by Spark. The driver gets one row a cell."""
+    """Cells from all documents: TRIPLES counts, then CONTEXTS counts, then two rows of
+    WORDS counts, summed by Spark. The driver gets one row a cell."""
     counts = (
         documents(docs)
         .select("text")
@@ -83,7 +93,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
-    table = np.zeros(TRIPLES + CONTEXTS, dtype=np.float32)
+    table = np.zeros(TRIPLES + CONTEXTS + 2 * WORDS, dtype=np.float32)
     table[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     return table
 
@@ -98,6 +108,10 @@ class Decoder:
         self.table = table
         self.costs: dict[tuple[int, int, int], float] = {}
         self.held: OrderedDict[str, str] = OrderedDict()
+        self.of_words = table[TRIPLES + CONTEXTS :].reshape(2, WORDS)
+        self.n_words = float(self.of_words[0].sum(dtype=np.float64))
+        # What words that share a cell add to each other's counts, on average.
+        self.others = self.n_words / WORDS
 
     def cost(self, a: int, b: int, c: int) -> float:
         """log P(c | a, b), smoothed."""
@@ -110,46 +124,92 @@ class Decoder:
             found = self.costs[key] = math.log((n + 0.05) / (of + 0.05 * 200))
         return found
 
+    def gain(self, text: str) -> float:
+        """What the words' own counts add to the log-probability of their letters: a word
+        is one of those counted, or (UNSEEN) made of letters."""
+        total = 0.0
+        for word in text.split():
+            first, second = _word_cells(word)
+            n = min(float(self.of_words[0, first]), float(self.of_words[1, second])) - self.others
+            more = math.log(n / self.n_words) - self.best([[(c, 0.0)] for c in word])[1] if n > 0 else UNSEEN
+            total += max(UNSEEN, more)
+        return total
+
+    def readings(self, c: str, n: int) -> list[tuple[str, float]]:
+        """Readings of ``n`` times one character."""
+        if c in SIGNS:
+            read = [(x * k, AS_LETTER + SHORTER * (k < n)) for x in SIGNS[c] for k in sorted({1, min(n, 2), n})]
+            return [*read, (" ", AS_ITSELF)]
+        if n >= 2 and c.isalpha():
+            likely = {n: SHORTER * (n > 2), 2: SHORTER * (n > 2), 1: SHORTER * (n if n == 2 else 1)}
+            return [(c * k, cost) for k, cost in sorted(likely.items())]
+        return [((c if c.isalpha() else " ") * n, 0.0)]
+
     def options(self, word: str) -> list[list[tuple[str, float]]]:
         """The lattice of a word: for each run of one character its readings."""
-        spaced = len(word) > 2 and all(not _wordlike(c) for c in word[1::2])
-        if spaced:
-            closed = self.options(word[::2])
-            return [
-                [(text, cost + CLOSED) for text, cost in readings] for readings in closed
-            ]
-        lattice = []
-        for c, run in groupby(word):
-            n = len(list(run))
-            if c in SIGNS:
-                read = [(x * k, AS_LETTER + SHORTER * (k < n)) for x in SIGNS[c] for k in sorted({1, min(n, 2), n})]
-                lattice.append([*read, (" ", AS_ITSELF)])
-            elif n >= 2 and c.isalpha():
-                likely = {n: SHORTER * (n > 2), 2: SHORTER * (n > 2), 1: SHORTER * (n if n == 2 else 1)}
-                lattice.append([(c * k, cost) for k, cost in sorted(likely.items())])
-            else:
-                lattice += [[(c if c.isalpha() else " ", 0.0)]] * n
-        return lattice
+        return [self.readings(c, len(list(run))) for c, run in groupby(word)]
+
+    def _step(self, states: dict, readings: list[tuple[str, float]]) -> dict:
+        """The best paths for each two last characters, after one more run."""
+        after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        for (a, b), paths in states.items():
+            for letters, channel in readings:
+                x, y, more = a, b, channel
+                for c in letters:
+                    code = 0 if c == " " else ord(c)
+                    if not (code == 0 and y == 0):
+                        more += self.cost(x, y, code)
+                    x, y = (y, code) if code else (0, 0)
+                after.setdefault((x, y), []).extend((score + more, text + letters) for score, text in paths)
+        return {
+            key: paths if len(paths) == 1 else sorted(paths, key=lambda p: (-p[0], p[1]))[:PATHS]
+            for key, paths in after.items()
+        }
+
+    def _ended(self, states: dict) -> list[tuple[float, str]]:
+        return [(score, text) for paths in self._step(states, [(" ", 0.0)]).values() for score, text in paths]
 
     def best(self, lattice: list[list[tuple[str, float]]]) -> tuple[str, float]:
         """The likeliest path between two gaps, and its log-probability."""
-        states = {(0, 0): (0.0, "")}
-        for readings in [*lattice, [(" ", 0.0)]]:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
-                for letters, channel in readings:
-                    x, y, total = a, b, score + channel
-                    for c in letters:
-                        code = 0 if c == " " else ord(c)
-                        if not (code == 0 and y == 0):
-                            total += self.cost(x, y, code)
-                        x, y = (y, code) if code else (0, 0)
-                    found = after.get((x, y))
-                    path = (total, text + letters)
-                    if found is None or total > found[0] or total == found[0] and path[1] < found[1]:
-                        after[(x, y)] = path
-            states = after
-        score, text = max(states.values(), key=lambda s: (s[0], s[1]))
+        states = {(0, 0): [(0.0, "")]}
+        for readings in lattice:
+            states = self._step(states, readings)
+        score, text = max(self._ended(states))
+        return " ".join(text.split()), score
+
+    def _likeliest(self, states: dict) -> tuple[float, str]:
+        """Of the paths kept, the likeliest with its words' own counts."""
+        return max((score + self.gain(text), text) for score, text in self._ended(states))
+
+    def apart(self, letters: str) -> tuple[str, float]:
+        """The likeliest words of a spaced run: after each letter one may end (OPEN), or
+        the gap closes (CLOSED)."""
+        runs, at = [], 0
+        for c, run in groupby(letters):
+            n = len(list(run))
+            # Within a run a word ends where either part has a reading of its own.
+            runs.append((c, at, n, sorted({k for k in (1, 2, n - 2, n - 1, n) if 0 < k <= n})))
+            at += n
+        best: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        for r, (_, first, _, ends) in enumerate(runs):
+            for start in [first, *(first + k for k in ends[:-1])]:
+                before, text = best[start]
+                before += OPEN * (start > 0)
+                states = {(0, 0): [(0.0, "")]}
+                for c, at, n, ends_here in runs[r : r + LONGEST]:
+                    skipped = max(0, start - at)
+                    for k in ends_here:
+                        if k <= skipped:
+                            continue
+                        after = self._step(states, self.readings(c, k - skipped))
+                        score, word = self._likeliest(after)
+                        score += before + CLOSED * (at + k - start - 1)
+                        path = (score, f"{text} {word}")
+                        found = best.get(at + k)
+                        if found is None or score > found[0] or score == found[0] and path[1] < found[1]:
+                            best[at + k] = path
+                    states = after
+        score, text = best[len(letters)]
         return " ".join(text.split()), score
 
     def decode(self, word: str) -> str:
@@ -157,18 +217,38 @@ class Decoder:
         word = word.lower()
         found = self.held.get(word)
         if found is None:
-            found, score = self.best(self.options(word))
             if len(word) > 2 and not any(map(_wordlike, word[1::2])):
                 apart = word[::2]
-                plain = sum(self.best([[(c, 0.0)]])[1] if c.isalpha() else OPEN for c in apart)
+                found, score = self.apart(apart)
+                plain = sum(
+                    self._likeliest(self._step({(0, 0): [(0.0, "")]}, [(c, 0.0)]))[0] if c.isalpha() else OPEN for c in apart
+                )
                 if plain >= score:
                     found = " ".join(apart)
+            else:
+                found, _ = self.best(self.options(word))
             self.held[word] = found
             if len(self.held) > HELD_WORDS:
                 self.held.popitem(last=False)
         return found
 
 
+@cache
+def _letter_value(c: str) -> int:
+    return int(_letter_values()[ord(c)])
+
+
+def _word_cells(word: str) -> tuple[int, int]:
+    """Where a word is counted, as ``words`` hashes it."""
+    h = 0
+    for c in reversed(word):
+        h = (h * BASE + _letter_value(c)) % (1 << 64)
+    for _ in range(2):
+        h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 % (1 << 64)
+    h ^= h >> 32
+    return h >> 46, h % WORDS
+
+
 def _wordlike(c: str) -> bool:
     return c.isalpha() or c in SIGNS
 

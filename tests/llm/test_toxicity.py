@@ -42,6 +42,37 @@ def test_disguises_are_undone(model, shown, meant):
     assert toxicity.restored([f"that {shown}, there"], decoder) == [f"that {meant}, there"]
 
 
+@pytest.mark.parametrize(
+    "shown,meant",
+    [
+        ("you are a s t u p i d", "you are a stupid"), ("I l o s e r", "i loser"), ("a m 0 r 0 n!", "a moron!"),
+        ("a.s.t.u.u.u.p.i.d", "a stupid"), ("a s t u p i d i d i o t", "a stupid idiot"),
+    ],
+)
+def test_words_of_a_spaced_run_are_parted(model, shown, meant):
+    assert toxicity.restored([shown], toxicity.Decoder(model.table)) == [meant]
+
+
+def test_a_spaced_sentence_is_as_toxic_as_its_words(model):
+    decoder = toxicity.Decoder(model.table)
+    shown = ["y o u m o r o n", "you are a s t u p i d", "I l o s e r", "y o u a r e p a t h e t i c", "t h e s c u m"]
+    for text in toxicity.restored(shown, decoder):
+        assert {"moron", "stupid", "loser", "pathetic", "scum"} & set(text.split()), text
+    assert (model.scores(toxicity.restored(shown, decoder)) >= 0.5).all()
+
+
+def test_words_are_looked_up_where_they_are_counted(spark):
+    from ledgerloom.llm.words import word_hash
+
+    for word in ("idiot", "straße", "слово", "a"):
+        h = word_hash(word, toxicity._letter_values())
+        assert toxicity._word_cells(word) == (h >> 46, h % toxicity.WORDS)
+    docs = plain(spark, ["One word, one\nline", "one", None, ""])
+    counts = toxicity.language_model(docs)[toxicity.TRIPLES + toxicity.CONTEXTS :].reshape(2, -1)
+    assert [counts[i, cell] for i, cell in enumerate(toxicity._word_cells("one"))] == [3, 3]
+    assert (counts.sum(axis=1) == 5).all()
+
+
 def test_what_is_not_disguised_stays(model):
     decoder = toxicity.Decoder(model.table)
     for text in ["", "plain words, of the kind!", "12 34.5 (2020)", "of%%% athe*** whis$$$ to###", "Wow! Great!!", "a b", "$ 5 + 3 = 8"]:
