@@ -1,8 +1,8 @@
 """Toxicity of a text after undoing disguises, as a noisy channel.
 
 A character trigram model is counted over all documents. A word that looks disguised
-(digits or signs among letters, a letter three times or more, single letters with one
-gap between them) becomes a lattice: every sign may stand for letters or for itself, a
+(digits or signs among letters, a letter twice or more in a row, single letters with
+gaps of the same kind between them) becomes a lattice: every sign may stand for letters or for itself, a
 run may be shorter, gaps may close or part words. Viterbi decoding picks the likeliest
 path under the language model and the channel's costs; among its best paths, and for
 where words of a spaced run end, the counts of whole words tell too. The restored text is scored by a logistic
@@ -33,6 +33,7 @@ TRIPLES, CONTEXTS = 1 << 18, 1 << 16  # hashed cells of the language model
 WORDS = 1 << 18  # cells of the words' counts, two such rows
 HELD_WORDS = 1 << 16  # decoded words a task remembers
 PATHS = 8  # best paths kept for each state
+WIDEST = 3  # characters in a gap of a spaced run
 LONGEST = 40  # letters, equal ones in a row counted once, of a word in a spaced run
 
 # Signs and the letters they may stand for.
@@ -42,6 +43,7 @@ SIGNS = {
 }
 _INNER = "!|+"  # of these, only those before a letter are part of a word
 AS_LETTER, AS_ITSELF, SHORTER, CLOSED, OPEN = -1.0, -9.0, -1.0, -0.2, -1.5
+KNOWN = -2.0  # that a word of the documents, without signs, is a disguise
 UNSEEN = -6.0  # log-probability that a word is none of those counted
 _U32 = np.uint32
 
@@ -101,17 +103,29 @@ def language_model(docs: DataFrame) -> np.ndarray:
 # --- decoding -----------------------------------------------------------------------
 
 
+_START: dict = {(0, 0): [(0.0, None)]}
+
+
+def _text(path: tuple | None) -> str:
+    parts = []
+    while path:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts))
+
+
 class Decoder:
     """Viterbi decoding under one language model."""
 
-    def __init__(self, table: np.ndarray):
+    def __init__(self, table: np.ndarray, telling: np.ndarray | None = None):
         self.table = table
+        self.telling = telling  # features that tell
         self.costs: dict[tuple[int, int, int], float] = {}
-        self.held: OrderedDict[str, str] = OrderedDict()
+        self.held: OrderedDict[tuple[str, int], str] = OrderedDict()
         self.of_words = table[TRIPLES + CONTEXTS :].reshape(2, WORDS)
         self.n_words = float(self.of_words[0].sum(dtype=np.float64))
-        # What words that share a cell add to each other's counts, on average.
-        self.others = self.n_words / WORDS
+        # What words that share a cell add to each other's counts; the mean, with room.
+        self.others = 3 * self.n_words / WORDS
 
     def cost(self, a: int, b: int, c: int) -> float:
         """log P(c | a, b), smoothed."""
@@ -124,14 +138,31 @@ class Decoder:
             found = self.costs[key] = math.log((n + 0.05) / (of + 0.05 * 200))
         return found
 
+    def letters(self, word: str) -> float:
+        """The log-probability of a word's letters between two gaps."""
+        total, a, b = 0.0, 0, 0
+        for code in [*map(ord, word), 0]:
+            total += self.cost(a, b, code)
+            a, b = b, code
+        return total
+
+    def counted(self, word: str) -> float:
+        """How often a word stands in the documents; 0 or less if too seldom to tell."""
+        first, second = _word_cells(word)
+        return min(float(self.of_words[0, first]), float(self.of_words[1, second])) - self.others
+
+    def matters(self, text: str) -> bool:
+        if any(self.counted(word) > 0 for word in text.split()):
+            return True
+        return self.telling is not None and bool(np.isin(features([text])[1], self.telling).any())
+
     def gain(self, text: str) -> float:
         """What the words' own counts add to the log-probability of their letters: a word
         is one of those counted, or (UNSEEN) made of letters."""
         total = 0.0
         for word in text.split():
-            first, second = _word_cells(word)
-            n = min(float(self.of_words[0, first]), float(self.of_words[1, second])) - self.others
-            more = math.log(n / self.n_words) - self.best([[(c, 0.0)] for c in word])[1] if n > 0 else UNSEEN
+            n = self.counted(word)
+            more = math.log(n / self.n_words) - self.letters(word) if n > 0 else UNSEEN
             total += max(UNSEEN, more)
         return total
 
@@ -150,8 +181,9 @@ class Decoder:
         return [self.readings(c, len(list(run))) for c, run in groupby(word)]
 
     def _step(self, states: dict, readings: list[tuple[str, float]]) -> dict:
-        """The best paths for each two last characters, after one more run."""
-        after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        """The best paths for each two last characters, after one more run. A path is its
+        score and, linked, its readings."""
+        after: dict[tuple[int, int], list[tuple]] = {}
         for (a, b), paths in states.items():
             for letters, channel in readings:
                 x, y, more = a, b, channel
@@ -160,18 +192,19 @@ class Decoder:
                     if not (code == 0 and y == 0):
                         more += self.cost(x, y, code)
                     x, y = (y, code) if code else (0, 0)
-                after.setdefault((x, y), []).extend((score + more, text + letters) for score, text in paths)
+                after.setdefault((x, y), []).extend((score + more, (path, letters)) for score, path in paths)
         return {
-            key: paths if len(paths) == 1 else sorted(paths, key=lambda p: (-p[0], p[1]))[:PATHS]
+            key: paths if len(paths) == 1 else sorted(paths, key=lambda p: -p[0])[:PATHS]
             for key, paths in after.items()
         }
 
     def _ended(self, states: dict) -> list[tuple[float, str]]:
-        return [(score, text) for paths in self._step(states, [(" ", 0.0)]).values() for score, text in paths]
+        paths = self._step(states, [(" ", 0.0)]).values()
+        return [(score, _text(path).rstrip()) for some in paths for score, path in some]
 
     def best(self, lattice: list[list[tuple[str, float]]]) -> tuple[str, float]:
         """The likeliest path between two gaps, and its log-probability."""
-        states = {(0, 0): [(0.0, "")]}
+        states = _START
         for readings in lattice:
             states = self._step(states, readings)
         score, text = max(self._ended(states))
@@ -195,7 +228,7 @@ class Decoder:
             for start in [first, *(first + k for k in ends[:-1])]:
                 before, text = best[start]
                 before += OPEN * (start > 0)
-                states = {(0, 0): [(0.0, "")]}
+                states = _START
                 for c, at, n, ends_here in runs[r : r + LONGEST]:
                     skipped = max(0, start - at)
                     for k in ends_here:
@@ -212,22 +245,33 @@ class Decoder:
         score, text = best[len(letters)]
         return " ".join(text.split()), score
 
-    def decode(self, word: str) -> str:
-        """The restored word (maybe several, if a sign was a gap)."""
+    def decode(self, word: str, step: int = 1) -> str:
+        """The restored word (maybe several, if a sign was a gap or gaps part words); of a
+        spaced run every ``step``-th character counts."""
         word = word.lower()
-        found = self.held.get(word)
+        found = self.held.get((word, step))
         if found is None:
-            if len(word) > 2 and not any(map(_wordlike, word[1::2])):
-                apart = word[::2]
+            if step > 1:
+                apart = word[::step]
                 found, score = self.apart(apart)
                 plain = sum(
-                    self._likeliest(self._step({(0, 0): [(0.0, "")]}, [(c, 0.0)]))[0] if c.isalpha() else OPEN for c in apart
+                    self._likeliest(self._step(_START, [(c, 0.0)]))[0] if c.isalpha() else OPEN for c in apart
                 )
                 if plain >= score:
-                    found = " ".join(apart)
+                    found = word
             else:
-                found, _ = self.best(self.options(word))
-            self.held[word] = found
+                states = _START
+                for readings in self.options(word):
+                    states = self._step(states, readings)
+                score, found = self._likeliest(states)
+                found = " ".join(found.split())
+                # Doubled letters alone, as in many plain words: the reading must be a word of
+                # the documents or tell, and far likelier than a word of the documents.
+                if found != word and _only_doubled(word):
+                    plain = self.letters(word) + self.gain(word) - KNOWN
+                    if self.counted(word) > 0 and plain >= score or not self.matters(found):
+                        found = word
+            self.held[word, step] = found
             if len(self.held) > HELD_WORDS:
                 self.held.popitem(last=False)
         return found
@@ -249,8 +293,8 @@ def _word_cells(word: str) -> tuple[int, int]:
     return h >> 46, h % WORDS
 
 
-def _wordlike(c: str) -> bool:
-    return c.isalpha() or c in SIGNS
+def _only_doubled(word: str) -> bool:
+    return word.isalpha() and all(len(list(run)) < 3 for _, run in groupby(word))
 
 
 @cache
@@ -262,8 +306,9 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
-def disguised(texts: list[str]) -> Iterator[tuple[int, int, int]]:
-    """Yields (text, start, end) of what looks disguised, in order, not overlapping."""
+def disguised(texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
+    """Yields (text, start, end, step) of what looks disguised, in order, not overlapping;
+    in a spaced run every ``step``-th character counts."""
     codes, offset = code_points(texts)
     kind = _kinds()[codes]
     letter = kind == 1
@@ -280,36 +325,59 @@ def disguised(texts: list[str]) -> Iterator[tuple[int, int, int]]:
     if not len(start):
         return
     sums = lambda what: np.concatenate(([0], np.cumsum(what)))
-    n_letters, n_signs, n_runs = sums(letter), sums(part & ~letter), sums(letter & (run >= 3))
+    n_letters, n_signs, n_runs = sums(letter), sums(part & ~letter), sums(letter & (run >= 2))
     has = lambda total: total[end] - total[start]
     odd = (has(n_letters) > 0) & ((has(n_signs) > 0) | (has(n_runs) > 0))
-    # Single characters with one character between them, four or more in a row.
+    # Single characters, three or more in a row, with one character between them or the
+    # same few.
     single = end - start == 1
-    joins = single[:-1] & single[1:] & (start[1:] - end[:-1] == 1) & (codes[end[:-1]] != 10)
-    joined = np.concatenate(([False], joins, [False]))
-    turns = np.flatnonzero(joined[1:] != joined[:-1])
+    width = start[1:] - end[:-1]
+    kinds = np.zeros(len(width), dtype=np.int64)
+    joins = single[:-1] & single[1:] & (width <= WIDEST)
+    for i in range(WIDEST):
+        here = np.flatnonzero(joins & (width > i))
+        code = codes[end[here] + i].astype(np.int64)
+        kinds[here] |= code << (21 * i)
+        joins[here[code == 10]] = False
+    kinds[width == 1] = 0
+    edge = np.flatnonzero(np.concatenate(([True], (joins[1:] != joins[:-1]) | (kinds[1:] != kinds[:-1]), [True])))
     spans = []
     in_row = np.zeros(len(start), dtype=bool)
-    for first, stop in zip(turns[::2], turns[1::2]):
-        if stop - first >= 3 and n_letters[end[stop]] - n_letters[start[first]] >= 2:
-            spans.append((start[first], end[stop]))
+    for first, stop in zip(edge[:-1], edge[1:]) if len(joins) else ():
+        if not joins[first]:
+            continue
+        first += in_row[first]  # a character between gaps of two kinds is in one run
+        if stop - first >= 2 and n_letters[end[stop]] - n_letters[start[first]] >= 2:
+            spans.append((start[first], end[stop], width[first] + 1))
             in_row[first : stop + 1] = True
-    spans += [(start[i], end[i]) for i in np.flatnonzero(odd & ~in_row)]
-    for a, b in sorted(spans):
-        text = int(np.searchsorted(offset, a, side="right")) - 1
-        yield text, int(a - offset[text]), int(b - offset[text])
+    some = np.flatnonzero(odd & ~in_row)
+    alone = np.stack((start[some], end[some], np.ones(len(some), dtype=np.int64)), axis=1)
+    both = np.concatenate((alone, np.array(spans, dtype=np.int64).reshape(-1, 3)))
+    both = both[np.argsort(both[:, 0])]
+    text = np.searchsorted(offset, both[:, 0], side="right") - 1
+    own = offset[text]
+    yield from zip(text.tolist(), (both[:, 0] - own).tolist(), (both[:, 1] - own).tolist(), both[:, 2].tolist())
+
+
+def undone(texts: list[str], decoder: Decoder) -> tuple[list[str], np.ndarray]:
+    """The texts with disguises replaced by their likeliest reading, and how many each had."""
+    out, n = list(texts), np.zeros(len(texts), dtype=np.int64)
+    for text, spans in groupby(disguised(texts), key=lambda span: span[0]):
+        whole, parts, at = texts[text], [], 0
+        for _, start, end, step in spans:
+            word = whole[start:end].lower()
+            found = decoder.decode(word, step)
+            if found != word:
+                parts += [whole[at:start], found]
+                at = end
+                n[text] += 1
+        out[text] = "".join([*parts, whole[at:]])
+    return out, n
 
 
 def restored(texts: list[str], decoder: Decoder) -> list[str]:
     """The texts with what looked disguised replaced by its likeliest reading."""
-    out = list(texts)
-    for text, spans in groupby(disguised(texts), key=lambda span: span[0]):
-        parts, at = [], 0
-        for _, start, end in spans:
-            parts += [texts[text][at:start], decoder.decode(texts[text][start:end])]
-            at = end
-        out[text] = "".join([*parts, texts[text][at:]])
-    return out
+    return undone(texts, decoder)[0]
 
 
 # --- scoring -------------------------------------------------------------------------
@@ -467,14 +535,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        decoder = Decoder(model.table)
+        decoder = Decoder(model.table, model.features)
         for batch in batches:
             for rows in slices(batch):
                 texts = rows.column("text").to_pylist()
-                n = np.zeros(len(texts), dtype=np.int64)
-                for text, _, _ in disguised(texts):
-                    n[text] += 1
-                found = model.scores(restored(texts, decoder))
+                plain, n = undone(texts, decoder)
+                found = model.scores(plain)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id"),

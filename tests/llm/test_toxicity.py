@@ -53,6 +53,25 @@ def test_words_of_a_spaced_run_are_parted(model, shown, meant):
     assert toxicity.restored([shown], toxicity.Decoder(model.table)) == [meant]
 
 
+@pytest.mark.parametrize(
+    "shown,meant",
+    [
+        ("stuupid", "stupid"), ("iddiot", "idiot"), ("scuum", "scum"), ("iddioott", "idiot"), ("s - t - u - p - i - d", "stupid"),
+        ("s  t  u  p  i  d", "stupid"), ("m...o...r...o...n", "moron"), ("d i e", "die"),
+        ("s t u p i d  i d i o t", "stupid  idiot"), ("i - d - 1 - 0 - t", "idiot"),
+    ],
+)
+def test_light_disguises_are_undone(model, shown, meant):
+    decoder = toxicity.Decoder(model.table)
+    assert toxicity.restored([f"that {shown}, there"], decoder) == [f"that {meant}, there"]
+
+
+def test_usual_double_letters_stay_and_are_not_counted(spark, model):
+    assert toxicity.restored(["Worthless, all"], toxicity.Decoder(model.table)) == ["Worthless, all"]
+    rows = toxicity.score(plain(spark, ["worthless worthless", "iddiot worthless", ""]), model).orderBy("doc_id").collect()
+    assert [r["n_restored"] for r in rows] == [0, 1, 0]
+
+
 def test_a_spaced_sentence_is_as_toxic_as_its_words(model):
     decoder = toxicity.Decoder(model.table)
     shown = ["y o u m o r o n", "you are a s t u p i d", "I l o s e r", "y o u a r e p a t h e t i c", "t h e s c u m"]
