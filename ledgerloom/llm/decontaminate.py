@@ -5,7 +5,7 @@ words moves over every document, one word at a time, and each window gets a 64-b
 SimHash of its word pairs, from running sums. Four 16-bit blocks of the fingerprint
 are looked up in an index of the items' blocks with up to RADIUS // 4 bits changed:
 two fingerprints within RADIUS bits differ by no more than that in some block, so
-the index finds every one of them. What lies within the radius is then compared
+the index finds every one of them; a group of FEW items is compared directly. What lies within the radius is then compared
 exactly: shingles of five words, weighted by how often they occur.
 """
 
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.tables import by_place, chosen, documents, place, slices
 from ledgerloom.llm.words import U, Words, letters_and_digits, runs, shingles, words
 
-RADIUS = 11
+RADIUS = 15
 BLOCK_WORDS = 200_000  # words of items in one index, which goes to every executor
+BLOCK_ITEMS = 10_000  # items in one index, each with 697 changed values of four blocks
+FEW = 32  # items of a group that are compared with every window, without the index
 STRETCH = 0.04  # a group's windows are at most this much shorter or longer than its items
 _BLOCKS, _BITS = 4, 16
 _STEP = 1 << 13  # windows at a time: their sums stay in the processor's cache
@@ -121,6 +123,8 @@ def _values(hashes: np.ndarray) -> np.ndarray:
 
 def near(prints: np.ndarray, group: Group, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Every (window, item of the group) within the radius."""
+    if len(group.items) <= FEW:
+        return np.nonzero(np.bitwise_count(prints[:, None] ^ group.prints[None, :]) <= radius)
     windows, items = [], []
     for block in range(_BLOCKS):
         key = ((prints >> U(_BITS * block)) & U(0xFFFF)).astype(np.int64)
@@ -210,7 +214,7 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]
     block, held = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         own = words([row["text"]], letters_and_digits()).hash
-        if held and held + len(own) > BLOCK_WORDS:
+        if held and held + len(own) > BLOCK_WORDS or len(block) >= BLOCK_ITEMS:
             yield block
             block, held = [], 0
         block.append((row["item_id"], own))

@@ -81,6 +81,24 @@ def test_leaks_are_those_of_brute_force(spark):
     assert found == brute
 
 
+def test_passages_of_just_enough_likeness_are_found():
+    """Items cut at the end, in the middle of other words, to a likeness of 0.80 or 0.81."""
+    rng = np.random.default_rng(11)
+    missed = n = 0
+    for size in (40, 49, 58, 100):
+        for _ in range(60):
+            item, longer, before, after = (rng.integers(0, 1 << 62, k, dtype=np.int64).view(U) for k in (size, size - 1, 60, 60))
+            groups = d.index([item, longer])
+            kept = next(k for k in range(size // 2, size) if 10 * (k - 4) >= 8 * (2 * (size - 4) - (k - 4)))
+            hashes = np.concatenate((before, item[:kept], after))
+            offset = np.array([0, len(hashes) + 1])
+            place = np.arange(len(hashes))
+            found = d.Words(np.zeros(len(hashes), np.int64), hashes, place, place + 1, np.array([0, len(hashes)]), offset)
+            missed += not any(m[1] == 0 for m in d.matches(found, [item, longer], groups, 5, 80))
+            n += 1
+    assert n == 240 and missed <= 1
+
+
 def test_planted_items_of_the_tables(spark):
     docs, bench = given(spark, "documents", "sf0.01"), given(spark, "benchmark", "sf0.01")
     items = {r["item_id"]: r["text"] for r in bench.collect()}
