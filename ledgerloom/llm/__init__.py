@@ -1,4 +1,4 @@
-"""Operators that prepare text for training: ten operators and their queries.
+"""Operators that prepare text for training, and their queries.
 
 Nothing else in the library imports this package.
 """

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL where there is one."""
+"""The registered queries of the operators, and their SQL where there is one."""
 
 from __future__ import annotations
 
@@ -13,13 +13,16 @@ from ledgerloom.llm import (
     decontaminate,
     fingerprints,
     language_id,
+    lexical_search,
     link_rank,
     near_dedup,
     packing,
     pii,
     sql,
+    substrings,
     token_files,
     toxicity,
+    whitening,
 )
 from ledgerloom.llm.tables import in_fold, stored
 from ledgerloom.sources.workspace import new_folder
@@ -84,6 +87,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", in_fold(F.col("doc_id")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.drop_repeats(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -96,6 +111,9 @@ def queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_packing": op9_packing,
         "op10_toxicity": op10_toxicity,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_whitening": op12_whitening,
+        "op13_substring_dedup": op13_substring_dedup,
     }
 
 
@@ -104,4 +122,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_near_dedup": sql.NEAR_DEDUP,
         "op5_link_rank": sql.LINK_RANK,
         "op6_chat_format": sql.CHAT_FORMAT,
+        "op11_lexical_search": sql.LEXICAL_SEARCH,
+        "op13_substring_dedup": sql.SUBSTRING_DEDUP,
     }

@@ -125,3 +125,54 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learned) AS loss_c
             ELSE 'messages' END AS layout
 FROM talks
 """
+
+# Every document's terms counted one by one.
+LEXICAL_SEARCH = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), corpus AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM texts WHERE len(terms) > 0
+), counted AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM texts) GROUP BY r, term
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * any_value(n_docs) + 2) / (2.0 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, corpus WHERE term IN (SELECT term FROM wanted) GROUP BY term
+), scored AS (
+  SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN texts USING (r), corpus
+  GROUP BY item_id, r
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored JOIN texts USING (r) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+# Every window of thirteen words with the smallest document that has it.
+SUBSTRING_DEDUP = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS told
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM texts)
+), lowest AS (
+  SELECT told, min(doc_id) AS least FROM windows GROUP BY told
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS place FROM windows JOIN lowest USING (told) WHERE least < doc_id
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS words, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM texts) ANTI JOIN gone USING (r, place)
+  GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""

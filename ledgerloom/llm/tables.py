@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,3 +66,10 @@ def slices(batch: pa.RecordBatch, name: str = "text", most: int = 1 << 20) -> It
     if at < batch.num_rows:
         yield batch.slice(at)
     pa.default_memory_pool().release_unused()  # between batches, for the other tasks
+
+
+def give_back(spark) -> None:
+    """Lets Spark delete the shuffle files of steps that are over: it does so when the
+    driver has collected the plans that made them."""
+    gc.collect()
+    spark._jvm.System.gc()

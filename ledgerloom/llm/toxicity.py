@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import chosen, documents, in_fold, slices, stored
-from ledgerloom.llm.words import BASE, U, code_points, folded_letters, mixed, words
+from ledgerloom.llm.words import PLACE, U, code_points, folded_letters, mixed, placed, words
 
 MOST_LABELS = 8192  # labelled documents learned from; the bound of the sample
 MOST_FEATURES = 512
@@ -277,19 +277,20 @@ class Decoder:
         return found
 
 
+def _mixed(h: int) -> int:
+    for _ in range(2):
+        h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 % (1 << 64)
+    return h ^ (h >> 32)
+
+
 @cache
-def _letter_value(c: str) -> int:
-    return int(_letter_values()[ord(c)])
+def _placed(c: str, place: int) -> int:
+    return int(placed(np.array([(int(_letter_values()[ord(c)]) + place * PLACE) % (1 << 64)], dtype=U))[0])
 
 
 def _word_cells(word: str) -> tuple[int, int]:
     """Where a word is counted, as ``words`` hashes it."""
-    h = 0
-    for c in reversed(word):
-        h = (h * BASE + _letter_value(c)) % (1 << 64)
-    for _ in range(2):
-        h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 % (1 << 64)
-    h ^= h >> 32
+    h = _mixed(sum(_placed(c, i) for i, c in enumerate(word)) % (1 << 64))
     return h >> 46, h % WORDS
 
 

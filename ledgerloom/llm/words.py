@@ -1,9 +1,11 @@
 """Words of many texts as 64-bit hashes, found and hashed together in numpy.
 
-A word's hash is a polynomial in its characters modulo 2**64, taken from running
-sums, so the cost is per character and not per word. The odd base has an inverse,
-which moves each word's sum to exponent 0. Prefixes of words have hashes from the
-same sums.
+A word's hash is the sum of a mixed value for each character at its place in the word,
+taken from running sums, so the cost is per character and not per word. Place and
+character are mixed together before they are added: no structure of a word (repetition,
+exchange of parts) carries over to the sum. Prefixes of words have hashes from the same
+sums. Two words may still share a hash by chance; who reuses or removes anything on the
+strength of a hash compares the words.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 
 U = np.uint64
-BASE = 0x9E3779B97F4A7C15
+PLACE = 0x9E3779B97F4A7C15  # odd: places have different multiples
 SPAN = 1 << 18  # characters hashed at once
 _FACTORS = [0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
 
@@ -40,6 +42,14 @@ def blank_separated() -> np.ndarray:
     return values
 
 
+@cache
+def blank_separated_as_is() -> np.ndarray:
+    """Words ``[^\\x20\\x09-\\x0D]+``, unchanged."""
+    values = mixed(np.arange(0x110000, dtype=U) + U(1))
+    values[[32, 9, 10, 11, 12, 13]] = 0
+    return values
+
+
 @cache
 def space_separated() -> np.ndarray:
     """Words between spaces and line breaks, as they are."""
@@ -67,11 +77,18 @@ def letters_and_digits() -> np.ndarray:
     return np.where(points > 0, mixed(points.astype(U) + U(1)), U(0))
 
 
+def placed(x: np.ndarray) -> np.ndarray:
+    """What a character adds to its word's sum, given its value plus PLACE times its
+    place; changes ``x``. Not linear, so equal sums of values don't make equal sums."""
+    x ^= x >> U(32)
+    x *= U(0xD6E8FEB86659FD93)
+    x ^= x >> U(29)
+    return x
+
+
 @cache
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(BASE, -1, 1 << 64)
-    up, down = (np.cumprod(np.full(SPAN, b, dtype=U)) for b in (BASE, inverse))
-    return up, down
+def _places() -> np.ndarray:
+    return np.arange(SPAN, dtype=U) * U(PLACE)
 
 
 class Words(NamedTuple):
@@ -98,7 +115,8 @@ def words(texts: list[str], values: np.ndarray, prefixes: tuple[int, ...] = ()):
     """Words of the texts; with ``prefixes``, also a list with, for each length, the
     hash of each word's first characters (of the whole word if it isn't longer)."""
     codes, offset = code_points(texts)
-    hashes, starts, ends, heads = [], [], [], [[] for _ in prefixes]
+    none = np.zeros(0, dtype=np.int64)
+    hashes, starts, ends, heads = [none.astype(U)], [none], [none], [[none.astype(U)] for _ in prefixes]
     at = 0
     while at < len(codes):
         stop = min(at + SPAN, len(codes))
@@ -117,18 +135,26 @@ def words(texts: list[str], values: np.ndarray, prefixes: tuple[int, ...] = ()):
                         stop = at + len(value)
                         break
         stop = at + len(value)
-        up, down = _powers()
-        if len(value) > SPAN:
-            inverse = pow(BASE, -1, 1 << 64)
-            up, down = (np.cumprod(np.full(len(value), b, dtype=U)) for b in (BASE, inverse))
         inside = np.concatenate(([False], value != 0, [False]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         first, last = edges[::2], edges[1::2]
-        sums = np.concatenate((np.zeros(1, dtype=U), np.cumsum(value * up[: len(value)])))
-        before, back = sums[first], down[first] if len(first) else np.zeros(0, dtype=U)
-        hashes.append((sums[last] - before) * back)
+        if not len(first):
+            at = stop
+            continue
+        # Every character's place counts from its word's beginning.
+        places = _places() if len(value) <= SPAN else np.arange(len(value), dtype=U) * U(PLACE)
+        from_start = np.zeros(2 * len(first) + 1, dtype=U)
+        from_start[1::2] = places[first]
+        bounds = np.concatenate(([0], edges, [len(value)]))
+        added = places[: len(value)] - np.repeat(from_start, np.diff(bounds))
+        added += value
+        placed(added)
+        added[value == 0] = 0
+        sums = np.concatenate((np.zeros(1, dtype=U), np.cumsum(added)))
+        before = sums[first]
+        hashes.append(sums[last] - before)
         for k, head in zip(prefixes, heads):
-            head.append((sums[np.minimum(first + k, last)] - before) * back)
+            head.append(sums[np.minimum(first + k, last)] - before)
         starts.append(first + at)
         ends.append(last + at)
         at = stop

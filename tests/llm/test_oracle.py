@@ -13,7 +13,7 @@ TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VA
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_and_types(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df, sql = queries.queries()[name](spark, FOLDER), queries.oracle_sql()[name]
     assert difference(df, con, sql) is None

@@ -60,5 +60,5 @@ def test_awkward_and_empty_documents(spark):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
