@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.fm_index import FmIndex, repeated
-from ledgerloom.llm.tables import chosen, give_back, slices, stored
+from ledgerloom.llm.tables import chosen, dropped, give_back, slices, stored
 from ledgerloom.llm.words import blank_separated_as_is, runs, words
 
 SPAN = 13
@@ -182,6 +182,7 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("first", "windows", "anchor", "hot")).alias("segments")),
         "wanted",
     )
+    dropped(shared)
     give_back(spark)
     pieces = (
         kinds.join(wanted.hint("merge"), F.col("kind") == F.col("wanted"))
@@ -189,9 +190,12 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
         .mapInArrow(_pieces, "anchor long, piece string, kind long, lowest long, first int")
     )
     pieces = stored(pieces.withColumn("name", _name(F.col("piece"))), "pieces")
+    dropped(wanted)
     give_back(spark)
     different = stored(
-        pieces.groupBy("anchor", "piece", "name").agg(F.min("lowest").alias("lowest"), F.count("*").alias("n")),
+        pieces.groupBy("anchor", "piece")
+        .agg(F.min("lowest").alias("lowest"), F.count("*").alias("n"))
+        .withColumn("name", _name(F.col("piece"))),
         "different-pieces",
     )
     give_back(spark)
@@ -208,11 +212,12 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
         .select("name", F.col("lowest").alias("firsts"))
     )
     found = stored(found, "searched")
+    dropped(different)
     give_back(spark)
     starts = F.filter(
         F.transform("firsts", lambda x, i: F.when(x < F.col("lowest"), F.col("first") + i)), lambda x: x.isNotNull()
     )
-    return stored(
+    result = stored(
         pieces.select("name", "kind", "lowest", "first")
         .join(found.hint("merge"), "name")
         .select("kind", starts.alias("starts"))
@@ -221,6 +226,8 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
         .agg(F.flatten(F.collect_list("starts")).alias("starts")),
         "repeated",
     )
+    dropped(pieces, found)
+    return result
 
 
 def _searched_with_counts(table: pa.Table) -> pa.Table:
@@ -264,6 +271,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         ),
         "judged",
     )
+    dropped(kinds, starts)
     give_back(spark)
     copy = (F.col("doc_id") > F.col("lowest")) & (F.col("n_words") >= SPAN)
     original = F.col("doc_id") == F.col("lowest")
