@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.fm_index import FmIndex, repeated
-from ledgerloom.llm.tables import chosen, dropped, give_back, slices, stored
+from ledgerloom.llm.tables import chosen, dropped, slices, stored
 from ledgerloom.llm.words import blank_separated_as_is, runs, words
 
 SPAN = 13
@@ -164,7 +164,6 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
     """(kind, starts): the windows, as the number of their first word, that a text with a
     smaller ``lowest`` has too. ``kinds`` has kind (its number), lowest and text, and is a
     stored table; texts without such a window are not in the result."""
-    spark = kinds.sparkSession
     anchors = kinds.select("kind", "text").mapInArrow(
         _anchors, "kind long, anchor long, first int, windows int"
     )
@@ -175,7 +174,6 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
         .select(F.col("anchor").alias("of"), (F.col("n") > HOT).alias("hot")),
         "anchors",
     )
-    give_back(spark)
     wanted = stored(
         anchors.join(shared.hint("merge"), F.col("anchor") == F.col("of"))
         .groupBy(F.col("kind").alias("wanted"))
@@ -183,7 +181,6 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
         "wanted",
     )
     dropped(shared)
-    give_back(spark)
     pieces = (
         kinds.join(wanted.hint("merge"), F.col("kind") == F.col("wanted"))
         .select("kind", "lowest", "text", "segments")
@@ -191,14 +188,12 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
     )
     pieces = stored(pieces.withColumn("name", _name(F.col("piece"))), "pieces")
     dropped(wanted)
-    give_back(spark)
     different = stored(
         pieces.groupBy("anchor", "piece")
         .agg(F.min("lowest").alias("lowest"), F.count("*").alias("n"))
         .withColumn("name", _name(F.col("piece"))),
         "different-pieces",
     )
-    give_back(spark)
     blanks = F.length("piece") - F.length(F.translate("piece", " ", ""))
     n_words = different.agg(F.sum(blanks + 2)).first()[0] or 0
     shards = n_words // SHARD_WORDS + 1
@@ -213,7 +208,6 @@ def repeated_windows(kinds: DataFrame) -> DataFrame:
     )
     found = stored(found, "searched")
     dropped(different)
-    give_back(spark)
     starts = F.filter(
         F.transform("firsts", lambda x, i: F.when(x < F.col("lowest"), F.col("first") + i)), lambda x: x.isNotNull()
     )
@@ -251,7 +245,6 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     fewer words, lose nothing. Rows that share a doc_id lose nothing to each other. A row without
     doc_id loses nothing, and nothing is lost to it.
     """
-    spark = docs.sparkSession
     texts = chosen(docs, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
     kinds = stored(
         texts.groupBy("text")
@@ -259,9 +252,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("kind"), "lowest", "text"),
         "kinds",
     )
-    give_back(spark)
     starts = repeated_windows(kinds.where("lowest IS NOT NULL"))
-    give_back(spark)
     judged = stored(
         kinds.join(starts.withColumnRenamed("kind", "of").hint("merge"), F.col("kind") == F.col("of"), "left")
         .select(_name(F.col("text")).alias("name"), "lowest", "text", "starts")
@@ -272,7 +263,6 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         "judged",
     )
     dropped(kinds, starts)
-    give_back(spark)
     copy = (F.col("doc_id") > F.col("lowest")) & (F.col("n_words") >= SPAN)
     original = F.col("doc_id") == F.col("lowest")
     removed = F.when(copy, F.col("n_words")).when(original, F.col("n_removed")).otherwise(F.lit(0).cast("long"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,13 +11,21 @@ from pyspark.sql import functions as F
 
 from ledgerloom.sources.workspace import new_folder
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps don't run it
-    again, and a lost executor takes nothing along."""
+    again, and a lost executor takes nothing along. Spark deletes the shuffle files of the
+    write when it has ended."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     found = spark.read.schema(df.schema).parquet(path)
     found.stored_at = path
     return found
@@ -75,10 +82,3 @@ def slices(batch: pa.RecordBatch, name: str = "text", most: int = 1 << 20) -> It
     if at < batch.num_rows:
         yield batch.slice(at)
     pa.default_memory_pool().release_unused()  # between batches, for the other tasks
-
-
-def give_back(spark) -> None:
-    """Lets Spark delete the shuffle files of steps that are over: it does so when the
-    driver has collected the plans that made them."""
-    gc.collect()
-    spark._jvm.System.gc()
