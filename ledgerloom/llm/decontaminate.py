@@ -5,8 +5,9 @@ words moves over every document, one word at a time, and each window gets a 64-b
 SimHash of its word pairs, from running sums. Four 16-bit blocks of the fingerprint
 are looked up in an index of the items' blocks with up to RADIUS // 4 bits changed:
 two fingerprints within RADIUS bits differ by no more than that in some block, so
-the index finds every one of them; a group of FEW items is compared directly. What lies within the radius is then compared
-exactly: shingles of five words, weighted by how often they occur.
+the index finds every one of them. What lies within the radius is then compared
+exactly: shingles of five words, weighted by how often they occur, counted for all
+windows near by together.
 """
 
 from __future__ import annotations
@@ -20,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tables import by_place, chosen, documents, place, slices
+from ledgerloom.llm.tables import by_place, chosen, documents, dropped, place, slices, stored
 from ledgerloom.llm.words import U, Words, letters_and_digits, runs, shingles, words
 
 RADIUS = 15
 BLOCK_WORDS = 200_000  # words of items in one index, which goes to every executor
-BLOCK_ITEMS = 10_000  # items in one index, each with 697 changed values of four blocks
-FEW = 32  # items of a group that are compared with every window, without the index
+BLOCK_ITEMS = 2_000  # items in one index, each with 697 changed values of four blocks: 22 MB
 STRETCH = 0.04  # a group's windows are at most this much shorter or longer than its items
 _BLOCKS, _BITS = 4, 16
 _STEP = 1 << 13  # windows at a time: their sums stay in the processor's cache
@@ -34,11 +34,13 @@ _STEP = 1 << 13  # windows at a time: their sums stay in the processor's cache
 
 class Group(NamedTuple):
     """Items of about one size: window size in words, their place among all items,
-    fingerprints, and for each block the items by their (changed) block values."""
+    fingerprints, and for each block the items by their (changed) block values: how many
+    have a value, where they begin, and which they are."""
 
     size: int
     items: np.ndarray
     prints: np.ndarray
+    count: list[np.ndarray]
     first: list[np.ndarray]
     found: list[np.ndarray]
 
@@ -104,15 +106,15 @@ def index(items: list[np.ndarray], radius: int = RADIUS) -> list[Group]:
         own = np.array([i for _, i in order[at:stop]])
         size = (order[at][0] + order[stop - 1][0]) // 2
         prints = np.array([fingerprint(_values(items[i])) for i in own], dtype=U)
-        first, found = [], []
+        count, first, found = [], [], []
         for block in range(_BLOCKS):
             key = ((prints >> U(_BITS * block)) & U(0xFFFF)).astype(np.int64)
             keys = (key[:, None] ^ flips[None, :]).ravel()
             by_key = np.argsort(keys, kind="stable")
             found.append(np.repeat(np.arange(len(own)), len(flips))[by_key].astype(np.int32))
-            counts = np.bincount(keys, minlength=1 << _BITS)
-            first.append(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
-        groups.append(Group(size, own, prints, first, found))
+            count.append(np.bincount(keys, minlength=1 << _BITS).astype(np.uint16))
+            first.append((np.cumsum(count[-1], dtype=np.int64) - count[-1]).astype(np.int32))
+        groups.append(Group(size, own, prints, count, first, found))
         at = stop
     return groups
 
@@ -123,43 +125,72 @@ def _values(hashes: np.ndarray) -> np.ndarray:
 
 def near(prints: np.ndarray, group: Group, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Every (window, item of the group) within the radius."""
-    if len(group.items) <= FEW:
-        return np.nonzero(np.bitwise_count(prints[:, None] ^ group.prints[None, :]) <= radius)
     windows, items = [], []
     for block in range(_BLOCKS):
-        key = ((prints >> U(_BITS * block)) & U(0xFFFF)).astype(np.int64)
-        count = group.first[block][key + 1] - group.first[block][key]
-        some = np.flatnonzero(count)
-        many = count[some]
-        steps = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item = group.found[block][np.repeat(group.first[block][key[some]], many) + steps]
-        window = np.repeat(some, many)
-        hit = np.bitwise_count(prints[window] ^ group.prints[item]) <= radius
+        key = ((prints >> U(_BITS * block)) & U(0xFFFF)).astype(np.intp)
+        many = group.count[block][key]
+        window = np.flatnonzero(many)
+        many, place = many[window], group.first[block][key[window]]
+        if (many > 1).any():
+            steps = np.cumsum(many, dtype=np.int64) - many
+            place = np.arange(len(many) and steps[-1] + many[-1]) + np.repeat(place - steps, many)
+            window = np.repeat(window, many)
+        item = group.found[block][place]
+        hit = np.flatnonzero(np.bitwise_count(prints[window] ^ group.prints[item]) <= radius)
         windows.append(window[hit])
         items.append(item[hit])
     both = np.unique(np.concatenate(windows) * np.int64(len(group.items)) + np.concatenate(items))
     return both // len(group.items), both % len(group.items)
 
 
-def _weights(hashes: np.ndarray, size: int) -> dict[int, int]:
-    kinds, counts = np.unique(shingles(hashes, size), return_counts=True)
-    return dict(zip(kinds.tolist(), counts.tolist()))
+class Weights(NamedTuple):
+    """An item's words, its different shingles in order and how often each occurs."""
 
+    words: int
+    kinds: np.ndarray
+    counts: np.ndarray
 
-def _alike(item: dict[int, int], total: int, window: np.ndarray, size: int) -> tuple[int, int]:
-    """Weight that both have, and that either has."""
-    other = _weights(window, size)
-    inner = sum(min(n, other.get(s, 0)) for s, n in item.items())
-    return inner, total + sum(other.values()) - inner
 
+def weights_of(hashes: np.ndarray, size: int) -> Weights:
+    return Weights(len(hashes), *np.unique(shingles(hashes, size), return_counts=True))
 
-def _windows_near(found: Words, groups: list[Group]) -> Iterator[tuple[int, int, int]]:
-    """Yields (text, item, start): windows of the texts within the radius of an item, as
-    the place of their first word in the text. A text shorter than a window, but not by
-    half, is one window."""
+
+def overlaps(item: Weights, own: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """What each window of the item's length, or all of a shorter text, shares with the
+    item, counting a shingle as often as both have it; and the windows' weight.
+
+    The windows begin at ``starts`` (ascending). An occurrence of a shingle that the item
+    has c times counts in the windows that hold it and not also the c occurrences before
+    it: from just after the c-th last one on, and from where the window reaches it.
+    """
+    wide = min(item.words, len(own))
+    low = int(starts[0])
+    told = own[low : int(starts[-1]) + wide]
+    short = min(size, wide)
+    found = runs(told, short)
+    if short < size:
+        found ^= U(short)
+    weight = wide - short + 1
+    at = np.minimum(np.searchsorted(item.kinds, found), len(item.kinds) - 1)
+    place = np.flatnonzero(item.kinds[at] == found)
+    place = place[np.argsort(at[place], kind="stable")]
+    kind = at[place]
+    before = np.arange(len(place)) - item.counts[kind]
+    same = (before >= 0) & (kind[before] == kind)
+    begin = np.maximum(np.where(same, place[before] + 1, 0), np.maximum(place - weight + 1, 0))
+    change = np.bincount(begin, minlength=len(found) + 1) - np.bincount(place + 1, minlength=len(found) + 1)
+    return np.cumsum(change)[starts - low], weight
+
+
+def _windows_near(found: Words, groups: list[Group]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, item, start): windows of the texts within the radius of an item, as the place
+    of their first word in the text. A text shorter than a window, but not by half, is one
+    window."""
     lengths = np.diff(found.first)
     values = {1: found.hash, 2: _pairs(found.hash)}
     sums: dict[tuple[int, int], list[np.ndarray]] = {}
+    none = np.zeros(0, dtype=np.int64)
+    texts, items, starts = [none], [none], [none]
     for group in groups:
         span = min(group.size, 2)
         width = group.size - span + 1
@@ -173,39 +204,41 @@ def _windows_near(found: Words, groups: list[Group]) -> Iterator[tuple[int, int,
             window += at
             text = found.text[window]
             inside = text == found.text[window + group.size - 1]
-            for t, w, i in zip(text[inside], window[inside], item[inside]):
-                yield int(t), int(group.items[i]), int(w - found.first[t])
+            texts.append(text[inside])
+            items.append(group.items[item[inside]])
+            starts.append(window[inside] - found.first[text[inside]])
         for t in np.flatnonzero((lengths < group.size) & (2 * lengths > group.size)):
             own = found.hash[found.first[t] : found.first[t + 1]]
-            prints = np.array([fingerprint(_values(own))], dtype=U)
-            for i in near(prints, group)[1]:
-                yield int(t), int(group.items[i]), 0
+            some = near(np.array([fingerprint(_values(own))], dtype=U), group)[1]
+            texts.append(np.full(len(some), t))
+            items.append(group.items[some])
+            starts.append(np.zeros(len(some), dtype=np.int64))
+    return np.concatenate(texts), np.concatenate(items), np.concatenate(starts)
 
 
 def matches(
-    found: Words, items: list[np.ndarray], groups: list[Group], size: int, percent: int
+    found: Words, items: list[Weights], groups: list[Group], size: int, percent: int
 ) -> Iterator[tuple[int, int, int, int, int, int]]:
     """Yields (text, item, start word, words, inner, union): for each text and item the
     best window of the item's own size around those within the radius, if it is alike
     enough; of equal windows the first."""
-    places: dict[tuple[int, int], set[int]] = {}
-    for text, item, start in _windows_near(found, groups):
-        places.setdefault((text, item), set()).add(start)
-    for (text, item), windows in sorted(places.items()):
-        own = found.hash[found.first[text] : found.first[text + 1]]
-        wide = len(items[item])
+    text, item, start = _windows_near(found, groups)
+    order = np.lexsort((start, item, text))
+    text, item, start = text[order], item[order], start[order]
+    edge = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(item) != 0))))
+    for a, b in zip(edge, [*edge[1:], len(text)]) if len(text) else ():
+        t, i = int(text[a]), int(item[a])
+        own = found.hash[found.first[t] : found.first[t + 1]]
+        wide = items[i].words
         slack = int(2 * STRETCH * wide) + 2
-        last = max(0, len(own) - wide)
-        starts = {min(max(0, w + d), last) for w in windows for d in range(-slack, slack + 1)}
-        weights = _weights(items[item], size)
-        total = sum(weights.values())
-        best = None
-        for start in sorted(starts):
-            inner, union = _alike(weights, total, own[start : start + wide], size)
-            if best is None or inner * best[1] > best[0] * union:
-                best = (inner, union, start)
-        if best and 100 * best[0] >= percent * best[1]:
-            yield text, item, best[2], min(wide, len(own)), best[0], best[1]
+        near_by = start[a:b, None] + np.arange(-slack, slack + 1)[None, :]
+        starts = np.unique(np.clip(near_by, 0, max(0, len(own) - wide)))
+        inner, weight = overlaps(items[i], own, starts, size)
+        best = int(np.argmax(inner))
+        shared = int(inner[best])
+        union = int(items[i].counts.sum()) + weight - shared
+        if 100 * shared >= percent * union:
+            yield t, i, int(starts[best]), min(wide, len(own)), shared, union
 
 
 def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
@@ -222,11 +255,22 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]
     yield block
 
 
-def _blocks_of(docs: DataFrame, benchmark: DataFrame):
+def _each_block(docs: DataFrame, benchmark: DataFrame, size: int, step, result: DataFrame) -> DataFrame:
+    """``result`` after ``step(result, shared index)`` for each block of items. What all
+    blocks but the last give is stored, so that one index is held at a time."""
+    spark = docs.sparkSession
+    before = None
     for block in _item_blocks(benchmark):
         hashes = [own for _, own in block]
-        named = ([i for i, _ in block], hashes, index(hashes))
-        yield docs.sparkSession.sparkContext.broadcast(named)
+        named = ([i for i, _ in block], [weights_of(own, size) for own in hashes], index(hashes))
+        if before is not None:
+            older, result = result, stored(result, "blocks")
+            if hasattr(older, "stored_at"):
+                dropped(older)
+            before.unpersist()
+        before = spark.sparkContext.broadcast(named)
+        result = step(result, before)
+    return result
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -240,7 +284,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 8
     Documents are read once for each block of items.
     """
 
-    def search(shared):
+    def search(so_far: DataFrame, shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, items, groups = shared.value
             for batch in batches:
@@ -260,21 +304,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 8
                             names=["doc_id", "item_id", "start_word", "n_words", "similarity"],
                         )
 
-        schema = "doc_id long, item_id long, start_word long, n_words long, similarity double"
-        return documents(docs).mapInArrow(run, schema)
+        return so_far.union(documents(docs).mapInArrow(run, schema))
 
-    parts = [search(shared) for shared in _blocks_of(docs, benchmark)]
-    result = parts[0]
-    for more in parts[1:]:
-        result = result.union(more)
-    return result
+    schema = "doc_id long, item_id long, start_word long, n_words long, similarity double"
+    nothing = docs.sparkSession.createDataFrame([], schema)
+    return _each_block(docs, benchmark, size, search, nothing)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents in which a benchmark item was found."""
     text = place(docs, "text")
 
-    def clean(shared):
+    def clean(kept: DataFrame, shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, items, groups = shared.value
             for batch in batches:
@@ -285,9 +326,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: in
                         keep[match[0]] = False
                     yield rows.filter(pa.array(keep))
 
-        return run
+        return kept.mapInArrow(run, kept.schema)
 
-    kept = by_place(docs)
-    for shared in _blocks_of(docs, benchmark):
-        kept = kept.mapInArrow(clean(shared), kept.schema)
-    return kept.toDF(*docs.columns)
+    return _each_block(docs, benchmark, size, clean, by_place(docs)).toDF(*docs.columns)

@@ -81,6 +81,41 @@ def test_leaks_are_those_of_brute_force(spark):
     assert found == brute
 
 
+def test_sliding_overlaps_are_those_of_counted_shingles():
+    rng = np.random.default_rng(12)
+    for size, n_item, n_text, kinds in ((5, 40, 200, 3), (5, 9, 60, 2), (5, 3, 50, 2), (3, 30, 20, 2), (5, 12, 4, 2), (1, 6, 40, 3)):
+        item, own = (rng.integers(1, kinds + 1, n).astype(U) for n in (n_item, n_text))
+        wide = min(n_item, n_text)
+        starts = np.unique(rng.integers(0, n_text - wide + 1, 30))
+        found, weight = d.overlaps(d.weights_of(item, size), own, starts, size)
+
+        def counted(w):
+            n = min(size, len(w))
+            return Counter(tuple(w[i : i + n].tolist()) for i in range(len(w) - n + 1))
+
+        windows = [counted(own[s : s + wide]) for s in starts]
+        assert found.tolist() == [sum((counted(item) & w).values()) for w in windows]
+        assert {weight} == {sum(w.values()) for w in windows}
+
+
+def test_groups_of_one_and_of_many_items(spark):
+    """One length with one item, one with 24 and one with 200: each is found by its index."""
+    rng = np.random.default_rng(13)
+    word = lambda: "w" + str(rng.integers(0, 400))
+    items = [[word() for _ in range(n)] for n in [30] + [60] * 24 + [120] * 200]
+    assert [len(g.items) for g in d.index([words([" ".join(i)], letters_and_digits()).hash for i in items])] == [1, 24, 200]
+    texts = []
+    for k in [0, 0, *range(1, 25, 3), *range(25, 225, 9)]:
+        own = list(items[k])
+        own[int(rng.integers(len(own)))] = word()
+        texts.append(" ".join([*(word() for _ in range(9)), *own, *(word() for _ in range(7))]))
+    texts += [" ".join(word() for _ in range(150)) for _ in range(5)]
+    told = [" ".join(i) for i in items]
+    bench = spark.createDataFrame(list(enumerate(told)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in d.leaks(plain(spark, texts), bench).collect()}
+    assert found == _brute(texts, told) and len(found) >= 30
+
+
 def test_passages_of_just_enough_likeness_are_found():
     """Items cut at the end, in the middle of other words, to a likeness of 0.80 or 0.81."""
     rng = np.random.default_rng(11)
@@ -94,7 +129,7 @@ def test_passages_of_just_enough_likeness_are_found():
             offset = np.array([0, len(hashes) + 1])
             place = np.arange(len(hashes))
             found = d.Words(np.zeros(len(hashes), np.int64), hashes, place, place + 1, np.array([0, len(hashes)]), offset)
-            missed += not any(m[1] == 0 for m in d.matches(found, [item, longer], groups, 5, 80))
+            missed += not any(m[1] == 0 for m in d.matches(found, [d.weights_of(w, 5) for w in (item, longer)], groups, 5, 80))
             n += 1
     assert n == 240 and missed <= 1
 
