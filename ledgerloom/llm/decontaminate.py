@@ -29,20 +29,20 @@ BLOCK_WORDS = 200_000  # words of items in one index, which goes to every execut
 BLOCK_ITEMS = 2_000  # items in one index, each with 697 changed values of four blocks: 22 MB
 STRETCH = 0.04  # a group's windows are at most this much shorter or longer than its items
 _BLOCKS, _BITS = 4, 16
-_STEP = 1 << 13  # windows at a time: their sums stay in the processor's cache
+_STEP = 1 << 14  # windows at a time: their sums stay in the processor's cache
 
 
 class Group(NamedTuple):
     """Items of about one size: window size in words, their place among all items,
-    fingerprints, and for each block the items by their (changed) block values: how many
-    have a value, where they begin, and which they are."""
+    fingerprints, and for each block the items by their (changed) block values: whether any
+    has a value, where those that have it begin, and which they are."""
 
     size: int
     items: np.ndarray
     prints: np.ndarray
-    count: list[np.ndarray]
-    first: list[np.ndarray]
-    found: list[np.ndarray]
+    some: np.ndarray
+    first: np.ndarray
+    found: np.ndarray
 
 
 def _pairs(hashes: np.ndarray) -> np.ndarray:
@@ -106,15 +106,13 @@ def index(items: list[np.ndarray], radius: int = RADIUS) -> list[Group]:
         own = np.array([i for _, i in order[at:stop]])
         size = (order[at][0] + order[stop - 1][0]) // 2
         prints = np.array([fingerprint(_values(items[i])) for i in own], dtype=U)
-        count, first, found = [], [], []
-        for block in range(_BLOCKS):
-            key = ((prints >> U(_BITS * block)) & U(0xFFFF)).astype(np.int64)
-            keys = (key[:, None] ^ flips[None, :]).ravel()
-            by_key = np.argsort(keys, kind="stable")
-            found.append(np.repeat(np.arange(len(own)), len(flips))[by_key].astype(np.int32))
-            count.append(np.bincount(keys, minlength=1 << _BITS).astype(np.uint16))
-            first.append((np.cumsum(count[-1], dtype=np.int64) - count[-1]).astype(np.int32))
-        groups.append(Group(size, own, prints, count, first, found))
+        blocks = (prints[None, :] >> (U(_BITS) * np.arange(_BLOCKS, dtype=U))[:, None]) & U(0xFFFF)
+        changed = blocks.astype(np.int64)[:, :, None] ^ flips[None, None, :]
+        keys = (changed + (np.arange(_BLOCKS) << _BITS)[:, None, None]).ravel()
+        of = np.tile(np.repeat(np.arange(len(own), dtype=np.int32), len(flips)), _BLOCKS)
+        counts = np.bincount(keys, minlength=_BLOCKS << _BITS)
+        first = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        groups.append(Group(size, own, prints, counts > 0, first, of[np.argsort(keys, kind="stable")]))
         at = stop
     return groups
 
@@ -125,20 +123,27 @@ def _values(hashes: np.ndarray) -> np.ndarray:
 
 def near(prints: np.ndarray, group: Group, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Every (window, item of the group) within the radius."""
-    windows, items = [], []
-    for block in range(_BLOCKS):
-        key = ((prints >> U(_BITS * block)) & U(0xFFFF)).astype(np.intp)
-        many = group.count[block][key]
-        window = np.flatnonzero(many)
-        many, place = many[window], group.first[block][key[window]]
-        if (many > 1).any():
-            steps = np.cumsum(many, dtype=np.int64) - many
-            place = np.arange(len(many) and steps[-1] + many[-1]) + np.repeat(place - steps, many)
-            window = np.repeat(window, many)
-        item = group.found[block][place]
-        hit = np.flatnonzero(np.bitwise_count(prints[window] ^ group.prints[item]) <= radius)
-        windows.append(window[hit])
-        items.append(item[hit])
+    none = np.zeros(0, dtype=np.int64)
+    windows, items = [none], [none]
+    # The four blocks of a fingerprint one after another, each with its part of the index.
+    key = prints.astype("<u8", copy=False).view("<u2").astype(np.int64).reshape(-1, _BLOCKS)
+    key += np.arange(_BLOCKS) << _BITS
+    key = key.ravel()
+    window = np.flatnonzero(group.some.take(key))
+    key = key.take(window)
+    window //= _BLOCKS
+    place, last = group.first.take(key), group.first.take(key + 1) - 1
+    own = prints.take(window)
+    while len(window):  # one item of each window's at a time: most have one
+        item = group.found.take(place)
+        hit = np.flatnonzero(np.bitwise_count(own ^ group.prints.take(item)) <= radius)
+        if len(hit):
+            windows.append(window[hit])
+            items.append(item[hit].astype(np.int64))
+        more = np.flatnonzero(place < last)
+        window, place, last, own = window.take(more), place.take(more) + 1, last.take(more), own.take(more)
+    if len(windows) == 1:
+        return none, none
     both = np.unique(np.concatenate(windows) * np.int64(len(group.items)) + np.concatenate(items))
     return both // len(group.items), both % len(group.items)
 
