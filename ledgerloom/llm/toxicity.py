@@ -12,6 +12,7 @@ regression on its words and their beginnings, learned from labelled documents.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 from functools import cache
@@ -31,7 +32,8 @@ MOST_FEATURES = 512
 PREFIXES = (3, 4, 5, 6, 8)
 TRIPLES, CONTEXTS = 1 << 18, 1 << 16  # hashed cells of the language model
 WORDS = 1 << 18  # cells of the words' counts, two such rows
-HELD_WORDS = 1 << 16  # decoded words a task remembers
+HELD_WORDS = 1 << 17  # decoded words a Python process remembers
+DOUBLED = 3  # doubled letters of a word whose readings are all compared, without the lattice
 PATHS = 8  # best paths kept for each state
 WIDEST = 3  # characters in a gap of a spaced run
 LONGEST = 40  # letters, equal ones in a row counted once, of a word in a spaced run
@@ -124,8 +126,9 @@ class Decoder:
         self.held: OrderedDict[tuple[str, int], str] = OrderedDict()
         self.of_words = table[TRIPLES + CONTEXTS :].reshape(2, WORDS)
         self.n_words = float(self.of_words[0].sum(dtype=np.float64))
-        # What words that share a cell add to each other's counts; the mean, with room.
-        self.others = 3 * self.n_words / WORDS
+        # What words that share a cell add to each other's counts in the mean. Up to three
+        # times that may be others alone.
+        self.others = self.n_words / WORDS
 
     def cost(self, a: int, b: int, c: int) -> float:
         """log P(c | a, b), smoothed."""
@@ -149,7 +152,8 @@ class Decoder:
     def counted(self, word: str) -> float:
         """How often a word stands in the documents; 0 or less if too seldom to tell."""
         first, second = _word_cells(word)
-        return min(float(self.of_words[0, first]), float(self.of_words[1, second])) - self.others
+        n = min(float(self.of_words[0, first]), float(self.of_words[1, second]))
+        return n - self.others if n > 3 * self.others else 0.0
 
     def matters(self, text: str) -> bool:
         if any(self.counted(word) > 0 for word in text.split()):
@@ -245,10 +249,78 @@ class Decoder:
         score, text = best[len(letters)]
         return " ".join(text.split()), score
 
+    def _logs(self, words_: list[str]) -> np.ndarray:
+        """``letters`` of many words."""
+        codes, offset = code_points(words_)
+        c = np.where(codes == 10, 0, codes).astype(_U32)
+        b, a = (np.concatenate((np.zeros(k, _U32), c[:-k])) for k in (1, 2))
+        a[b == 0] = 0
+        triple, pair = _cells(a, b, c)
+        n, of = self.table[triple].astype(np.float64), self.table[TRIPLES + pair].astype(np.float64)
+        return np.add.reduceat(np.log((n + 0.05) / (of + 0.05 * 200)), offset[:-1])
+
+    def _counts(self, words_: list[str]) -> np.ndarray:
+        """``counted`` of many words."""
+        found = words(words_, _letter_values()).hash
+        first, second = (found >> U(46)).astype(np.int64), (found & U(WORDS - 1)).astype(np.int64)
+        n = np.minimum(self.of_words[0, first], self.of_words[1, second]).astype(np.float64)
+        return np.where(n > 3 * self.others, n - self.others, 0.0)
+
+    def prepare(self, shown: set[str]) -> None:
+        """Decodes the words with some doubled letters and no sign, all together: their
+        few readings are written out and scored in arrays. What it finds is what the
+        lattice finds."""
+        new, readings, owner, channel = [], [], [], []
+        for word in shown:
+            if (word, 1) in self.held or not _only_doubled(word):
+                continue
+            at = [i for i in range(len(word) - 1) if word[i] == word[i + 1]]
+            if len(at) > DOUBLED:
+                continue
+            for some in range(1 << len(at)):
+                gone = {i for k, i in enumerate(at) if some >> k & 1}
+                readings.append("".join(c for i, c in enumerate(word) if i not in gone) if gone else word)
+                owner.append(len(new))
+                channel.append(2 * SHORTER * len(gone))
+            new.append(word)
+        if not new:
+            return
+        of, logs, counts = np.array(owner), self._logs(readings), self._counts(readings)
+        known = counts > 0
+        own_gain = np.full(len(readings), UNSEEN)
+        own_gain[known] = np.maximum(UNSEEN, np.log(counts[known] / self.n_words) - logs[known])
+        plain = logs + own_gain
+        score = plain + np.array(channel, dtype=np.float64)
+        first = np.flatnonzero(np.concatenate(([True], np.diff(of) != 0)))  # the word as it stands
+        best = np.maximum.reduceat(score, first)
+        taken = np.flatnonzero(score == best[of])
+        chosen = [""] * len(new)
+        for k, i in zip(of[taken].tolist(), taken.tolist()):  # of equal scores the later text
+            chosen[k] = max(chosen[k], readings[i])
+        place = {(k, r): i for i, (k, r) in enumerate(zip(owner, readings))}
+        other = [k for k, (word, found) in enumerate(zip(new, chosen)) if word != found]
+        at = np.array([place[k, chosen[k]] for k in other], dtype=np.int64)
+        here = first[other]
+        stays = known[here] & (plain[here] - KNOWN >= score[at])
+        matters = known[at].copy()
+        asked = np.flatnonzero(~matters & ~stays)
+        if self.telling is not None and len(asked):
+            text, value = features([chosen[other[i]] for i in asked])
+            matters[asked[text[np.isin(value, self.telling)]]] = True
+        for k, keeps in zip(other, stays | ~matters):
+            if keeps:
+                chosen[k] = new[k]
+        for word, found in zip(new, chosen):
+            self.hold(word, 1, found)
+
+    def hold(self, word: str, step: int, found: str) -> None:
+        self.held[word, step] = found
+        if len(self.held) > HELD_WORDS:
+            self.held.popitem(last=False)
+
     def decode(self, word: str, step: int = 1) -> str:
         """The restored word (maybe several, if a sign was a gap or gaps part words); of a
         spaced run every ``step``-th character counts."""
-        word = word.lower()
         found = self.held.get((word, step))
         if found is None:
             if step > 1:
@@ -271,9 +343,7 @@ class Decoder:
                     plain = self.letters(word) + self.gain(word) - KNOWN
                     if self.counted(word) > 0 and plain >= score or not self.matters(found):
                         found = word
-            self.held[word, step] = found
-            if len(self.held) > HELD_WORDS:
-                self.held.popitem(last=False)
+            self.hold(word, step, found)
         return found
 
 
@@ -363,10 +433,11 @@ def disguised(texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
 def undone(texts: list[str], decoder: Decoder) -> tuple[list[str], np.ndarray]:
     """The texts with disguises replaced by their likeliest reading, and how many each had."""
     out, n = list(texts), np.zeros(len(texts), dtype=np.int64)
-    for text, spans in groupby(disguised(texts), key=lambda span: span[0]):
+    shown = [(text, start, end, step, texts[text][start:end].lower()) for text, start, end, step in disguised(texts)]
+    decoder.prepare({span[4] for span in shown if span[3] == 1})
+    for text, spans in groupby(shown, key=lambda span: span[0]):
         whole, parts, at = texts[text], [], 0
-        for _, start, end, step in spans:
-            word = whole[start:end].lower()
+        for _, start, end, step, word in spans:
             found = decoder.decode(word, step)
             if found != word:
                 parts += [whole[at:start], found]
@@ -384,6 +455,17 @@ def restored(texts: list[str], decoder: Decoder) -> list[str]:
 # --- scoring -------------------------------------------------------------------------
 
 
+_decoders: dict[str, Decoder] = {}
+
+
+def decoder_of(name: str, table: np.ndarray, telling: np.ndarray | None) -> Decoder:
+    """One for each Python process and model, so that tasks share the words decoded."""
+    if name not in _decoders:
+        _decoders.clear()
+        _decoders[name] = Decoder(table, telling)
+    return _decoders[name]
+
+
 @cache
 def _letter_values() -> np.ndarray:
     points = folded_letters(False)
@@ -404,7 +486,8 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 class Model(NamedTuple):
     """Sorted features, their weights, which of them are telling, the weight of having
-    any of those, the intercept, and the language model."""
+    any of those, the intercept, the language model, the features that a decoded word may
+    show (those of the first pass), and a name of its own."""
 
     features: np.ndarray
     weights: np.ndarray
@@ -412,6 +495,11 @@ class Model(NamedTuple):
     any_weight: float
     intercept: float
     table: np.ndarray
+    shown: np.ndarray
+    name: str
+
+    def decoder(self) -> Decoder:
+        return decoder_of(self.name, self.table, self.shown)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         total = np.full(len(texts), self.intercept)
@@ -445,14 +533,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     Labelled documents outside the held-out fold are learned from, at most MOST_LABELS,
     those with the smallest hash of their id; that many ids are broadcast. Several
-    labels of a document count as toxic if one is. Features are the MOST_FEATURES words
+    labels of a document count as toxic if one is; of several texts with the id the least
+    is taken, once. Learned and scored texts are decoded alike: doubled letters may give a word of
+    the documents or one that told in a first pass. Features are the MOST_FEATURES words
     and beginnings that tell most about the label, and whether a text has any of those
     that stand in toxic texts alone, or nearly so: one such word is enough, though most
     toxic texts have several.
     """
     table = language_model(docs)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(table)
     known = (
         chosen(labels, doc_id="long", toxic="int")
         .where("toxic IS NOT NULL AND doc_id IS NOT NULL")
@@ -463,11 +552,46 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         .limit(MOST_LABELS)
     )
     ids = known.toArrow()
-    place = dict(zip(ids["doc_id"].to_pylist(), ids["toxic"].to_pylist()))
-    wanted = spark.createDataFrame(list(place.items()), "doc_id long, toxic int")
+    wanted = spark.createDataFrame(
+        list(zip(ids["doc_id"].to_pylist(), ids["toxic"].to_pylist())), "doc_id long, toxic int"
+    )
+    sample = stored(
+        documents(docs)
+        .join(F.broadcast(wanted), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text")),
+        "labelled",
+    )
+    n, n_toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if n_toxic in (0, n):
+        return _constant(-40.0 if n_toxic == 0 else 40.0, table)
+    # What tells at first, with words of the documents alone as readings of doubled
+    # letters, are the words that such readings may be from then on.
+    none = np.zeros(0, np.int64)
+    shown, _ = _telling(_found(sample, table, none), n, n_toxic)
+    rows = _found(sample, table, shown)
+    values, telling = _telling(rows, n, n_toxic)
+    if not len(values):
+        return _constant(math.log(n_toxic / (n - n_toxic)), table)
+    kept = F.filter("found", lambda x: F.array_contains(F.lit(values.tolist()), x))
+    learned = rows.orderBy("doc_id").select("toxic", kept.alias("found")).toArrow()
+    x = np.zeros((len(learned), len(values) + 2))
+    x[:, -1] = 1.0
+    for i, own in enumerate(learned["found"].to_pylist()):
+        at = np.searchsorted(values, own)
+        x[i, at] = 1.0
+        x[i, -2] = telling[at].any()
+    w = _fit(x, learned["toxic"].to_numpy().astype(float))
+    return Model(values, w[:-2], telling, float(w[-2]), float(w[-1]), table, shown, uuid.uuid4().hex)
+
+
+def _found(sample: DataFrame, table: np.ndarray, shown: np.ndarray) -> DataFrame:
+    """(doc_id, toxic, found): the different features of the decoded texts, stored."""
+    shared = sample.sparkSession.sparkContext.broadcast(table)
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = decoder_of(name, shared.value, shown)
         for batch in batches:
             for rows in slices(batch):
                 texts = restored(rows.column("text").to_pylist(), decoder)
@@ -478,16 +602,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
                     names=["doc_id", "toxic", "found"],
                 )
 
-    rows = stored(
-        documents(docs)
-        .join(F.broadcast(wanted), "doc_id")
-        .select("doc_id", "text", "toxic")
-        .mapInArrow(run, "doc_id long, toxic int, found array<long>"),
-        "labelled-features",
-    )
-    n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if n_toxic in (0, n):
-        return _constant(-40.0 if n_toxic == 0 else 40.0, table)
+    found = sample.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id long, toxic int, found array<long>")
+    return stored(found, "labelled-features")
+
+
+def _telling(rows: DataFrame, n: int, n_toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features that tell most about the label, sorted, and which of them stand in
+    toxic texts alone."""
     counts = (
         rows.select("toxic", F.explode("found").alias("feature"))
         .groupBy("feature")
@@ -503,25 +624,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     often = max(5, math.ceil(math.log(1e-7) / math.log(n_toxic / n)))
     alone = (F.col("t") >= often) & (F.col("t") >= 0.95 * F.col("all"))
     top = counts.orderBy(F.desc(tells), "feature").limit(MOST_FEATURES).select("feature", alone.alias("alone"))
-    chosen_features = top.toArrow().sort_by("feature")
-    values = chosen_features["feature"].to_numpy()
-    telling = np.array(chosen_features["alone"].to_pylist(), dtype=bool)
-    if not len(values):
-        return _constant(math.log(n_toxic / (n - n_toxic)), table)
-    kept = F.filter("found", lambda x: F.array_contains(F.lit(values.tolist()), x))
-    sample = rows.orderBy("doc_id").select("toxic", kept.alias("found")).toArrow()
-    x = np.zeros((len(sample), len(values) + 2))
-    x[:, -1] = 1.0
-    for i, own in enumerate(sample["found"].to_pylist()):
-        at = np.searchsorted(values, own)
-        x[i, at] = 1.0
-        x[i, -2] = telling[at].any()
-    w = _fit(x, sample["toxic"].to_numpy().astype(float))
-    return Model(values, w[:-2], telling, float(w[-2]), float(w[-1]), table)
+    found = top.toArrow().sort_by("feature")
+    return found["feature"].to_numpy(), np.array(found["alone"].to_pylist(), dtype=bool)
 
 
 def _constant(logit: float, table: np.ndarray) -> Model:
-    return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), 0.0, logit, table)
+    none = np.zeros(0, np.int64)
+    return Model(none, np.zeros(0), np.zeros(0, bool), 0.0, logit, table, none, uuid.uuid4().hex)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -536,7 +645,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        decoder = Decoder(model.table, model.features)
+        decoder = model.decoder()
         for batch in batches:
             for rows in slices(batch):
                 texts = rows.column("text").to_pylist()

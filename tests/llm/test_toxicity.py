@@ -138,6 +138,34 @@ def test_viterbi_takes_the_likeliest_path(model):
         assert score == pytest.approx(best)
 
 
+def test_doubled_letters_in_arrays_read_as_in_the_lattice(spark, tables, model):
+    """Words of the documents, and words with letters doubled or left single at random."""
+    docs, _ = tables
+    rng = np.random.default_rng(9)
+    told = {w.lower() for r in docs.limit(1500).collect() for w in (r["text"] or "").split() if w.isalpha()}
+    more = {"".join(c * 1 + int(rng.random() < 0.2) for c in w[:12]) for w in sorted(told)[::3]}
+    some = sorted(w for w in told | more | {"stuupid", "iddioott", "ññ", "ee"} if toxicity._only_doubled(w))
+    some = [w for w in some if any(a == b for a, b in zip(w, w[1:]))]
+    assert len(some) > 10_000
+    for shown in (None, model.shown):
+        fast, slow = toxicity.Decoder(model.table, shown), toxicity.Decoder(model.table, shown)
+        fast.prepare(set(some))
+        assert len(fast.held) > 10_000
+        assert {w: f for (w, _), f in fast.held.items()} == {w: slow.decode(w) for w, _ in list(fast.held)}
+    assert any(f != w for (w, _), f in fast.held.items())
+
+
+def test_a_repeated_labelled_document_counts_once(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, f"idiot moron {i}" if i % 3 == 0 else f"kind words {i}") for i in range(60)] + [(3, "idiot moron 3")] * 500,
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    once = toxicity.learn(docs.distinct(), labels)
+    many = toxicity.learn(docs, labels)
+    assert (once.features == many.features).all() and np.allclose(once.weights, many.weights)
+
+
 def test_language_model_counts_all_documents(spark):
     docs = given(spark, "documents")
     one, two = toxicity.language_model(docs), toxicity.language_model(docs.union(docs))
