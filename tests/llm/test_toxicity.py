@@ -143,7 +143,7 @@ def test_doubled_letters_in_arrays_read_as_in_the_lattice(spark, tables, model):
     docs, _ = tables
     rng = np.random.default_rng(9)
     told = {w.lower() for r in docs.limit(1500).collect() for w in (r["text"] or "").split() if w.isalpha()}
-    more = {"".join(c * 1 + int(rng.random() < 0.2) for c in w[:12]) for w in sorted(told)[::3]}
+    more = {"".join(c * (1 + int(rng.random() < 0.2)) for c in w[:12]) for w in sorted(told)[::3]}
     some = sorted(w for w in told | more | {"stuupid", "iddioott", "ññ", "ee"} if toxicity._only_doubled(w))
     some = [w for w in some if any(a == b for a, b in zip(w, w[1:]))]
     assert len(some) > 10_000
