@@ -9,7 +9,7 @@ small table of its periods, so that finding a month opens none of its files.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,34 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.measures import period_code
 
 
-def with_periods(ledger: DataFrame, periods: DataFrame) -> DataFrame:
+class Rollup(NamedTuple):
+    """Tables stored beside a ledger, see ``sources.rollup``: sums by month, organisation,
+    store, house type, category and sign; numbered property keys; and bitmaps of those
+    with a posting in a year and category."""
+
+    totals: DataFrame
+    properties: DataFrame
+    active: DataFrame
+
+
+def with_rollup(ledger: DataFrame, rollup: Rollup | None) -> DataFrame:
+    """The ledger with its stored sums. Tables made from it don't have them."""
+    ledger.ledger_rollup = rollup
+    return ledger
+
+
+def stored_rollup(ledger: DataFrame) -> Rollup | None:
+    return ledger.__dict__.get("ledger_rollup")
+
+
+def in_sums(ledger: DataFrame) -> DataFrame:
+    """What reports that add up amounts by their sign read: the stored ledger of sums,
+    with the same columns but for those of single postings, or the ledger itself."""
+    rollup = stored_rollup(ledger)
+    return ledger if rollup is None else with_periods(rollup.totals.select("*"), stored_periods(ledger))
+
+
+def with_periods(ledger: DataFrame, periods: DataFrame | None) -> DataFrame:
     """The ledger with its table of (year, month, rows), one row per month that occurs.
     Tables made from it, filtered ones as well, don't have it."""
     ledger.ledger_periods = periods
@@ -97,8 +124,13 @@ def at_period(ledger: DataFrame, year: int | None = None, month: int | None = No
 def options(ledger: DataFrame, column: str, descending: bool = False) -> DataFrame:
     """Distinct values of a column in order."""
     order = F.desc(column) if descending else F.asc(column)
+    rollup = stored_rollup(ledger)
     if column in ("year", "month"):
         ledger = _with_year_and_month(ledger)
+    elif rollup is not None and column == "property_id":
+        return rollup.properties.select(column).orderBy(order)
+    elif rollup is not None and column in rollup.totals.columns:
+        ledger = rollup.totals
     return ledger.select(column).distinct().orderBy(order)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
+from ledgerloom.operators.filters import stored_rollup
 
 
 def net_by(ledger: DataFrame, *keys: str) -> DataFrame:
@@ -39,6 +40,15 @@ def distinct_count(ledger: DataFrame, column: str) -> Column:
     return ledger.select(column).distinct().agg(F.count(F.lit(1))).scalar()
 
 
+def property_count(ledger: DataFrame) -> Column:
+    """Exact number of properties, as a scalar subquery: the stored keys are counted, else
+    one column of the ledger is read."""
+    rollup = stored_rollup(ledger)
+    if rollup is None:
+        return distinct_count(ledger, "property_id")
+    return rollup.properties.agg(F.count(F.lit(1))).scalar()
+
+
 def share_of_total(nets: DataFrame, key: str) -> DataFrame:
     """Each group's part of the sum of all groups.
 

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
 from ledgerloom.functions.formats import as_text
-from ledgerloom.operators.filters import at_period
+from ledgerloom.operators.filters import at_period, in_sums
 from ledgerloom.operators.totals import gross_by, net_basis, net_by, share_of_total
 
 
 def _category_nets(ledger: DataFrame, year: int | None, month: int | None) -> DataFrame:
-    return net_by(at_period(ledger, year, month), "category")
+    return net_by(at_period(in_sums(ledger), year, month), "category")
 
 
 def kpis(ledger: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
@@ -71,7 +71,7 @@ def house_types(
     ledger: DataFrame, year: int | None = None, month: int | None = None
 ) -> DataFrame:
     """Gross income, gross expense and net per house type; blank types left out."""
-    named = at_period(ledger, year, month).filter("house_type <> ''")
+    named = at_period(in_sums(ledger), year, month).filter("house_type <> ''")
     return (
         gross_by(named, "house_type")
         .orderBy(F.desc("net"), "house_type")

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
 from ledgerloom.functions.formats import as_text
-from ledgerloom.operators.filters import at_period, period_rows
+from ledgerloom.operators.filters import at_period, in_sums, period_rows
 from ledgerloom.operators.pivot import pivot
 from ledgerloom.operators.ranking import preview, top
-from ledgerloom.operators.totals import distinct_count
+from ledgerloom.operators.totals import property_count
 
 
 def kpis(ledger: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def kpis(ledger: DataFrame) -> DataFrame:
     """
     records = period_rows(ledger).agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
     return (
-        at_period(ledger)
+        at_period(in_sums(ledger))
         .agg(
             F.max("year").alias("year"),
             F.max("month").alias("month"),
@@ -41,7 +41,7 @@ def cards(ledger: DataFrame) -> DataFrame:
 
 def org_category(ledger: DataFrame) -> DataFrame:
     """Net per organisation and category in reporting units, empty cells 0."""
-    yuan = pivot(ledger, ["org"], ["category"], margins=False, round_to=None)
+    yuan = pivot(in_sums(ledger), ["org"], ["category"], margins=False, round_to=None)
     org, *cells = yuan.columns
     # Columns are told apart by place: category names may be any text.
     safe = yuan.toDF(org, *(f"c{i}" for i in range(len(cells))))
@@ -55,11 +55,13 @@ def data_range(ledger: DataFrame) -> DataFrame:
 
     Counting five columns distinct in one aggregate would copy every row five
     times. The four small ones are reduced to their combinations first, and
-    properties are counted by a scan that reads that column alone.
+    properties are counted by a scan that reads that column alone. With a stored roll-up
+    all of it comes from there.
     """
     small = ["org", "shop", "house_type", "category"]
     return (
-        ledger.groupBy(*small)
+        in_sums(ledger)
+        .groupBy(*small)
         .agg(F.min("year").alias("first"), F.max("year").alias("last"))
         .agg(
             F.min("first").alias("first_year"),
@@ -69,7 +71,7 @@ def data_range(ledger: DataFrame) -> DataFrame:
             F.count_distinct("house_type").alias("house_types"),
             F.count_distinct("category").alias("categories"),
         )
-        .withColumn("properties", distinct_count(ledger, "property_id"))
+        .withColumn("properties", property_count(ledger))
     )
 
 
@@ -92,7 +94,7 @@ def data_range_approx(ledger: DataFrame, error: float = 0.05) -> DataFrame:
 def top_income_categories(ledger: DataFrame, k: int = 5) -> DataFrame:
     """Categories with the largest gross income over all time."""
     totals = (
-        ledger.filter("amount > 0").groupBy("category").agg(F.sum("amount").alias("income"))
+        in_sums(ledger).filter("amount > 0").groupBy("category").agg(F.sum("amount").alias("income"))
     )
     return top(totals, "income", "category", k).select(
         "category", m.in_units(F.col("income")).alias("income_10k")

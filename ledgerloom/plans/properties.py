@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
 from ledgerloom.functions.formats import as_text
-from ledgerloom.operators.filters import at_year, select
+from ledgerloom.operators.filters import (
+    at_year,
+    in_sums,
+    select,
+    stored_periods,
+    stored_rollup,
+    with_periods,
+)
 from ledgerloom.operators.ranking import largest_first, top
-from ledgerloom.operators.totals import distinct_count
+from ledgerloom.operators.totals import property_count
 from ledgerloom.schema import DETAIL_COLUMNS
 
 
@@ -31,25 +38,41 @@ def kpis(
 ) -> DataFrame:
     """Properties in the whole ledger and in the selection; income, also per property.
 
-    Rows are added up per property first, so a hot property is one row per task
-    before anything is shuffled.
+    With a stored roll-up, and unless one property is asked for, sums come from the ledger
+    of sums and properties from bitmaps. Else rows are added up per property first, so a
+    hot property is one row per task before anything is shuffled.
     """
-    return (
-        chosen(ledger, year, property_id, category)
-        .groupBy("property_id")
-        .agg(m.gross_income().alias("income"))
-        .agg(
-            F.count(F.lit(1)).alias("active_properties"),
-            m.in_units(m.or_zero(F.sum("income"))).alias("gross_income_10k"),
+    rollup = stored_rollup(ledger)
+    if rollup is not None and property_id is None:
+        sums = chosen(in_sums(ledger), year, category=category).agg(m.in_units(m.gross_income()).alias("gross_income_10k"))
+        figures = sums.select(_active(ledger, year, category).alias("active_properties"), "gross_income_10k")
+    else:
+        figures = (
+            chosen(ledger, year, property_id, category)
+            .groupBy("property_id")
+            .agg(m.gross_income().alias("income"))
+            .agg(
+                F.count(F.lit(1)).alias("active_properties"),
+                m.in_units(m.or_zero(F.sum("income"))).alias("gross_income_10k"),
+            )
         )
-        .withColumn(
+    return (
+        figures.withColumn(
             "income_per_property_10k",
             m.guarded_ratio(F.col("gross_income_10k"), F.col("active_properties")),
         )
-        .withColumn("all_properties", distinct_count(ledger, "property_id"))
+        .withColumn("all_properties", property_count(ledger))
     )
 
 
+def _active(ledger: DataFrame, year: int | None, category: str | None) -> Column:
+    """Properties with a posting in the year (and category), as a scalar subquery: the
+    bitmaps of all categories are joined for each bucket of numbers."""
+    bitmaps = with_periods(stored_rollup(ledger).active.select("*"), stored_periods(ledger))
+    joined = chosen(bitmaps, year, category=category).groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return joined.agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0).cast("long"))).scalar()
+
+
 def cards(
     ledger: DataFrame,
     year: int | None = None,

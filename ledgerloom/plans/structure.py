@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import measures as m
-from ledgerloom.operators.filters import at_year, select
+from ledgerloom.operators.filters import at_year, in_sums, select
 from ledgerloom.operators.ranking import largest_first
 from ledgerloom.operators.totals import net_by
 from ledgerloom.schema import DETAIL_COLUMNS
@@ -30,7 +30,7 @@ def monthly_series(
 ) -> DataFrame:
     """Net per month; months without rows are absent."""
     return (
-        net_by(chosen(ledger, year, category, org), "month")
+        net_by(chosen(in_sums(ledger), year, category, org), "month")
         .orderBy("month")
         .select("month", m.in_units(F.col("net")).alias("net_10k"))
     )
@@ -44,7 +44,7 @@ def category_net(
 ) -> DataFrame:
     """Net per category, largest first."""
     return (
-        net_by(chosen(ledger, year, category, org), "category")
+        net_by(chosen(in_sums(ledger), year, category, org), "category")
         .orderBy(F.desc("net"), "category")
         .select("category", m.in_units(F.col("net")).alias("net_10k"))
     )

@@ -7,23 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.filters import with_periods
+from ledgerloom.operators.filters import with_periods, with_rollup
 from ledgerloom.schema import AMOUNT_TYPE, LEDGER_SCHEMA
 from ledgerloom.sources.csv_files import ledger_columns, parse, quality, read_csv, rejects, rounded
+from ledgerloom.sources.rollup import read_rollup, write_rollup
 
 PARTITIONS = ["year", "month"]
 PERIODS = "_periods"  # readers of the ledger skip names that begin so
 _NO_TEXT = [T.StructField(c, T.StringType()) for c in LEDGER_SCHEMA.names]
 
 
-def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0) -> None:
+def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0, rollup: bool = False) -> None:
     """Store a ledger.
 
     The rebalance gathers each month into few files. It is a hint, so at run time
     Spark splits a month that is too big for one task (however large its part of
     the rows) and joins small ones, towards
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file. ``rows_per_file``
-    limits the rows of a file as well; 0 sets no limit.
+    limits the rows of a file as well; 0 sets no limit. With ``rollup`` the tables of
+    ``sources.rollup`` are stored too: worth its three scans where reports are asked for
+    more than a few times.
     """
     spark = ledger.sparkSession
     keys = [c for c in ("rejected", *PARTITIONS) if c in ledger.columns]
@@ -34,6 +37,8 @@ def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0) -> None:
         .parquet(path)
     )
     _count_periods(spark, path).coalesce(1).write.parquet(f"{path}/{PERIODS}")
+    if rollup:
+        write_rollup(read_ledger(spark, path), path)
 
 
 def _count_periods(spark: SparkSession, path: str) -> DataFrame:
@@ -52,6 +57,7 @@ def ingest(
     multi_line: bool | None = None,
     amount_type: T.DecimalType = AMOUNT_TYPE,
     rows_per_file: int = 0,
+    rollup: bool = False,
 ) -> None:
     """CSV files to a stored ledger and its rejected rows.
 
@@ -59,7 +65,7 @@ def ingest(
     """
     parsed = parse(read_csv(spark, *csv_paths, multi_line=multi_line), amount_type)
     bad = F.when(F.col("reject_reason") == "", 0).otherwise(1)
-    write_ledger(parsed.withColumn("rejected", bad), path, rows_per_file)
+    write_ledger(parsed.withColumn("rejected", bad), path, rows_per_file, rollup)
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -81,14 +87,15 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A stored ledger, without rejected rows, with its table of periods."""
+    """A stored ledger, without rejected rows, with its table of periods and, where one
+    is stored, its roll-up."""
     stored = _read(spark, path)
     if "rejected" in stored.columns:
         stored = ledger_columns(stored.filter("rejected = 0"))
     if columns:
         stored = stored.select(*columns)
     periods = spark.read.schema("year int, month int, rows long").parquet(f"{path}/{PERIODS}")
-    return with_periods(stored, periods)
+    return with_rollup(with_periods(stored, periods), read_rollup(spark, path))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:

@@ -54,5 +54,5 @@ def _store(spark: SparkSession, folder: str) -> DataFrame:
     order_tables.properties(spark, folder).write.parquet(path)
     properties = spark.read.parquet(path)
     path = new_folder(spark, "ledger")
-    write_ledger(order_tables.postings(spark, folder, properties), path)
+    write_ledger(order_tables.postings(spark, folder, properties), path, rollup=True)
     return read_ledger(spark, path, LEDGER_SCHEMA.names)
