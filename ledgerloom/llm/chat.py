@@ -23,6 +23,8 @@ from ledgerloom.llm.tables import chosen
 
 TURNS = "array<struct<role:string,text:string>>"
 OPEN, CLOSE = "<turn ", "\n</turn>\n"
+# Spark's JSON reader refuses longer texts unless told otherwise.
+_ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
 ESCAPES = (("\\b", "\\bb"), ("\\l", "\\bl"), ("\\g", "\\bg"), ("<turn", "\\lturn"), ("</turn", "\\l/turn"))
 
 
@@ -73,13 +75,18 @@ def fingerprint_of(paths) -> str:
     return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
 
 
+def _names(record: Column) -> Column:
+    """The names of an object's fields; null if it is no object."""
+    return F.map_keys(F.from_json(record, "map<string,string>", _ANY_LENGTH))
+
+
 def _inner(value: Column, prefix: Column) -> Column:
     """Paths of the fields of an object, or of all objects in a list."""
-    objects = F.when(F.startswith(value, F.lit("[")), F.from_json(value, "array<string>")).when(
+    objects = F.when(F.startswith(value, F.lit("[")), F.from_json(value, "array<string>", _ANY_LENGTH)).when(
         F.startswith(value, F.lit("{")), F.array(value)
     )
     dot = F.when(F.startswith(value, F.lit("[")), F.lit("[].")).otherwise(F.lit("."))
-    keys = F.flatten(F.transform(objects, lambda o: F.coalesce(F.json_object_keys(o), F.array().cast("array<string>"))))
+    keys = F.flatten(F.transform(objects, lambda o: F.coalesce(_names(o), F.array().cast("array<string>"))))
     return F.coalesce(F.transform(F.array_distinct(keys), lambda k: F.concat(prefix, dot, k)), F.array().cast("array<string>"))
 
 
@@ -93,7 +100,7 @@ def fingerprint(record: Column, mappings: list[Mapping] = MAPPINGS) -> Column:
     Fields that no mapping declares as an object or list aren't opened, so a text that
     happens to look like JSON is a text.
     """
-    fields = F.map_entries(F.from_json(record, "map<string,string>"))
+    fields = F.map_entries(F.from_json(record, "map<string,string>", _ANY_LENGTH))
     opened = _containers(mappings)
 
     def paths(f: Column) -> Column:
@@ -101,8 +108,7 @@ def fingerprint(record: Column, mappings: list[Mapping] = MAPPINGS) -> Column:
         return F.concat(F.array(f["key"]), F.coalesce(inner, F.array().cast("array<string>")))
 
     every = F.array_sort(F.array_distinct(F.flatten(F.transform(fields, paths))))
-    known = F.json_object_keys(record).isNotNull()
-    return F.when(known, F.sha2(F.array_join(every, "\n"), 256))
+    return F.when(fields.isNotNull(), F.sha2(F.array_join(every, "\n"), 256))
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -114,7 +120,7 @@ def _turn(role: Column, text: Column) -> Column:
 def _turns(record: Column, mapping: Mapping) -> Column:
     if mapping.items:
         kind = f"{mapping.items} array<struct<`{mapping.role}`:string,`{mapping.text}`:string>>"
-        items = F.from_json(record, kind)[mapping.items]
+        items = F.from_json(record, kind, _ANY_LENGTH)[mapping.items]
 
         def turn(item: Column) -> Column:
             role = item[mapping.role]
@@ -128,7 +134,7 @@ def _turns(record: Column, mapping: Mapping) -> Column:
     kind = ", ".join(
         f"`{n}` struct<{','.join(f'`{i}`:string' for i in inner[n])}>" if inner[n] else f"`{n}` string" for n in names
     )
-    parsed = F.from_json(record, kind)
+    parsed = F.from_json(record, kind, _ANY_LENGTH)
 
     def value(path: str) -> Column:
         found = parsed
@@ -230,7 +236,7 @@ def records_of(conversations: DataFrame) -> DataFrame:
     allow: prompt and completion, instruction with input, or messages.
 
     Turns are ordered by number, then role and text; null texts and roles are empty.
-    Rows without conv_id are one conversation.
+    A row without conv_id is a conversation of its own.
     """
     rows = chosen(conversations, conv_id="long", turn="long", role="string", text="string")
     turn = F.struct(
@@ -238,7 +244,8 @@ def records_of(conversations: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("content"),
     )
-    grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    grouped = rows.groupBy("conv_id", own.alias("own")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     roles = F.transform("turns", lambda t: t["role"])
     said = lambda i: F.get("turns", F.lit(i))["content"]
     is_ = lambda *names: roles == F.array(*map(F.lit, names))

@@ -9,8 +9,6 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +16,8 @@ from ledgerloom.llm.tables import chosen, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.75  # share of a host's rank that its links pass on
-TOLERANCE = 1e-2  # share of all rank that may still be on its way when propagation ends
+EQUAL = 1e-9  # ranks that differ by a smaller part are equal
+ROUNDS = 8  # links that ranks move over between looks at whether all is settled
 MARGIN = 1.0  # distrust above this many times the trust blocks a host
 
 RULES = [
@@ -74,35 +73,62 @@ def links(pages: DataFrame) -> DataFrame:
     return hosts.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, margin: float = MARGIN) -> DataFrame:
     """(kind, host, rank) from edges (kind, a, b, share), the share of a's rank that goes
     to b, and seeds (kind, host, seed).
 
     rank = (1 - damping) * sum over k of damping**k * (seed pushed over k links). What
-    isn't passed on by a host without links is gone. Damping brings what is still on its
-    way below the tolerance in a known number of rounds. Kinds are propagated together;
-    what a host gets is summed before it is shuffled.
+    isn't passed on by a host without links is gone. Ranks move until no verdict can
+    change: until no host is reached for the first time, and every host's distrust is
+    so far from ``margin`` times its trust, or both so near, that all that is still on its
+    way changes nothing. Kinds are propagated together; what a host gets is summed before
+    it is shuffled.
     """
-    total = moving = stored(
-        seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank")), "seeds"
-    )
-    rounds = math.ceil(math.log(tolerance) / math.log(damping))
-    parts = [total]
-    for _ in range(rounds):
-        sent = (
-            moving.withColumnRenamed("kind", "of")
-            .join(edges, (F.col("of") == F.col("kind")) & (F.col("host") == F.col("a")))
-            .groupBy("kind", F.col("b").alias("host"))
-            .agg((F.sum(F.col("rank") * F.col("share")) * damping).alias("rank"))
-        )
-        moving = stored(sent, "ranks")
-        if moving.isEmpty():
-            break
-        parts.append(moving)
-    every = parts[0]
-    for more in parts[1:]:
-        every = every.unionByName(more)
-    return every.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+    moving = stored(seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank")), "seeds")
+    total = moving
+    while True:
+        parts, last = [total], moving
+        for _ in range(ROUNDS):
+            sent = (
+                moving.withColumnRenamed("kind", "of")
+                .join(edges, (F.col("of") == F.col("kind")) & (F.col("host") == F.col("a")))
+                .groupBy("kind", F.col("b").alias("host"))
+                .agg((F.sum(F.col("rank") * F.col("share")) * damping).alias("rank"))
+            )
+            last, moving = moving, stored(sent, "ranks")
+            parts.append(moving)
+        before = parts[0]
+        for more in parts[1:-1]:
+            before = before.unionByName(more)
+        before = before.select(F.col("kind").alias("of"), F.col("host").alias("known")).distinct()
+        first = moving.join(before, (F.col("kind") == F.col("of")) & (F.col("host") == F.col("known")), "left_anti")
+        # All that a host can still get of a kind.
+        waiting = dict(moving.groupBy("kind").agg(F.sum("rank") * damping / (1 - damping)).collect())
+        every = parts[0]
+        for more in parts[1:]:
+            every = every.unionByName(more)
+        total = stored(every.groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "totals")
+        if not waiting:
+            return total
+        if first.isEmpty() and _unsettled(total, waiting, margin).isEmpty():
+            return total
+
+
+def _unsettled(total: DataFrame, waiting: dict[str, float], margin: float) -> DataFrame:
+    """Hosts with both ranks whose verdict what is on its way may change. A host that a
+    kind doesn't reach by now has none of it."""
+    by_host = _by_host(total).where("trust > 0 AND distrust > 0")
+    trust, distrust = F.col("trust") * margin, F.col("distrust")
+    up, down = F.lit(waiting.get("distrust", 0.0)), F.lit(waiting.get("trust", 0.0) * margin)
+    blocked, allowed = distrust - trust > down, trust - distrust >= up
+    equal = F.abs(distrust - trust) + up + down <= EQUAL * F.greatest(trust, distrust)
+    return by_host.where(~(blocked | allowed | equal))
+
+
+def _by_host(found: DataFrame) -> DataFrame:
+    """(host, trust, distrust)."""
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
+    return found.groupBy("host").agg(of("trust"), of("distrust"))
 
 
 def ranks(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
@@ -134,22 +160,15 @@ def ranks(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
         ),
         "shares",
     )
-    found = propagated(edges, seeds)
-
-    def of(kind: str) -> Column:
-        # Sums of doubles differ by their order: rounded, equal ranks are equal.
-        total = F.sum(F.when(F.col("kind") == kind, F.col("rank")))
-        return F.round(F.coalesce(total, F.lit(0.0)), 12).alias(kind)
-
-    return found.groupBy("host").agg(of("trust"), of("distrust"))
+    return _by_host(propagated(edges, seeds))
 
 
 def verdicts(pages: DataFrame, rules: list[tuple[str, str]] = RULES, margin: float = MARGIN) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row per row of ``pages``.
 
     The longest fitting rule decides; without one a host is blocked if its distrust is
-    above ``margin`` times its trust, else allowed, so a host nothing is known about is
-    allowed. A null url, or one without ``://``, has an empty host and path, and no rank.
+    above ``margin`` times its trust by more than a part EQUAL of it, else allowed, so a
+    host nothing is known about is allowed. A null url, or one without ``://``, has an empty host and path, and no rank.
     """
     scores = stored(ranks(pages, rules), "host-ranks").withColumnRenamed("host", "ranked")
     found = chosen(pages, page_id="long", url="string").select(
@@ -158,7 +177,7 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str]] = RULES, margin: flo
     found = found.withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
     joined = found.join(scores, F.col("host") == F.col("ranked"), "left")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
-    by_host = F.when(distrust > margin * trust, F.lit("block")).otherwise(F.lit("allow"))
+    by_host = F.when(distrust - margin * trust > EQUAL * distrust, F.lit("block")).otherwise(F.lit("allow"))
     return joined.select(
         "page_id",
         "host",

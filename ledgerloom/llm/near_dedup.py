@@ -337,8 +337,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id."""
-    gone = near_duplicates(docs, size, percent).where("NOT kept").select("doc_id").distinct()
-    plain = by_place(docs)
-    same = plain[place(docs, "doc_id")].cast("long") == gone["doc_id"]
-    return plain.join(gone, same, "left_anti").toDF(*docs.columns)
+    """``docs`` with one row of each component of near-duplicate rows: that with the
+    smallest doc_id, of equal ones any one. Every row counts by itself, whether others
+    share its doc_id or it has none; rows without words stay."""
+    row = f"c{len(docs.columns)}"
+    plain = stored(by_place(docs).withColumn(row, F.monotonically_increasing_id()), "rows")
+    texts = plain.select(F.col(row).alias("doc_id"), F.col(place(docs, "text")).alias("text"))
+    found = stored(near_duplicates(texts, size, percent).select("doc_id", "component_id"), "components-of-rows")
+    doc_id = F.col(place(docs, "doc_id")).cast("long")
+    named = plain.select(F.col(row).alias("row"), doc_id.alias("name"))
+    least = F.min(F.struct(F.col("name").isNull(), "name", "row")).alias("least")
+    kept = (
+        found.join(named.hint("merge"), F.col("doc_id") == F.col("row"))
+        .groupBy("component_id")
+        .agg(least)
+        .select(F.col("least.row").alias("stays"))
+    )
+    return plain.join(kept.hint("merge"), F.col(row) == F.col("stays"), "left_semi").drop(row).toDF(*docs.columns)

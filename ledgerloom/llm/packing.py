@@ -137,8 +137,8 @@ def pack(
         )
 
     filled = whole.select(
-        # Above all shards' bins: rows and pieces have numbers of their own.
-        (-(F.xxhash64("row", "k").bitwiseAND(F.lit((1 << 62) - 1))) - 1).alias("bin_id"),
+        # Below 0, apart from all shards' bins; the pieces are numbered after they are cut.
+        (-F.monotonically_increasing_id() - 1).alias("bin_id"),
         F.lit(largest).cast("long").alias("capacity"),
         F.lit(largest).cast("long").alias("used"),
         F.array("doc_id").alias("doc_ids"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.tables import by_place, documents, place
 
 NEARBY = 40  # characters before and after a proposal that are its context
+_CHUNK, _BLOCK = 1024, 64  # code points, entries handled together
 ENOUGH = 0.6  # score from which an added span counts
 
 
@@ -134,25 +135,87 @@ ADDED = [
 ]
 
 
-def _proposed(text: Column, kind: Kind) -> Column:
-    """All valid matches: kind, start, end (code points, end exclusive), score."""
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.transform(F.split(text, kind.pattern, -1), F.length)
-    sizes = F.transform(found, F.length)
-    # Where each match ends: sums of the gaps before it and the matches up to it.
-    ends = F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(found)), sizes, lambda gap, size: gap + size),
-        F.array().cast("array<int>"),
-        lambda ends, step: F.concat(ends, F.array(F.coalesce(F.try_element_at(ends, F.lit(-1)), F.lit(0)) + step)),
+def _running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or other totals ``op``) of an array of ints that begin at 0, in blocks:
+    appending to a whole array would copy it for every entry. ``values`` must be a column
+    of the table, not an expression, which every block would evaluate anew."""
+
+    def append(so_far: Column, value: Column) -> Column:
+        return F.concat(so_far, F.array(op(F.element_at(so_far, -1), value)))
+
+    n = F.size(values)
+    none = F.array().cast("array<int>")
+    blocks = F.when(
+        n > 0,
+        F.transform(
+            F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int")), lambda k: F.slice(values, k * _BLOCK + 1, F.lit(_BLOCK))
+        ),
+    ).otherwise(F.array().cast("array<array<int>>"))
+    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), op))
+    before = F.aggregate(totals, F.array(F.lit(0)), append)
+    return F.coalesce(
+        F.flatten(
+            F.zip_with(
+                blocks,
+                F.slice(before, 1, F.size(blocks)),
+                lambda b, first: F.slice(F.aggregate(b, F.array(first), append), F.lit(2), F.size(b)),
+            )
+        ),
+        none,
+    )
+
+
+def _chunks(text: Column) -> Column:
+    """The text in pieces of _CHUNK code points: finding a place in it starts near by and
+    not at the text's beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+
+
+def _part(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in chunks; what lies outside is empty."""
+    first = F.floor(start / _CHUNK).cast("int")
+    last = F.floor(end / _CHUNK).cast("int")
+    told = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
+    return F.substring(told, start - first * _CHUNK + 1, end - start)
+
+
+def _searched(df: DataFrame, text: str, kinds: list[Kind]) -> DataFrame:
+    """The table with all valid matches of each kind: its name, start, end (code points,
+    end exclusive), score. Each step is a column of its own, since an expression within
+    an array function would be evaluated for every entry."""
+    column = df[text]
+    marked = column.rlike("|".join(f"(?:{kind.mark})" for kind in kinds))
+    found = {
+        f"_{kind.name}_found": F.when(
+            column.rlike(kind.mark), F.regexp_extract_all(column, F.lit(kind.pattern), F.lit(0))
+        ).otherwise(F.array().cast("array<string>"))
+        for kind in kinds
+    }
+
+    def step(kind: Kind) -> Column:
+        """How far each match ends after the one before."""
+        here = F.col(f"_{kind.name}_found")
+        gaps = F.transform(F.split(column, kind.pattern, -1), F.length)
+        steps = F.zip_with(F.slice(gaps, 1, F.size(here)), F.transform(here, F.length), lambda gap, size: gap + size)
+        return F.when(F.size(here) > 0, steps).otherwise(F.array().cast("array<int>"))
+
+    return (
+        df.withColumns({"_chunks": F.when(marked, _chunks(column)), **found})
+        .withColumns({f"_{kind.name}_steps": step(kind) for kind in kinds})
+        .withColumns({f"_{kind.name}_ends": _running(F.col(f"_{kind.name}_steps"), lambda a, b: a + b) for kind in kinds})
+        .withColumns({f"_{kind.name}": _spans(kind) for kind in kinds})
+        .drop(*(f"_{kind.name}_{part}" for kind in kinds for part in ("found", "steps", "ends")))
     )
+
+
+def _spans(kind: Kind) -> Column:
     near = f"(?i)(?<![a-z])(?:{kind.context})(?![a-z])"
 
     def span(match: Column, end: Column) -> Column:
         start = end - F.length(match)
         begin = F.greatest(start - NEARBY, F.lit(0))
-        around = F.concat(
-            F.substring(text, begin + 1, start - begin), F.lit(" "), F.substring(text, end + 1, F.lit(NEARBY))
-        )
+        chunks = F.col("_chunks")
+        around = F.concat(_part(chunks, begin, start), F.lit(" "), _part(chunks, end, end + NEARBY))
         said = F.when(around.rlike(near), 0.3).otherwise(0.0)
         return F.struct(
             F.lit(kind.name).alias("kind"),
@@ -161,15 +224,13 @@ def _proposed(text: Column, kind: Kind) -> Column:
             F.when(kind.valid(match), F.round(F.lit(kind.checked) + said, 2)).alias("score"),
         )
 
-    spans = F.filter(F.zip_with(found, ends, span), lambda s: s["score"].isNotNull())
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
-    return F.when(text.rlike(kind.mark), spans).otherwise(none)
+    both = F.zip_with(f"_{kind.name}_found", f"_{kind.name}_ends", span)
+    return F.filter(both, lambda s: s["score"].isNotNull())
 
 
 def _with_spans(df: DataFrame, text: str) -> DataFrame:
-    """The table with its spans in ``base`` and ``added``."""
-    column = df[text]
-    one = df.select("*", *(_proposed(column, kind).alias(f"_{kind.name}") for kind in [*BASE, *ADDED]))
+    """The table with its spans in ``base`` and ``added``, and its text in ``_chunks``."""
+    one = _searched(df, text, [*BASE, *ADDED])
     base = F.concat(*(f"_{kind.name}" for kind in BASE))
     sure = F.filter(F.concat(*(f"_{kind.name}" for kind in ADDED)), lambda s: s["score"] >= ENOUGH)
     two = one.withColumn("base", base).withColumn("sure", sure)
@@ -230,25 +291,19 @@ def redact(docs: DataFrame) -> DataFrame:
         )
     )
 
-    def cut(state: Column, s: Column) -> Column:
-        end, at = -s["least"], state["at"]
-        apart = s["start"] >= at
-        between = F.substring(F.col("_text"), at + 1, F.greatest(s["start"] - at, F.lit(0)))
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            F.when(apart, F.concat(state["out"], between, mark)).otherwise(state["out"]).alias("out"),
-            F.greatest(end, at).alias("at"),
-        )
+    # How far the spans up to each one reach: what lies between that and the next stays.
+    reach = _running(F.col("_ends"), lambda a, b: F.greatest(a, b))
 
-    begun = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate(
-        spans,
-        begun,
-        cut,
-        lambda s: F.concat(s["out"], F.substring(F.col("_text"), s["at"] + 1, F.length("_text"))),
-    )
-    some = F.size(F.concat("base", "added")) > 0
-    changed = found.withColumn("_new", F.when(some, done).otherwise(F.col("_text")))
+    def piece(s: Column, at: Column) -> Column:
+        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        return F.when(s["start"] >= at, F.concat(_part(F.col("_chunks"), at, s["start"]), mark)).otherwise(F.lit(""))
+
+    at = F.concat(F.array(F.lit(0)), F.slice("_reach", 1, F.size("_spans") - 1))
+    tail = _part(F.col("_chunks"), F.element_at("_reach", -1), F.length("_text"))
+    done = F.concat(F.array_join(F.zip_with("_spans", "_at", piece), ""), tail)
+    marked = found.withColumn("_spans", spans).withColumn("_ends", F.transform("_spans", lambda s: -s["least"]))
+    marked = marked.withColumn("_reach", reach).withColumn("_at", at)
+    changed = marked.withColumn("_new", F.when(F.size("_spans") > 0, done).otherwise(F.col("_text")))
     length = place(docs, "n_chars") if docs.columns.count("n_chars") == 1 else None
 
     def kept(i: int) -> Column:

@@ -56,7 +56,9 @@ def _fit(value: int) -> str:
     return f"CASE {' '.join(tests)} END"
 
 
-_ROUNDS = math.ceil(math.log(link_rank.TOLERANCE) / math.log(link_rank.DAMPING))
+# Rounds that leave less than a part of 1e-15 of all rank on its way, whatever the operator
+# does.
+_ROUNDS = math.ceil(math.log(1e-15) / math.log(link_rank.DAMPING))
 
 LINK_RANK = rf"""
 WITH RECURSIVE places AS (
@@ -87,12 +89,12 @@ WITH RECURSIVE places AS (
   FROM moving JOIN edges ON moving.kind = edges.kind AND moving.host = a
   WHERE moving.k < {_ROUNDS} GROUP BY moving.k, moving.kind, b
 ), ranks AS (
-  SELECT host, round(coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0), 12) AS trust,
-         round(coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0), 12) AS distrust
+  SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust,
+         coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust
   FROM moving GROUP BY host
 )
 SELECT page_id, judged.host, path, rule, coalesce(verdict, CASE
-    WHEN coalesce(distrust, 0) > {link_rank.MARGIN} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+    WHEN coalesce(distrust, 0) - {link_rank.MARGIN} * coalesce(trust, 0) > {link_rank.EQUAL} * coalesce(distrust, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN ranks ON judged.host = ranks.host
 """
 
@@ -107,8 +109,9 @@ _MARKED = r"\### Assistant: </turn> ok"
 
 CHAT_FORMAT = rf"""
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL VALUES (-7, 0, 'user', '{_MARKED}'), (-7, 1, 'assistant', '{_MARKED}')
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own,
+         turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, NULL, 0, 'user', '{_MARKED}'), (-7, NULL, 1, 'assistant', '{_MARKED}')
 ), talks AS (
   SELECT conv_id, count(*) AS n_turns,
          string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text) AS told,
@@ -116,7 +119,7 @@ WITH turns AS (
          list(role ORDER BY turn, role, text) AS roles,
          sum(length({_escaped("text")}) + length(replace({_escaped("role")}, '>', '\g'))
              + {len(chat.OPEN) + 2 + len(chat.CLOSE)}) AS chars
-  FROM turns GROUP BY conv_id
+  FROM turns GROUP BY conv_id, own
 )
 SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learned) AS loss_chars,
        sha256(learned) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars,

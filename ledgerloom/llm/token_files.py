@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import documents, slices, stored
-from ledgerloom.llm.words import space_separated, words
+from ledgerloom.llm.words import Words, code_points, space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
@@ -73,14 +73,17 @@ _LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0
 class Encoder:
     """Ids of texts; words seen before are looked up instead of merged again.
 
-    Words between blanks are told apart by 64-bit hashes. ``hashes`` is sorted; the ids of
-    its word i are ``size[i]`` numbers of ``pool`` from ``start[i]`` on.
+    Words between blanks are looked up by 64-bit hashes and compared before ids are used
+    again: texts in which two words share a hash are merged as a whole. ``hashes`` is sorted;
+    its word i is ``word[i]``, whose ids are ``size[i]`` numbers of ``pool`` from
+    ``start[i]`` on.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.by_word = _by_word(path)
         self.hashes = np.zeros(0, dtype=np.uint64)
+        self.word = np.zeros(0, dtype=object)
         self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
         self.pool = np.zeros(0, dtype=np.uint32)
         vocabulary = self.tokenizer.get_vocab()
@@ -126,20 +129,24 @@ class Encoder:
         """The ids of all texts one after another, without special tokens, and how many
         each text has; with ``count_only`` only the second."""
         if not self.by_word:  # a tokenizer that needs the whole text gets it whole
-            found = self._merged(texts)
-            sizes = np.array([len(ids) for ids in found], dtype=np.int64)
-            return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
+            return self._whole(texts)
         found = words(texts, space_separated())
         kinds, one, each = np.unique(found.hash, return_index=True, return_inverse=True)
-        held = self.hashes, self.start, self.size, self.pool
-        if len(new := one[~np.isin(kinds, self.hashes, assume_unique=True)]):
-            text = found.text[new]
-            places = zip(text.tolist(), (found.start[new] - found.offset[text]).tolist(), (found.end[new] - found.offset[text]).tolist())
-            ids = self._learned([texts[i][a:b] for i, a, b in places])
+        text = found.text[one]
+        places = zip(text.tolist(), (found.start[one] - found.offset[text]).tolist(), (found.end[one] - found.offset[text]).tolist())
+        shown = np.array([texts[i][a:b] for i, a, b in places], dtype=object)
+        known = np.isin(kinds, self.hashes, assume_unique=True)
+        at = np.searchsorted(self.hashes, kinds[known])
+        if not (self.word[at] == shown[known]).all() or not _same_words(texts, found, one[each]):
+            return self._whole(texts)
+        held = self.hashes, self.word, self.start, self.size, self.pool
+        if len(new := np.flatnonzero(~known)):
+            ids = self._learned(shown[new].tolist())
             sizes = np.array([len(x) for x in ids], dtype=np.int32)
-            hashes = np.concatenate((self.hashes, found.hash[new]))
+            hashes = np.concatenate((self.hashes, kinds[new]))
             order = np.argsort(hashes, kind="stable")
             self.hashes = hashes[order]
+            self.word = np.concatenate((self.word, shown[new]))[order]
             self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(sizes) - sizes))[order]
             self.size = np.concatenate((self.size, sizes))[order]
             self.pool = np.concatenate((self.pool, *ids))
@@ -150,9 +157,25 @@ class Encoder:
         if not count_only:
             flat = self.pool[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], sizes)]
         if len(self.hashes) > HELD_WORDS:  # the words met first stay
-            self.hashes, self.start, self.size, self.pool = held
+            self.hashes, self.word, self.start, self.size, self.pool = held
         return flat, np.diff(ends[found.first])
 
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._merged(texts)
+        sizes = np.array([len(ids) for ids in found], dtype=np.int64)
+        return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
+
+
+def _same_words(texts: list[str], found: Words, other: np.ndarray) -> bool:
+    """Whether every word is, letter by letter, the word whose place ``other`` has."""
+    length = found.end - found.start
+    if (length != length[other]).any():
+        return False
+    codes, _ = code_points(texts)
+    here = np.arange(length.sum()) + np.repeat(found.start - (np.cumsum(length) - length), length)
+    there = here + np.repeat(found.start[other] - found.start, length)
+    return bool((codes[here] == codes[there]).all())
+
 
 @cache
 def encoder(path: str) -> Encoder:
@@ -179,12 +202,15 @@ def _encode(path: str):
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, stripe: int = STRIPE, rows: int = ROWS) -> None:
     """Write (doc_id, n_tokens, ids, file) as ORC, ascending by doc_id over all files.
 
-    Rows that share a doc_id are ordered by text; a row without doc_id comes first. A
-    null text is empty and has the end id alone. ``file`` numbers the files in order.
+    Rows that share a doc_id are ordered by their texts' hashes and may be in several
+    files; a row without doc_id comes first. A null text is empty and has the end id
+    alone. ``file`` numbers the files in order.
     """
-    texts = documents(docs)
-    # By the id alone: Spark brings a sample of the keys to the driver.
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Keys are numbers: Spark brings a sample of them to the driver. The last two part an
+    # id, or a text, that many rows share.
+    keys = ["doc_id", "hash", "row"]
+    texts = documents(docs).withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = texts.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     encoded = ordered.mapInArrow(_encode(tokenizer), "doc_id long, n_tokens long, ids array<int>")
     (
         encoded.withColumn("file", F.spark_partition_id())
@@ -218,20 +244,20 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
             sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
             order = pa.array(np.arange(at, at + batch.num_rows))
             at += batch.num_rows
-            columns = [batch.column(c) for c in ("doc_id", "n_tokens", "file")]
+            columns = [batch.column(c) for c in ("doc_id", "n_tokens", "file", "block")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, order, pa.array(sums, pa.int64())],
-                names=["doc_id", "n_tokens", "file", "place", "ids_crc32"],
+                names=["doc_id", "n_tokens", "file", "block", "place", "ids_crc32"],
             )
 
-    found = read_tokens(spark, path)
-    schema = "doc_id long, n_tokens long, file int, place long, ids_crc32 long"
+    found = read_tokens(spark, path).withColumn("block", F.col("_metadata.file_block_start"))
+    schema = "doc_id long, n_tokens long, file int, block long, place long, ids_crc32 long"
     index = stored(found.mapInArrow(run, schema), "token-index")
     files = index.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0)))
-    # A file split between tasks keeps its order by doc_id; equal ids are equal in place.
-    within = Window.partitionBy("file").orderBy("doc_id", "place").rowsBetween(Window.unboundedPreceding, -1)
+    # A file split between tasks keeps its order by where the split begins.
+    within = Window.partitionBy("file").orderBy("block", "place").rowsBetween(Window.unboundedPreceding, -1)
     return index.join(files.select("file", "base"), "file").select(
         "doc_id",
         (F.col("base") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).alias("start"),

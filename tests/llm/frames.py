@@ -38,3 +38,11 @@ def plain(spark, texts):
 
 def given(spark, name, size="sf0.001"):
     return spark.read.parquet(f"/root/testdata/{size}/{name}.parquet")
+
+
+def thue_morse(n):
+    """Two words of 2**n letters that differ, each the other with its letters exchanged."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b

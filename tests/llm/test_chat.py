@@ -98,3 +98,22 @@ def test_awkward_rows(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, Role string")
     check(df)
     assert chat.records_of(df.limit(0)).count() == 0
+
+
+def test_turns_of_any_length_come_back(spark):
+    """Longer than a JSON reader takes by default, alone and among other layouts."""
+    n = 21_000_000
+    rows = spark.createDataFrame([(1, 0, "user"), (1, 1, "assistant"), (2, 0, "user"), (2, 1, "user"), (2, 2, "assistant")], "conv_id long, turn int, role string")
+    talks = rows.withColumn("text", F.concat(F.col("role"), F.repeat(F.lit("x<"), n // 2)))
+    out = {r["conv_id"]: r for r in chat.digest(chat.format_records(chat.records_of(talks))).collect()}
+    for conv, roles, layout in ((1, ["user", "assistant"], "prompt"), (2, ["user", "user", "assistant"], "messages")):
+        told = "".join(f"{r}\n{r}{'x<' * (n // 2)}\n" for r in roles)
+        assert out[conv]["layout"] == layout and out[conv]["n_turns"] == len(roles)
+        assert out[conv]["turns_sha256"] == hashlib.sha256(told.encode()).hexdigest()
+        assert out[conv]["loss_chars"] == n + len("assistant")
+
+
+def test_rows_without_conversation_are_one_each(spark):
+    talks = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b"), (3, 0, "user", "c")], "conv_id long, turn int, role string, text string")
+    out = chat.digest(chat.format_records(chat.records_of(talks))).collect()
+    assert sorted((str(r["conv_id"]), r["n_turns"]) for r in out) == [("3", 1), ("None", 1), ("None", 1)]

@@ -1,7 +1,11 @@
 import hashlib
 import random
+import time
+
+import pytest
 
 from ledgerloom.llm import pii
+from tests.llm.frames import given
 from tests.llm.pii_reference import base_spans
 
 CARD, AMEX = "4111 1111-1111 1111", "3782 822463 10005"
@@ -83,3 +87,27 @@ def test_redaction_keeps_columns_rows_and_nulls(spark):
     assert pii.redact(docs.limit(0)).count() == 0 == pii.digest(docs.limit(0)).count()
     overlap = spark.createDataFrame([(1, "1.2.3.4@b.c z")], "doc_id long, text string")
     assert pii.redact(overlap).first()["text"] == "[EMAIL] z"
+
+
+def test_long_texts_of_addresses_take_time_in_proportion(spark):
+    n = 150_000
+    text = " ".join(f"user{i}@mail{i % 7}.example.org" for i in range(n))
+    assert len(text) > 4_000_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    row = pii.digest(df).collect()[0]
+    gone = pii.redact(df).collect()[0]
+    assert time.perf_counter() - began < 60
+    assert row["n_email"] == n and gone["text"] == " ".join(["[EMAIL]"] * n)
+    last = text.rsplit(" ", 1)[1]
+    assert row["spans"].endswith(f"email:{len(text) - len(last)}:{len(text)}")
+
+
+@pytest.mark.parametrize("size", [1, 7])
+def test_places_do_not_depend_on_chunks_and_blocks(spark, monkeypatch, size):
+    docs = given(spark, "documents").limit(60)
+    rows = lambda df: sorted(map(str, df.collect()))
+    found, redacted = rows(pii.find(docs).drop("text")), rows(pii.redact(docs))
+    monkeypatch.setattr(pii, "_CHUNK", 40 * size)
+    monkeypatch.setattr(pii, "_BLOCK", size)
+    assert rows(pii.find(docs).drop("text")) == found and rows(pii.redact(docs)) == redacted

@@ -10,6 +10,8 @@ from ledgerloom.llm import token_files as t
 from ledgerloom.sources.workspace import new_folder
 from tests.llm.frames import awkward, given
 
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -92,3 +94,47 @@ def test_lookups_skip_what_cannot_hold_a_document(spark):
         footer.close()
     ranges.sort()
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_words_made_to_collide_have_their_own_ids(spark, tmp_path):
+    from tests.llm.frames import thue_morse
+
+    texts = [w for n in (10, 11, 12) for w in thue_morse(n)]
+    plain_ids = [f.ids for f in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    for some in (texts, [f"{w} and {w}" for w in texts]):
+        ids, sizes = t.Encoder(PATH).encode(some)
+        expected = [f.ids for f in Tokenizer.from_file(PATH).encode_batch(some, add_special_tokens=False)]
+        assert sizes.tolist() == [len(x) for x in expected] and ids.tolist() == [i for x in expected for i in x]
+    assert plain_ids[0] != plain_ids[1]
+
+
+def test_words_that_share_a_hash_are_told_apart(monkeypatch):
+    """All words of a length made to share a hash, within a batch and with words held."""
+    real = t.words
+
+    def clashing(texts, values):
+        found = real(texts, values)
+        return found._replace(hash=(found.end - found.start).astype(found.hash.dtype))
+
+    monkeypatch.setattr(t, "words", clashing)
+    encoder = t.Encoder(PATH)
+    for texts in (["one six", "three seven"], ["two"], ["one two six ten"], [""]):
+        ids, sizes = encoder.encode(texts)
+        expected = [f.ids for f in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+        assert sizes.tolist() == [len(x) for x in expected] and ids.tolist() == [i for x in expected for i in x]
+
+
+def test_an_id_that_many_rows_share_is_in_several_files(spark, tmp_path):
+    docs = spark.createDataFrame([(5, f"text {i % 50}") for i in range(4000)] + [(1, "a"), (9, "b")], "doc_id long, text string")
+    path = str(tmp_path / "hot")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    t.write_tokens(docs, PATH, path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = t.read_tokens(spark, path)
+    assert written.where("doc_id = 5").select("file").distinct().count() > 2
+    rows = t.token_index(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == [1] + [5] * 4000 + [9]
+    at = 0
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
