@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import documents, slices, stored
-from ledgerloom.llm.words import Words, code_points, space_separated, words
+from ledgerloom.llm.words import code_points, space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
@@ -75,15 +75,16 @@ class Encoder:
 
     Words between blanks are looked up by 64-bit hashes and compared before ids are used
     again: texts in which two words share a hash are merged as a whole. ``hashes`` is sorted;
-    its word i is ``word[i]``, whose ids are ``size[i]`` numbers of ``pool`` from
-    ``start[i]`` on.
+    its word i is spelled by ``length[i]`` code points of ``letters`` from ``first[i]`` on, its
+    ids are ``size[i]`` numbers of ``pool`` from ``start[i]`` on.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.by_word = _by_word(path)
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.word = np.zeros(0, dtype=object)
+        self.first, self.length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.letters = np.zeros(0, dtype=np.uint32)
         self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
         self.pool = np.zeros(0, dtype=np.uint32)
         vocabulary = self.tokenizer.get_vocab()
@@ -132,32 +133,38 @@ class Encoder:
             return self._whole(texts)
         found = words(texts, space_separated())
         kinds, one, each = np.unique(found.hash, return_index=True, return_inverse=True)
-        text = found.text[one]
-        places = zip(text.tolist(), (found.start[one] - found.offset[text]).tolist(), (found.end[one] - found.offset[text]).tolist())
-        shown = np.array([texts[i][a:b] for i, a, b in places], dtype=object)
-        known = np.isin(kinds, self.hashes, assume_unique=True)
-        at = np.searchsorted(self.hashes, kinds[known])
-        if not (self.word[at] == shown[known]).all() or not _same_words(texts, found, one[each]):
-            return self._whole(texts)
-        held = self.hashes, self.word, self.start, self.size, self.pool
-        if len(new := np.flatnonzero(~known)):
-            ids = self._learned(shown[new].tolist())
+        codes, _ = code_points(texts)
+        held = self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool
+        if len(new := one[~np.isin(kinds, self.hashes, assume_unique=True)]):
+            text = found.text[new]
+            places = zip(text.tolist(), (found.start[new] - found.offset[text]).tolist(), (found.end[new] - found.offset[text]).tolist())
+            ids = self._learned([texts[i][a:b] for i, a, b in places])
             sizes = np.array([len(x) for x in ids], dtype=np.int32)
-            hashes = np.concatenate((self.hashes, kinds[new]))
+            lengths = found.end[new] - found.start[new]
+            hashes = np.concatenate((self.hashes, found.hash[new]))
             order = np.argsort(hashes, kind="stable")
             self.hashes = hashes[order]
-            self.word = np.concatenate((self.word, shown[new]))[order]
+            self.first = np.concatenate((self.first, len(self.letters) + np.cumsum(lengths) - lengths))[order]
+            self.length = np.concatenate((self.length, lengths))[order]
+            self.letters = np.concatenate((self.letters, codes[_spread(found.start[new], lengths)]))
             self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(sizes) - sizes))[order]
             self.size = np.concatenate((self.size, sizes))[order]
             self.pool = np.concatenate((self.pool, *ids))
         at = np.searchsorted(self.hashes, kinds)[each]
+        lengths = found.end - found.start
+        same = (lengths == self.length[at]).all() and (
+            codes[_spread(found.start, lengths)] == self.letters[_spread(self.first[at], lengths)]
+        ).all()
+        if not same:
+            self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool = held
+            return self._whole(texts)
         sizes = self.size[at].astype(np.int64)
         ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
         flat = np.zeros(0, dtype=np.uint32)
         if not count_only:
             flat = self.pool[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], sizes)]
         if len(self.hashes) > HELD_WORDS:  # the words met first stay
-            self.hashes, self.word, self.start, self.size, self.pool = held
+            self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool = held
         return flat, np.diff(ends[found.first])
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,15 +173,10 @@ class Encoder:
         return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
 
 
-def _same_words(texts: list[str], found: Words, other: np.ndarray) -> bool:
-    """Whether every word is, letter by letter, the word whose place ``other`` has."""
-    length = found.end - found.start
-    if (length != length[other]).any():
-        return False
-    codes, _ = code_points(texts)
-    here = np.arange(length.sum()) + np.repeat(found.start - (np.cumsum(length) - length), length)
-    there = here + np.repeat(found.start[other] - found.start, length)
-    return bool((codes[here] == codes[there]).all())
+def _spread(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places ``first`` to ``first`` + ``lengths`` of each, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)
 
 
 @cache
