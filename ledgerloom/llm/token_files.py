@@ -111,7 +111,8 @@ class Encoder:
             (together,) = self._merged([" ".join(some)])
             stops = np.flatnonzero(self.ends[together]) + 1
             if len(stops) == len(some) and stops[-1] == len(together):
-                ids.update(zip(some, np.split(together, stops[:-1])))
+                cuts = stops.tolist()
+                ids.update(zip(some, [together[a:b] for a, b in zip([0, *cuts], cuts)]))
             else:
                 ids.update(zip(some, self._merged(some)))
         other = [*(w for w, found in zip(new, parts) if found is None), ".", ","]
