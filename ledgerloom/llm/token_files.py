@@ -23,7 +23,7 @@ from ledgerloom.llm.words import code_points, space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
-HELD_WORDS = 2_000_000  # words a Python process remembers, besides those of the texts at hand
+HELD_WORDS = 1_200_000  # words a Python process remembers, besides those of the texts at hand
 
 
 @cache
@@ -83,7 +83,7 @@ class Encoder:
         self.tokenizer = _tokenizer(path)
         self.by_word = _by_word(path)
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.first, self.length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.first, self.length = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
         self.letters = np.zeros(0, dtype=np.uint32)
         self.start, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
         self.pool = np.zeros(0, dtype=np.uint32)
@@ -145,8 +145,8 @@ class Encoder:
             hashes = np.concatenate((self.hashes, found.hash[new]))
             order = np.argsort(hashes, kind="stable")
             self.hashes = hashes[order]
-            self.first = np.concatenate((self.first, len(self.letters) + np.cumsum(lengths) - lengths))[order]
-            self.length = np.concatenate((self.length, lengths))[order]
+            self.first = np.concatenate((self.first, len(self.letters) + np.cumsum(lengths) - lengths), dtype=np.int32, casting="same_kind")[order]
+            self.length = np.concatenate((self.length, lengths), dtype=np.int32, casting="same_kind")[order]
             self.letters = np.concatenate((self.letters, codes[_spread(found.start[new], lengths)]))
             self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(sizes) - sizes))[order]
             self.size = np.concatenate((self.size, sizes))[order]
