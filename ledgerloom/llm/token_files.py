@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import documents, slices, stored
-from ledgerloom.llm.words import code_points, space_separated, words
+from ledgerloom.llm.words import U, code_points, space_separated, words
 
 END = 2  # id after each document
 STRIPE, ROWS = 64 << 20, 1000  # bytes of a stripe, rows of a row index entry
@@ -96,32 +96,41 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, dtype=np.uint32) for f in found]
 
-    def _learned(self, new: list[str]) -> list[np.ndarray]:
-        """The ids of new words. A word of letters with a comma or full stop is the letters
-        and the mark; words of letters alone are merged many at a time and told apart by
-        the tokens that end a word."""
+    def _learned(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new words one after another, and how many each has. A word of letters
+        with a comma or full stop is the letters and the mark; words of letters alone are
+        merged many at a time and told apart by the tokens that end a word."""
         if not self.ends.any():
-            return self._merged(new)
+            ids = self._merged(new)
+            return np.concatenate([np.zeros(0, np.uint32), *ids]), _lengths(ids)
         parts = [_LETTERS.fullmatch(w) for w in new]
         cores = [found and (found[1].lower() if found[1].isascii() else found[1]) for found in parts]
         plain = sorted(set(filter(None, cores)))
-        ids: dict[str, np.ndarray] = {}
+        other = [*(w for w, found in zip(new, parts) if found is None), ".", ","]
+        pool, sizes = [], []
         for at in range(0, len(plain), 512):
             some = plain[at : at + 512]
             (together,) = self._merged([" ".join(some)])
             stops = np.flatnonzero(self.ends[together]) + 1
             if len(stops) == len(some) and stops[-1] == len(together):
-                cuts = stops.tolist()
-                ids.update(zip(some, [together[a:b] for a, b in zip([0, *cuts], cuts)]))
+                pool.append(together)
+                sizes.append(np.diff(stops, prepend=0))
             else:
-                ids.update(zip(some, self._merged(some)))
-        other = [*(w for w, found in zip(new, parts) if found is None), ".", ","]
-        ids.update(zip(other, self._merged(other)))
-        marked = {mark: ids[mark] for mark in ".,"}
-        return [
-            ids[w] if found is None else np.concatenate((ids[core], marked[found[2]])) if found[2] else ids[core]
-            for w, found, core in zip(new, parts, cores)
-        ]
+                pool += (ids := self._merged(some))
+                sizes.append(_lengths(ids))
+        pool += (ids := self._merged(other))
+        size = np.concatenate([*sizes, _lengths(ids)])
+        flat, first = np.concatenate(pool), np.cumsum(size) - size
+        # Each word is one entry, or one and that of its mark.
+        place = {core: i for i, core in enumerate(plain)}
+        rest = iter(range(len(plain), len(size)))
+        entry = np.array([next(rest) if core is None else place[core] for core in cores], dtype=np.int64)
+        marks = {"": 0, ".": len(size) - 2, ",": len(size) - 1}
+        mark = np.array([0 if found is None else marks[found[2]] for found in parts], dtype=np.int64)
+        entries = np.column_stack((entry, mark)).ravel()
+        many = size[entries]
+        many[1::2][mark == 0] = 0
+        return flat[_spread(first[entries], many)], many[::2] + many[1::2]
 
     def sizes(self, texts: list[str]) -> np.ndarray:
         """How many ids each text has, without special tokens."""
@@ -133,28 +142,30 @@ class Encoder:
         if not self.by_word:  # a tokenizer that needs the whole text gets it whole
             return self._whole(texts)
         found = words(texts, space_separated())
-        kinds, one, each = np.unique(found.hash, return_index=True, return_inverse=True)
         codes, _ = code_points(texts)
+        kinds, one, each = np.unique(found.hash, return_index=True, return_inverse=True)
         held = self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool
-        if len(new := one[~np.isin(kinds, self.hashes, assume_unique=True)]):
+        place = np.searchsorted(self.hashes, kinds)
+        unknown = (place == len(self.hashes)) | (np.append(self.hashes, U(0))[place] != kinds)
+        if len(new := one[unknown]):
             text = found.text[new]
             places = zip(text.tolist(), (found.start[new] - found.offset[text]).tolist(), (found.end[new] - found.offset[text]).tolist())
-            ids = self._learned([texts[i][a:b] for i, a, b in places])
-            sizes = np.array([len(x) for x in ids], dtype=np.int32)
+            ids, sizes = self._learned([texts[i][a:b] for i, a, b in places])
             lengths = found.end[new] - found.start[new]
-            hashes = np.concatenate((self.hashes, found.hash[new]))
-            order = np.argsort(hashes, kind="stable")
-            self.hashes = hashes[order]
-            self.first = np.concatenate((self.first, len(self.letters) + np.cumsum(lengths) - lengths), dtype=np.int32, casting="same_kind")[order]
-            self.length = np.concatenate((self.length, lengths), dtype=np.int32, casting="same_kind")[order]
+            held_at = np.ones(len(self.hashes) + len(new), dtype=bool)
+            held_at[place[unknown] + np.arange(len(new))] = False
+            self.hashes = _merge(held_at, self.hashes, kinds[unknown])
+            self.first = _merge(held_at, self.first, len(self.letters) + np.cumsum(lengths) - lengths)
+            self.length = _merge(held_at, self.length, lengths)
             self.letters = np.concatenate((self.letters, codes[_spread(found.start[new], lengths)]))
-            self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(sizes) - sizes))[order]
-            self.size = np.concatenate((self.size, sizes))[order]
-            self.pool = np.concatenate((self.pool, *ids))
+            self.start = _merge(held_at, self.start, len(self.pool) + np.cumsum(sizes) - sizes)
+            self.size = _merge(held_at, self.size, sizes)
+            self.pool = np.concatenate((self.pool, ids))
         at = np.searchsorted(self.hashes, kinds)[each]
         lengths = found.end - found.start
+        lettered = (codes != 32) & (codes != 10)  # of all words, in turn
         same = (lengths == self.length[at]).all() and (
-            codes[_spread(found.start, lengths)] == self.letters[_spread(self.first[at], lengths)]
+            codes[lettered] == self.letters[_spread(self.first[at], lengths)]
         ).all()
         if not same:
             self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool = held
@@ -163,15 +174,26 @@ class Encoder:
         ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
         flat = np.zeros(0, dtype=np.uint32)
         if not count_only:
-            flat = self.pool[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], sizes)]
+            flat = self.pool[_spread(self.start[at], sizes)]
         if len(self.hashes) > HELD_WORDS:  # the words met first stay
             self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool = held
         return flat, np.diff(ends[found.first])
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self._merged(texts)
-        sizes = np.array([len(ids) for ids in found], dtype=np.int64)
-        return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
+        return np.concatenate([np.zeros(0, np.uint32), *found]), _lengths(found)
+
+
+def _lengths(found: list[np.ndarray]) -> np.ndarray:
+    return np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+
+
+def _merge(held_at: np.ndarray, held: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """The held values where ``held_at`` says so, the new ones elsewhere; in the held ones' type."""
+    out = np.empty(len(held_at), dtype=held.dtype)
+    out[held_at] = held
+    out[~held_at] = new
+    return out
 
 
 def _spread(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
