@@ -124,6 +124,26 @@ def _csv_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, path))))
 
 
+def _open_quotes(spark: SparkSession, sf_dir: str) -> str:
+    """The ledger in CSV files of some 5,000 rows, each begun by a row whose quote is never
+    closed, ingested: that row alone is lost."""
+
+    def build() -> str:
+        ledger = workspace.ledger(spark, sf_dir)
+        source, path = workspace.new_folder(spark, "open-csv"), workspace.new_folder(spark, "open-quotes")
+        text = {ours: theirs for theirs, ours in SOURCE_COLUMNS.items()}
+        header = ",".join(text[c] for c in ledger.columns) + "\n"
+        never_closed = 'never closed,"' + ",".join("x" for _ in ledger.columns[1:]) + "\n"
+        line = F.concat_ws(",", *(F.col(c).cast("string") for c in ledger.columns))
+        begun = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        files = ledger.repartition(max(1, ledger.count() // 5000))
+        files.select(F.when(begun, F.concat(F.lit(header + never_closed), line)).otherwise(line).alias("value")).write.text(source)
+        store.ingest(spark, path, source)
+        return path
+
+    return workspace.once(spark, sf_dir, "open-quotes", build)
+
+
 def _csv_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blanks at the ends of texts, and texts of nothing else."""
     ledger = workspace.ledger(spark, sf_dir).withColumns(
@@ -343,6 +363,9 @@ def ledger_queries() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "csv_line_breaks": _csv_line_breaks,
         "csv_stray_quotes": _csv_stray_quotes,
+        "open_quotes_rows": lambda s, d: _plain(store.read_ledger(s, _open_quotes(s, d))),
+        "open_quotes_rejects": lambda s, d: store.read_rejects(s, _open_quotes(s, d)).select("property_id", "reject_reason"),
+        "open_quotes_quality": lambda s, d: store.read_quality(s, _open_quotes(s, d)),
         "csv_padded": _csv_padded,
         "csv_padded_pivot": _csv_padded_pivot,
         "csv_two_orders": _csv_two_orders,
@@ -642,6 +665,13 @@ FROM ledger WHERE {_LAST_MONTH}"""
             WHEN 1 THEN concat(property_id, ' 5" pipe') WHEN 2 THEN concat(property_id, chr(10))
             WHEN 3 THEN concat('"', property_id, '"x" y') ELSE property_id END AS property_id)
             FROM (SELECT {_ROW} FROM ledger)""",
+        "open_quotes_rows": f"SELECT {_ROW} FROM ledger",
+        "open_quotes_rejects": """SELECT 'never closed' AS property_id, 'year,month,amount' AS reject_reason
+            FROM range((SELECT greatest(1, count(*) // 5000) FROM ledger))""",
+        "open_quotes_quality": """SELECT n + files AS input_rows, n AS accepted_rows, files AS rejected_rows,
+            files AS bad_year, files AS bad_month, files AS bad_amount, CAST(0 AS BIGINT) AS bad_columns,
+            CAST(0 AS BIGINT) AS over_precise_rows
+            FROM (SELECT count(*) AS n, greatest(1, count(*) // 5000) AS files FROM ledger)""",
         "csv_padded": f"""SELECT * REPLACE (concat('  ', property_id) AS property_id,
             concat(chr(9), shop, ' ') AS shop,
             CASE WHEN house_type = '' THEN '  ' ELSE house_type END AS house_type)

@@ -7,20 +7,29 @@ follows ends the quoting without ending the field. Such functions of two states
 they are put together for buckets of lines, then the few buckets of a file one after
 another, and so every line's state is known without reading the file in order.
 
+A quote that is opened and not closed would make one record of all lines up to the next
+quote, or to the end of the file. It is closed by the next line that isn't plain text to
+it, whatever the states before, so how far that is, is known for each bucket as well. If
+it is over ``LONGEST`` lines, and the whole buckets between have the header's number of
+commas a line, the quote is a stray one: its line is a record by itself, and those after
+it are read as if it weren't there. A long text with other numbers of commas stays whole.
+
 Only the buckets in which a record runs over the end of a line are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BUCKET = 4096  # lines
+BUCKET = 1024  # lines
+LONGEST = 2048  # lines, two buckets at least: more than that lie over a whole bucket
 _QUOTED = r'"(?:[^"]++|"")*+"[^,]*+'  # a quoted field and what else is in it
 _OPEN = r'"(?:[^"]++|"")*+$'  # a quoted field that the line doesn't close
 _FIELDS = rf'(?:(?:{_QUOTED}|[^",][^,]*+|),)*+'
 _OUT_TO_IN = rf"(?s)^{_FIELDS}{_OPEN}"
-_IN_TO_IN = rf'(?s)^(?:[^"]++|"")*+(?:$|"[^,]*+,{_FIELDS}{_OPEN})'
+_THROUGH = r'(?s)^(?:[^"]++|"")*+$'  # no quote that ends the quoting
+_OPENED_AGAIN = rf'(?s)^(?:[^"]++|"")*+"[^,]*+,{_FIELDS}{_OPEN}'
 # A whole quoted field of a record.
 QUOTED_FIELD = rf"(?s)(?:^|(?<=,)){_QUOTED}"
 
@@ -43,34 +52,46 @@ def lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _after(value: Column) -> tuple[Column, Column]:
-    """Whether a line ends inside quotes if it begins outside, and if it begins inside."""
+def _after(value: Column) -> tuple[Column, Column, Column]:
+    """Whether a line ends inside quotes if it begins outside, whether it does if it begins
+    inside, and whether it then is all part of the quoted field it begins in."""
     text = F.regexp_replace(value, r"\r\z", "")
     quotes = value.contains('"')
-    return quotes & text.rlike(_OUT_TO_IN), ~quotes | text.rlike(_IN_TO_IN)
+    through = ~quotes | text.rlike(_THROUGH)
+    return quotes & text.rlike(_OUT_TO_IN), through | text.rlike(_OPENED_AGAIN), through
+
+
+def _commas(value: Column) -> Column:
+    return F.octet_length(value) - F.octet_length(F.replace(value, F.lit(","), F.lit("")))
 
 
 def summary(found: DataFrame) -> DataFrame:
     """One row for each bucket: whether it begins inside quotes (``inside``), where the
     record that then is open began (``open``), whether any of its lines ends inside
-    (``broken``), and its first line that isn't blank (``head``).
+    (``broken``), the line of a stray quote, if any (``stray``), and its first line that
+    isn't blank (``head``).
 
     One pass over the text. Of a line that holds quotes its place and function are
     shuffled, of all others nothing but a bucket's sums.
     """
-    from_out, from_in = _after(F.col("value"))
-    changes = F.when(from_out | ~from_in, F.struct("pos", from_out.alias("o"), from_in.alias("i")))
+    from_out, from_in, through = _after(F.col("value"))
+    changes = F.when(~through, F.struct("pos", from_out.alias("o"), from_in.alias("i")))
     filled = F.when((F.col("block") == 0) & F.col("value").rlike(r"\S"), F.col("pos"))
+    text = F.octet_length("value") > 1  # no empty line, nor a line's end alone
     buckets = found.groupBy("file", "block", "bucket").agg(
         F.sort_array(F.collect_list(changes)).alias("changes"),
+        F.min("pos").alias("begin"),
         F.max("pos").alias("last"),
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(text).alias("texts"),
+        F.sum(F.when(text, _commas(F.col("value"))).otherwise(0)).alias("commas"),
         F.min(filled).alias("head_pos"),
         F.min_by("value", filled).alias("head_value"),
         F.first("path").alias("path"),
     )
 
     def walked(begin: bool) -> Column:
-        """State at the bucket's end and the last line in it at which a record begins."""
+        """State before the bucket's last change and the last line at which a record begins."""
         start = F.struct(F.lit(begin).alias("inside"), F.lit(None).cast("bigint").alias("at"))
 
         def step(s: Column, x: Column) -> Column:
@@ -79,20 +100,35 @@ def summary(found: DataFrame) -> DataFrame:
                 F.when(s["inside"], s["at"]).otherwise(x["pos"]).alias("at"),
             )
 
-        changed = F.coalesce(F.try_element_at("changes", F.lit(-1))["pos"], F.lit(-1))
-        more = lambda s: ~s["inside"] & (changed < F.col("last"))
-        return F.aggregate(
-            "changes",
-            start,
-            step,
-            lambda s: F.struct(s["inside"].alias("inside"), F.when(more(s), F.col("last")).otherwise(s["at"]).alias("at")),
-        )
+        return F.aggregate(F.slice("changes", 1, F.greatest(F.size("changes") - 1, F.lit(0))), start, step)
 
     head = F.when(F.col("head_pos").isNotNull(), F.struct(F.col("head_pos").alias("pos"), F.col("head_value").alias("value")))
-    both = buckets.withColumn("head", head).withColumn("out", walked(False)).withColumn("in", walked(True))
+    # From here on a bucket is a small row.
+    walks = buckets.select(
+        *("file", "path", "block", "bucket", "begin", "last", "lines", "texts", "commas"),
+        head.alias("head"),
+        walked(False).alias("out"),
+        walked(True).alias("in"),
+        F.exists("changes", lambda x: x["o"]).alias("opens"),
+        F.size("changes").alias("size"),
+        F.try_element_at("changes", F.lit(1))["pos"].alias("first_change"),
+        F.try_element_at("changes", F.lit(-1)).alias("change"),
+    )
     order = Window.partitionBy("file").orderBy("block", "bucket")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    marked = _with_stray(walks, so_far)
+
+    def ended(before: str) -> Column:
+        """State at the bucket's end and the last line in it at which a record begins."""
+        was, at = F.col(f"{before}.inside"), F.col(f"{before}.at")
+        none, stray = F.col("change").isNull(), F.col("stray").isNotNull()
+        now = F.when(none, was).when(was, F.col("change.i") & ~stray).otherwise(F.col("change.o") & ~stray)
+        begun = F.when(none | was, at).otherwise(F.col("change.pos"))
+        more = ~now & (F.coalesce("change.pos", F.lit(-1)) < F.col("last"))
+        return F.struct(now.alias("inside"), F.when(more, F.col("last")).otherwise(begun).alias("at"))
+
+    both = marked.withColumns({"out": ended("out"), "in": ended("in")})
     same = F.col("out.inside") == F.col("in.inside")
     flips = F.when(F.col("out.inside") & ~F.col("in.inside"), 1).otherwise(0)
     stated = (
@@ -105,12 +141,42 @@ def summary(found: DataFrame) -> DataFrame:
         .withColumn("inside", F.coalesce(F.lag("ends").over(order), F.lit(False)))
     )
     begun = F.when(F.col("inside"), F.col("in.at")).otherwise(F.col("out.at"))
+    # A bucket whose one opening quote is a stray one has no broken record.
+    opens = F.col("opens") & ~((F.col("size") == 1) & F.col("stray").isNotNull())
     return (
         stated.withColumn("begun", F.when(begun.isNotNull(), F.struct("block", begun.alias("pos"))))
         .withColumn("open", F.last("begun", True).over(earlier))
-        .withColumn("broken", F.col("inside") | F.exists("changes", lambda x: x["o"]))
-        .select("file", "path", "block", "bucket", "inside", "open", "broken", "head")
+        .withColumn("broken", F.col("inside") | opens)
+        .select("file", "path", "block", "bucket", "inside", "open", "broken", "stray", "head")
+    )
+
+
+def _with_stray(walks: DataFrame, so_far: WindowSpec) -> DataFrame:
+    """Adds ``stray``: the place of a bucket's last change, if a quote that it opens isn't
+    closed for over ``LONGEST`` lines and the whole buckets between look like records."""
+    back = Window.partitionBy("file").orderBy(F.desc("block"), F.desc("bucket"))
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    sums = ["lines", "texts", "commas"]
+    upto = walks.withColumns({f"{c}_upto": F.sum(c).over(so_far) for c in sums}).withColumn(
+        "header", F.first("head", True).over(so_far)
     )
+    before = {c: F.col(f"{c}_upto") - F.col(c) for c in sums}
+    first_line = before["lines"] + F.col("first_change") - F.col("begin")
+    stop = F.struct(first_line.alias("lines"), *(before[c].alias(c) for c in sums[1:]))
+    end = F.struct(*(F.col(f"{c}_upto").alias(c) for c in sums))
+    found = upto.withColumns(
+        {
+            "next": F.last(F.when(F.col("change").isNotNull(), stop), True).over(later),
+            "end": F.first(end).over(back.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    ).withColumn("next", F.coalesce("next", "end"))
+    line = before["lines"] + F.col("change.pos") - F.col("begin")
+    texts, commas = (F.col(f"next.{c}") - F.col(f"{c}_upto") for c in sums[1:])
+    columns = _commas(F.regexp_replace("header.value", QUOTED_FIELD, ""))
+    alike = (texts > 0) & (F.abs(commas - texts * columns) * 2 <= texts)
+    opened = F.col("change.o") | F.col("change.i")
+    stray = opened & (F.col("next.lines") - line > LONGEST) & alike
+    return found.withColumn("stray", F.when(stray, F.col("change.pos"))).drop("next", "end", "header", *(f"{c}_upto" for c in sums))
 
 
 def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> DataFrame:
@@ -123,9 +189,10 @@ def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> Da
     shown = ["file", "block", "pos", F.regexp_replace("value", r"\r\z", "").alias("record")]
     if not any_broken:
         return found.select(*shown)
-    broken = buckets.where("broken").select(*place, "inside", "open")
+    broken = buckets.where("broken").select(*place, "inside", "open", "stray")
     whole = found.join(broken.select(*place), place, "left_anti").select(*shown)
-    from_out, from_in = _after(F.col("value"))
+    from_out, from_in, _ = _after(F.col("value"))
+    kept = ~F.coalesce(F.col("pos") == F.col("stray"), F.lit(False))
     order = Window.partitionBy(*place).orderBy("pos")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     same = F.col("o") == F.col("i")
@@ -133,7 +200,7 @@ def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> Da
     begin = F.col("inside").cast("int")
     stated = (
         found.join(broken, place)
-        .withColumns({"o": from_out, "i": from_in})
+        .withColumns({"o": from_out & kept, "i": from_in & kept})
         .withColumn("flips", F.sum(flips).over(so_far))
         .withColumn("set", F.last(F.when(same, F.struct(F.col("o").cast("int").alias("to"), "flips")), True).over(so_far))
         .withColumn(
@@ -154,12 +221,13 @@ def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> Da
 def heads(buckets: DataFrame) -> DataFrame:
     """(file, path, pos, text, open, broken): each file's first line that isn't blank,
     whether its record goes on, and whether any record of the file goes over a line."""
+    stray = F.coalesce(F.col("stray") == F.col("head.pos"), F.lit(False))
+    head = F.when(F.col("head").isNotNull(), F.struct("head.pos", "head.value", stray.alias("stray")))
     first = (
         buckets.groupBy("file")
-        .agg(F.min("head").alias("head"), F.first("path").alias("path"), F.bool_or("broken").alias("broken"))
+        .agg(F.min(head).alias("head"), F.first("path").alias("path"), F.bool_or("broken").alias("broken"))
         .where("head IS NOT NULL")
     )
     text = F.regexp_replace("head.value", r"\r\z", "")
-    return first.select(
-        "file", "path", F.col("head.pos").alias("pos"), text.alias("text"), _after(text)[0].alias("open"), "broken"
-    )
+    is_open = _after(text)[0] & ~F.col("head.stray")
+    return first.select("file", "path", F.col("head.pos").alias("pos"), text.alias("text"), is_open.alias("open"), "broken")

@@ -420,3 +420,77 @@ def test_headers_of_files_with_line_breaks(spark, tmp_path):
     (tmp_path / "c.csv").write_text('t,"id\nx"\n1,"p\nq"\n')
     raw = csv_files.read_csv(spark, str(tmp_path))
     assert ("p\nq", "1") in [tuple(r[:2]) for r in raw.select("`id\nx`", "t").collect()]
+
+
+# quotes that are never closed
+
+
+def ids(raw):
+    return sorted(r[0] for r in raw.select(raw.columns[0]).collect())
+
+
+def plain_rows(n, start=0):
+    return [f"P{i},H,s,e,O,S,rent,2024,2,{i}" for i in range(start, start + n)]
+
+
+def test_a_quote_that_is_never_closed_costs_its_own_row(ingested):
+    rows = plain_rows(9000)
+    rows[1500] = 'P1500,"H,s,e,O,S,rent,2024,2,1500'
+    ledger, bad, counts = ingested(csv_text([]) + "\n".join(rows) + "\n")
+    assert ledger.count() == 8999 and ledger.filter("property_id = 'P1500'").isEmpty()
+    assert [r.property_id for r in bad.collect()] == ["P1500"]
+    assert counts["input_rows"] == 9000
+
+
+def test_quotes_that_are_closed_late_by_others(ingested):
+    """Quoted fields, empty ones too, and a record over two lines come after the quote;
+    a second one opens where a quoted field ends."""
+    rows = plain_rows(9000)
+    rows[10] = '"P10,H,s,e,O,S,rent,2024,2,10'
+    rows[400] = 'P400,"",s,e,O,S,rent,2024,2,400'
+    rows[3000] = '"P3000","a\nb",s,e,O,S,rent,2024,2,3000'
+    rows[3001] = '"P\n3001","H,s,e,O,S,rent,2024,2,3001'
+    ledger, bad, _ = ingested(csv_text([]) + "\n".join(rows) + "\n")
+    kept = {r.property_id: r.house_type for r in ledger.collect()}
+    assert len(kept) == 8998 and (kept["P400"], kept["P3000"], kept["P3002"]) == ("", "a\nb", "H")
+    assert bad.count() == 2
+
+
+def test_a_long_text_in_quotes_stays_whole(ingested):
+    prose = "\n".join(f"line {i}, of a lease" for i in range(6000))
+    ledger, bad, _ = ingested(csv_text([{"property_id": prose}, {"property_id": "P2"}]))
+    assert sorted(r.property_id for r in ledger.collect()) == ["P2", prose] and bad.isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_stray_opening_quotes_in_small_blocks(spark, tmp_path, seed, monkeypatch):
+    """Against a reader that goes line by line."""
+    monkeypatch.setattr(csv_records, "BUCKET", 4)
+    monkeypatch.setattr(csv_records, "LONGEST", 8)
+    r = random.Random(seed)
+    rows, expected, since = [], [], 0
+    for i in range(400):
+        kind = r.random()
+        if since > 30 and kind < 0.3:  # the next line with quotes is far enough away
+            rows += [f'{i},"open,z'] + [f"{i}_{k},y,z" for k in range(20)]
+            expected += [str(i)] + [f"{i}_{k}" for k in range(20)]
+            since = 0
+        elif kind < 0.4:
+            rows.append(f'{i},"a, ""b""\nc",z')
+            expected.append(str(i))
+        else:
+            rows.append(f'{i},y{"" if kind < 0.9 else "5"},z')
+            expected.append(str(i))
+        since += 1
+    path = tmp_path / "in.csv"
+    path.write_text("id,t,u\n" + "\n".join(rows) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = csv_files.read_csv(spark, str(path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(x["id"] for x in found) == sorted(expected)
+    assert any('"open' in row for row in rows)
+    assert {x["t"] for x in found if not x["t"].lstrip('"').startswith("open")} <= {"y", "y5", 'a, "b"\nc'}
