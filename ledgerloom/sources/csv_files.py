@@ -87,7 +87,7 @@ def _read_split(spark: SparkSession, path: str) -> DataFrame:
     csv_records.summary(found).write.parquet(folder)
     buckets = spark.read.parquet(folder)
     heads = csv_records.heads(buckets)
-    told = heads.groupBy("text", "open").agg(F.bool_or("broken").alias("broken")).collect()
+    told = heads.groupBy("text", "open").agg(F.sum("broken").alias("broken")).collect()
     headers = heads.where("NOT open").select("file", "path", "pos", "text")
     layouts = sorted(r.text for r in told if not r.open)
     if any(r.open for r in told):
@@ -109,27 +109,30 @@ def _read_split(spark: SparkSession, path: str) -> DataFrame:
     of_file = headers.select(
         F.col("file").alias("of"), F.col("pos").alias("header_pos"), layout.alias("layout"), columns.alias("columns")
     )
+    # The driver lists all files anyway; this is a short row for each. A join by file would
+    # shuffle all text, and a large file into one place.
     rows = (
-        csv_records.records(found, buckets, any(r.broken for r in told))
+        csv_records.records(found, buckets, sum(r.broken for r in told))
         .where(F.col("record").rlike(r"\S"))
-        .join(of_file, F.col("file") == F.col("of"))
+        .join(F.broadcast(of_file), F.col("file") == F.col("of"))
         .where("NOT (block = 0 AND pos = header_pos)")
     )
     schema = ", ".join([*(f"c{i} string" for i in range(width)), f"{_CORRUPT} string"])
     options = {"escape": '"', "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = rows.select("layout", "columns", F.from_csv("record", schema, options).alias("row"))
+    # As in _made_once: Spark puts a plain from_csv in the place of every column taken from it.
+    parsed = rows.select("layout", "columns", F.inline(F.array(F.from_csv("record", schema, options))))
 
     def value(name: str) -> Column:
         places = {i: own.index(name) for i, own in enumerate(names.values()) if name in own}
         if len(set(places.values())) == 1 and len(places) == len(layouts):
-            return F.col(f"row.c{next(iter(places.values()))}")
+            return F.col(f"c{next(iter(places.values()))}")
         chosen = F.lit(None).cast("string")
         for i, at in places.items():
-            chosen = F.when(F.col("layout") == i, F.col(f"row.c{at}")).otherwise(chosen)
+            chosen = F.when(F.col("layout") == i, F.col(f"c{at}")).otherwise(chosen)
         return chosen
 
     return parsed.select(
-        *(value(name).alias(name) for name in every), _too_long(F.col(f"row.{_CORRUPT}"), F.col("columns")).alias(_TOO_LONG)
+        *(value(name).alias(name) for name in every), _too_long(F.col(_CORRUPT), F.col("columns")).alias(_TOO_LONG)
     )
 
 
@@ -150,6 +153,14 @@ def read_csv(spark: SparkSession, *paths: str, multi_line: bool | None = None) -
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _made_once(df: DataFrame) -> DataFrame:
+    """The same rows, each column made once a row, however often it is used after.
+
+    Spark puts the making of a column in the place of each use, and filters before it. It
+    doesn't do so with what comes out of a generator, here of an array with one element."""
+    return df.select(F.inline(F.array(F.struct(*(quoted(c) for c in df.columns)))))
+
+
 def _text(column: Column) -> Column:
     """Blank for a missing value, else the text as it is."""
     missing = column.isNull() | column.isin(NULL_TOKENS)
@@ -218,7 +229,7 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
     known = set(SOURCE_COLUMNS.values())
     exact = list(raw.columns)
     again = sorted({c for c in exact if exact.count(c) > 1})
-    raw = raw.toDF(*(f"c{i}" for i in range(len(exact))))
+    raw = _made_once(raw.toDF(*(f"c{i}" for i in range(len(exact)))))
     places = [i for i, c in enumerate(exact) if c != _TOO_LONG]
     ours = _safe_names([exact[i] for i in places])
     names = {f"c{i}": name for i, name in zip(places, ours)}
@@ -255,7 +266,7 @@ def parse(raw: DataFrame, amount_type: T.DecimalType = AMOUNT_TYPE) -> DataFrame
         F.when(F.col(_TOO_LONG), F.lit("columns")),
         *(F.when(F.col(c).isNull(), F.lit(c)) for c in ("year", "month", "amount")),
     )
-    checked = typed.withColumn("reject_reason", reason)
+    checked = _made_once(typed.withColumn("reject_reason", reason))
     bad = F.col("reject_reason") != ""
     return checked.select(
         *TEXT_COLUMNS,

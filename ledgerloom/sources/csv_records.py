@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 BUCKET = 1024  # lines
 LONGEST = 2048  # lines, two buckets at least: more than that lie over a whole bucket
+MOST_SENT = 500_000  # buckets with broken records that are sent to every executor, some 100 bytes each
 _QUOTED = r'"(?:[^"]++|"")*+"[^,]*+'  # a quoted field and what else is in it
 _OPEN = r'"(?:[^"]++|"")*+$'  # a quoted field that the line doesn't close
 _FIELDS = rf'(?:(?:{_QUOTED}|[^",][^,]*+|),)*+'
@@ -179,18 +180,22 @@ def _with_stray(walks: DataFrame, so_far: WindowSpec) -> DataFrame:
     return found.withColumn("stray", F.when(stray, F.col("change.pos"))).drop("next", "end", "header", *(f"{c}_upto" for c in sums))
 
 
-def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> DataFrame:
+def records(found: DataFrame, buckets: DataFrame, number_broken: int | None = None) -> DataFrame:
     """(file, block, pos, record): every record with the place of its first line.
 
-    ``buckets`` is the stored summary of the same lines. The text is read once for lines
-    that are a record each, and, if there are any, once for those of broken buckets.
+    ``buckets`` is the stored summary of the same lines, ``number_broken`` how many of them
+    are broken, if known. The text is read once for lines that are a record each, and, if
+    there are any, once for those of broken buckets. Up to ``MOST_SENT`` of these the text is
+    told apart where it is read; for more, Spark may shuffle it.
     """
     place = ["file", "block", "bucket"]
     shown = ["file", "block", "pos", F.regexp_replace("value", r"\r\z", "").alias("record")]
-    if not any_broken:
+    if number_broken == 0:
         return found.select(*shown)
+    few = number_broken is not None and number_broken <= MOST_SENT
+    sent = F.broadcast if few else lambda df: df
     broken = buckets.where("broken").select(*place, "inside", "open", "stray")
-    whole = found.join(broken.select(*place), place, "left_anti").select(*shown)
+    whole = found.join(sent(broken.select(*place)), place, "left_anti").select(*shown)
     from_out, from_in, _ = _after(F.col("value"))
     kept = ~F.coalesce(F.col("pos") == F.col("stray"), F.lit(False))
     order = Window.partitionBy(*place).orderBy("pos")
@@ -199,7 +204,7 @@ def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> Da
     flips = F.when(F.col("o") & ~F.col("i"), 1).otherwise(0)
     begin = F.col("inside").cast("int")
     stated = (
-        found.join(broken, place)
+        found.join(sent(broken), place)
         .withColumns({"o": from_out & kept, "i": from_in & kept})
         .withColumn("flips", F.sum(flips).over(so_far))
         .withColumn("set", F.last(F.when(same, F.struct(F.col("o").cast("int").alias("to"), "flips")), True).over(so_far))
@@ -220,12 +225,12 @@ def records(found: DataFrame, buckets: DataFrame, any_broken: bool = True) -> Da
 
 def heads(buckets: DataFrame) -> DataFrame:
     """(file, path, pos, text, open, broken): each file's first line that isn't blank,
-    whether its record goes on, and whether any record of the file goes over a line."""
+    whether its record goes on, and how many buckets of the file are broken."""
     stray = F.coalesce(F.col("stray") == F.col("head.pos"), F.lit(False))
     head = F.when(F.col("head").isNotNull(), F.struct("head.pos", "head.value", stray.alias("stray")))
     first = (
         buckets.groupBy("file")
-        .agg(F.min(head).alias("head"), F.first("path").alias("path"), F.bool_or("broken").alias("broken"))
+        .agg(F.min(head).alias("head"), F.first("path").alias("path"), F.count_if("broken").alias("broken"))
         .where("head IS NOT NULL")
     )
     text = F.regexp_replace("head.value", r"\r\z", "")

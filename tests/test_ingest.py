@@ -494,3 +494,34 @@ def test_stray_opening_quotes_in_small_blocks(spark, tmp_path, seed, monkeypatch
     assert sorted(x["id"] for x in found) == sorted(expected)
     assert any('"open' in row for row in rows)
     assert {x["t"] for x in found if not x["t"].lstrip('"').startswith("open")} <= {"y", "y5", 'a, "b"\nc'}
+
+
+def test_a_record_is_parsed_once_whatever_is_asked_of_it(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(csv_text([{}, {"amount": "x"}]))
+    (tmp_path / "b.csv").write_text(csv_text([{"amount": "1,000.005"}], columns=list(reversed(GOOD))))
+    raw = csv_files.read_csv(spark, str(tmp_path))
+    good = csv_files.accepted(csv_files.parse(raw))
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert sorted(r.amount for r in good.collect()) == [Decimal("10.00"), Decimal("1000.01")]
+
+    shown = raw.withColumn(HEADER["amount"], F.format_number(F.lit(1.5) + F.rand(1), 2))
+    plan = csv_files.accepted(csv_files.parse(shown))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_number(") == 1
+
+
+def test_text_is_not_shuffled_by_file(spark, tmp_path):
+    for i in range(3):
+        rows = [{"property_id": f"P{i}\nfloor {j}" if i == 2 else f"P{i}"} for j in range(5)]
+        (tmp_path / f"{i}.csv").write_text(csv_text(rows))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in before:
+        spark.conf.set(k, "-1")
+    try:
+        good = csv_files.accepted(csv_files.parse(csv_files.read_csv(spark, str(tmp_path))))
+        assert good.count() == 15
+        plan = good._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
