@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.filters import stored_periods
 from ledgerloom.schema import (
     AGGREGATES,
     COLUMN_FIELDS,
@@ -35,6 +36,10 @@ _FROM_PARTS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 # Up to this many columns a pivot by property is one conditional aggregate.
 DIRECT_COLUMNS = 32
+# Rows of a task where cells by property are made of a stored ledger, and the number of
+# tasks the rows of one cell go to at most.
+ROWS_A_TASK = 500_000
+SPREAD = 16
 
 
 def check_fields(rows: Sequence[str], cols: Sequence[str], value: str, agg: str) -> None:
@@ -104,22 +109,61 @@ def _cells_direct(ledger, rows, cols, value, parts, keys) -> DataFrame:
 
 def _cells_pivoted(ledger, rows, cols, value, parts, keys) -> DataFrame:
     """Spark's pivot by one text per column tuple; lengths keep the texts apart."""
-    texts = [F.col(c).cast("string") for c in cols]
-    key = F.concat_ws(",", *map(F.length, texts[:-1]), *texts)
+    shown = ledger.select(*rows, value, _key(cols).alias("_key"))
+    wide = shown.groupBy(*rows).pivot("_key", _key_texts(keys)).agg(*(_FROM_ROWS[p](value).alias(p) for p in parts))
+    return wide.toDF(*rows, *(f"c{i}_{p}" for i in range(len(keys)) for p in parts))
 
-    def key_text(values: tuple) -> str:
-        shown = [str(v) for v in values]
-        return ",".join([str(len(t)) for t in shown[:-1]] + shown)
 
+def _cells_widened(cells, rows, cols, parts, keys) -> DataFrame:
+    """The same from the cells of ``_cells_long``, whose rows of a property are together."""
+    shown = cells.select(*rows, _key(cols).alias("_key"), *(f"_{p}" for p in parts))
+    types = {p: cells.schema[f"_{p}"].dataType for p in parts}
     wide = (
-        ledger.select(*rows, value, key.alias("_key"))
-        .groupBy(*rows)
-        .pivot("_key", [key_text(k) for k in keys])
-        .agg(*(_FROM_ROWS[p](value).alias(p) for p in parts))
+        shown.groupBy(*rows)
+        .pivot("_key", _key_texts(keys))
+        .agg(*(_FROM_PARTS[p](f"_{p}").cast(types[p]).alias(p) for p in parts))
     )
     return wide.toDF(*rows, *(f"c{i}_{p}" for i in range(len(keys)) for p in parts))
 
 
+def _key(cols: list[str]) -> Column:
+    texts = [F.col(c).cast("string") for c in cols]
+    return F.concat_ws(",", *map(F.length, texts[:-1]), *texts)
+
+
+def _key_texts(keys: list[tuple]) -> list[str]:
+    shown = [[str(v) for v in key] for key in keys]
+    return [",".join([str(len(t)) for t in texts[:-1]] + texts) for texts in shown]
+
+
+def _tasks(ledger: DataFrame, rows: Sequence[str]) -> int:
+    """How many tasks make the cells; 1 if that is left to Spark: for few rows, for a ledger
+    whose number of rows isn't stored, and where no property makes the cells many."""
+    periods = stored_periods(ledger)
+    if "property_id" not in rows or periods is None:
+        return 1
+    return -(-(periods.agg(F.sum("rows")).first()[0] or 0) // ROWS_A_TASK)
+
+
+def _cells_long(ledger, rows, cols, value, parts, tasks) -> DataFrame:
+    """Row fields, column fields, and the parts of each cell as ``_part``.
+
+    By property nearly every row is a cell of its own, so that combining where the rows are
+    read keeps a table of them in memory and shuffles as many. With ``tasks`` above 1 rows
+    are dealt to so many tasks instead, those of a hot cell to up to ``SPREAD``; what is left
+    then goes by the row fields, at most ``SPREAD`` rows a cell. What a task holds grows
+    neither with the ledger nor with the size of the files' parts that Spark reads.
+    """
+    plain = ledger.groupBy(*rows, *cols).agg(*(_FROM_ROWS[p](value).alias(f"_{p}") for p in parts))
+    if tasks <= 1:
+        return plain
+    spread = F.monotonically_increasing_id() % SPREAD
+    dealt = ledger.select(*rows, *cols, value, spread.alias("_spread")).repartition(tasks, *rows, *cols, "_spread")
+    some = dealt.groupBy(*rows, *cols, "_spread").agg(*(_FROM_ROWS[p](value).alias(f"_{p}") for p in parts))
+    whole = some.repartition(tasks, *rows).groupBy(*rows, *cols)
+    return whole.agg(*(_FROM_PARTS[p](f"_{p}").cast(plain.schema[f"_{p}"].dataType).alias(f"_{p}") for p in parts))
+
+
 def _across(part: str, keys: int, scale: int) -> str:
     """Combine one part over all columns of a row."""
     cells = ", ".join(f"c{i}_{part}" for i in range(keys))
@@ -187,8 +231,12 @@ def pivot(
 
     parts = _PARTS[agg]
     direct = _one_shuffle(rows, cols, keys) if one_shuffle is None else one_shuffle
-    cells = _cells_direct if direct or not cols else _cells_pivoted
-    wide = cells(ledger, rows, cols, value, parts, keys)
+    tasks = _tasks(ledger, rows) if cols and one_shuffle is None else 1
+    if tasks > 1:
+        wide = _cells_widened(_cells_long(ledger, rows, cols, value, parts, tasks), rows, cols, parts, keys)
+    else:
+        cells = _cells_direct if direct or not cols else _cells_pivoted
+        wide = cells(ledger, rows, cols, value, parts, keys)
 
     some_part = F.expr(f"coalesce({', '.join(f'c{i}_{parts[0]}' for i in range(len(keys)))})")
     if not rows:
@@ -241,7 +289,7 @@ def pivot_long(
     rows, cols = list(rows), list(cols)
     check_fields(rows, cols, value, agg)
     parts = _PARTS[agg]
-    cells = ledger.groupBy(*rows, *cols).agg(*(_FROM_ROWS[p](value).alias(f"_{p}") for p in parts))
+    cells = _cells_long(ledger, rows, cols, value, parts, _tasks(ledger, rows))
     if margins:
         some = [[*rows, *cols], *([rows] if cols else []), *([cols] if rows else []), *([[]] if rows and cols else [])]
         combined = cells.groupingSets([[F.col(c) for c in s] for s in some], *rows, *cols)

@@ -241,3 +241,21 @@ def test_the_long_pivot_has_the_wide_one_s_cells(toy, agg):
             assert row[c] == cells.get((org, c), 0)
     assert all(not r["is_row_total"] for r in pivot_long(toy, ["org"], ["year"], margins=False).collect())
     assert pivot_long(toy.limit(0), ["org"], ["year"]).count() == 0
+
+
+@pytest.mark.parametrize("agg", ["sum", "mean", "count", "max", "min"])
+def test_cells_by_property_are_made_by_tasks_of_so_many_rows(stored, agg, monkeypatch):
+    asked = (["property_id", "house_type"], ["category"])
+    plain, long = pivot(stored, *asked, agg=agg), pivot_long(stored, *asked, agg=agg)
+    # few keys too, so that the rows of a cell are dealt to several tasks
+    few = pivot(stored, ["property_id"], ["org"], agg=agg)
+    monkeypatch.setattr("ledgerloom.operators.pivot.ROWS_A_TASK", 700)
+    dealt = pivot(stored, *asked, agg=agg)
+    assert dealt.schema == plain.schema and dealt.collect() == plain.collect()
+    assert pivot(stored, ["property_id"], ["org"], agg=agg).collect() == few.collect()
+    dealt = pivot_long(stored, *asked, agg=agg)
+    assert dealt.schema == long.schema and sorted(dealt.collect(), key=str) == sorted(long.collect(), key=str)
+    # no exchange but the two of explicit size makes the cells
+    cells = pivot(stored, *asked, agg=agg, margins=False, ordered=False)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 2
