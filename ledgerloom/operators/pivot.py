@@ -164,6 +164,22 @@ def _cells_long(ledger, rows, cols, value, parts, tasks) -> DataFrame:
     return whole.agg(*(_FROM_PARTS[p](f"_{p}").cast(plain.schema[f"_{p}"].dataType).alias(f"_{p}") for p in parts))
 
 
+def _with_totals(cells, rows, cols, parts) -> DataFrame:
+    """Cells of ``_cells_long`` and their totals, like grouping sets of them. Cells are whole,
+    so that only totals are made, those of a row where its cells are."""
+
+    def totals(of: list[str]) -> DataFrame:
+        whole = cells.groupBy(*of).agg(*(_FROM_PARTS[p](f"_{p}").alias(f"_{p}") for p in parts))
+        fields = [F.col(c) if c in of else F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in [*rows, *cols]]
+        flags = [F.lit(bool(f) and not set(f) <= set(of)).alias(n) for n, f in (("is_row_total", rows), ("is_column_total", cols))]
+        return whole.select(*fields, *(f"_{p}" for p in parts), *flags).filter(F.col(f"_{parts[0]}").isNotNull())
+
+    every = totals(rows).union(totals(cols)).union(totals([]))
+    shown = [F.col(f"_{p}").cast(every.schema[f"_{p}"].dataType) for p in parts]
+    plain = cells.select(*rows, *cols, *shown, F.lit(False), F.lit(False)).toDF(*every.columns)
+    return plain.filter(F.col(f"_{parts[0]}").isNotNull()).union(every)
+
+
 def _across(part: str, keys: int, scale: int) -> str:
     """Combine one part over all columns of a row."""
     cells = ", ".join(f"c{i}_{part}" for i in range(keys))
@@ -289,8 +305,11 @@ def pivot_long(
     rows, cols = list(rows), list(cols)
     check_fields(rows, cols, value, agg)
     parts = _PARTS[agg]
-    cells = _cells_long(ledger, rows, cols, value, parts, _tasks(ledger, rows))
-    if margins:
+    tasks = _tasks(ledger, rows)
+    cells = _cells_long(ledger, rows, cols, value, parts, tasks)
+    if margins and cols and tasks > 1:
+        table = _with_totals(cells, rows, cols, parts)
+    elif margins:
         some = [[*rows, *cols], *([rows] if cols else []), *([cols] if rows else []), *([[]] if rows and cols else [])]
         combined = cells.groupingSets([[F.col(c) for c in s] for s in some], *rows, *cols)
         flags = {"is_row_total": rows, "is_column_total": cols}
