@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,43 @@ from ledgerloom.sources.rollup import read_rollup, write_rollup
 
 PARTITIONS = ["year", "month"]
 PERIODS = "_periods"  # readers of the ledger skip names that begin so
+_BETWEEN, _MARK, _NULL = "\x01", "\x02", "\x02n"  # of texts put together
 _NO_TEXT = [T.StructField(c, T.StringType()) for c in LEDGER_SCHEMA.names]
 
 
+def _packed(text: Column) -> Column:
+    """A text without ``_BETWEEN``, from which ``_unpacked`` makes the same text or NULL."""
+    marked = F.replace(text, F.lit(_MARK), F.lit(f"{_MARK}b"))
+    return F.coalesce(F.replace(marked, F.lit(_BETWEEN), F.lit(f"{_MARK}a")), F.lit(_NULL))
+
+
+def _unpacked(text: Column) -> Column:
+    marked = F.replace(text, F.lit(f"{_MARK}a"), F.lit(_BETWEEN))
+    return F.when(text != _NULL, F.replace(marked, F.lit(f"{_MARK}b"), F.lit(_MARK)))
+
+
+def by_month(ledger: DataFrame) -> DataFrame:
+    """The same rows, those of a month gathered in few tasks.
+
+    All texts of a row are shuffled as one: each by itself would bring a place, a length
+    and padding, which are a quarter of what is shuffled.
+    """
+    names, types = ledger.columns, [f.dataType for f in ledger.schema.fields]
+    texts = [i for i, kind in enumerate(types) if kind == T.StringType()]
+    if not texts:
+        return ledger.hint("rebalance", *PARTITIONS)
+    months = [f"c{names.index(c)}" for c in PARTITIONS]
+    rows = ledger.toDF(*(f"c{i}" for i in range(len(names))))
+    rest = [c for i, c in enumerate(rows.columns) if i not in texts]
+    together = F.concat_ws(_BETWEEN, *(_packed(F.col(f"c{i}")) for i in texts)).alias("texts")
+    gathered = rows.select(*rest, together).hint("rebalance", *months)
+    # A split takes texts that aren't UTF-8 for others.
+    slow = (F.substring_index(F.substring_index("texts", _BETWEEN, k + 1), _BETWEEN, -1) for k in range(len(texts)))
+    parts = F.when(F.is_valid_utf8("texts"), F.split("texts", _BETWEEN, -1)).otherwise(F.array(*slow))
+    made = {i: _unpacked(parts[k]) for k, i in enumerate(texts)}
+    return gathered.select(*(made.get(i, F.col(f"c{i}")).alias(name) for i, name in enumerate(names)))
+
+
 def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0, rollup: bool = False) -> None:
     """Store a ledger.
 
@@ -31,7 +65,7 @@ def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0, rollup: b
     spark = ledger.sparkSession
     keys = [c for c in ("rejected", *PARTITIONS) if c in ledger.columns]
     (
-        ledger.hint("rebalance", *PARTITIONS)
+        by_month(ledger)
         .write.partitionBy(*keys)
         .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.schema import LEDGER_SCHEMA
 from ledgerloom.sources import order_tables
 from ledgerloom.sources.folders import new_folder
+from ledgerloom.sources.rollup import write_rollup
 from ledgerloom.sources.store import read_ledger, write_ledger
 
 _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
@@ -44,15 +45,24 @@ def once(spark: SparkSession, folder: str, name: str, build: Callable[[], T]) ->
     return _built[key]
 
 
-def ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """The ledger of a folder of order tables, stored on first use."""
-    return once(spark, folder, "ledger", lambda: _store(spark, folder))
+def ledger(spark: SparkSession, folder: str, rollup: bool = True) -> DataFrame:
+    """The ledger of a folder of order tables, stored on first use. Its roll-up, which
+    takes three scans, is stored on the first use that doesn't leave it out."""
+    path = once(spark, folder, "ledger path", lambda: _store(spark, folder))
+    if not rollup:
+        return once(spark, folder, "ledger rows", lambda: read_ledger(spark, path, LEDGER_SCHEMA.names))
+    return once(spark, folder, "ledger", lambda: _with_rollup(spark, path))
 
 
-def _store(spark: SparkSession, folder: str) -> DataFrame:
+def _store(spark: SparkSession, folder: str) -> str:
     path = new_folder(spark, "properties")
     order_tables.properties(spark, folder).write.parquet(path)
     properties = spark.read.parquet(path)
     path = new_folder(spark, "ledger")
-    write_ledger(order_tables.postings(spark, folder, properties), path, rollup=True)
+    write_ledger(order_tables.postings(spark, folder, properties), path)
+    return path
+
+
+def _with_rollup(spark: SparkSession, path: str) -> DataFrame:
+    write_rollup(read_ledger(spark, path), path)
     return read_ledger(spark, path, LEDGER_SCHEMA.names)

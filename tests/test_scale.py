@@ -303,3 +303,34 @@ def test_positions_are_sort_keys_of_rows_from_files_only(stored):
     shuffled = stored.repartition(3)
     assert "_position" not in plan(ranking.largest_first(shuffled))
     assert ranking.largest_first(shuffled).count() == stored.count()
+
+
+def test_texts_are_shuffled_by_month_as_one_and_come_back(spark, toy):
+    odd = ["", "a", "\x01", "\x02", "\x02n", "\x02a\x01b", "\x02\x02", None, "单元 1"]
+    given = [(y, t, odd[-i], None, t, None) for i, t in enumerate(odd) for y in (2020, None)]
+    names = ["year", "shop", "a`b.c", "month", "Shop 2", "note"]
+    rows = spark.createDataFrame(given, "y int, a string, b string, m int, c string, d string").toDF(*names)
+    bytes_of = F.when(F.col("shop") == "a", F.unhex(F.lit("ff80"))).cast("string")  # no UTF-8
+    rows = rows.withColumn("note", bytes_of)
+
+    def told(df):
+        return sorted(str(tuple(r)) for r in df.select(*(F.hex(F.col(f"`{c.replace('`', '``')}`").cast("binary")) if t == "string" else F.col(c) for c, t in df.dtypes)).collect())
+
+    back = store.by_month(rows)
+    assert back.columns == names and told(back) == told(rows)
+    plan = store.by_month(toy)._jdf.queryExecution().optimizedPlan()
+    while "RebalancePartitions" not in plan.nodeName():
+        plan = plan.children().head()
+    shuffled = [f.dataType().simpleString() for f in (plan.schema().apply(i) for i in range(plan.schema().length()))]
+    assert shuffled.count("string") == 1, shuffled
+
+
+def test_rows_alone_take_no_rollup(spark, tmp_path, monkeypatch):
+    made, write = [], workspace.write_rollup
+    monkeypatch.setattr(workspace, "write_rollup", lambda ledger, path: made.append(path) or write(ledger, path))
+    for name in ("lineitem", "orders", "customer", "nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(50).write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = workspace.ledger(spark, str(tmp_path), rollup=False)
+    assert not made and rows.ledger_rollup is None
+    whole = workspace.ledger(spark, str(tmp_path))
+    assert len(made) == 1 and whole.ledger_rollup is not None and whole.inputFiles() == rows.inputFiles()
