@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components, merged
-from ledgerloom.llm.tables import by_place, documents, place, slices, stored
+from ledgerloom.llm.tables import by_place, documents, place, slices, small_batches, stored
 from ledgerloom.llm.words import U, blank_separated, shingles, words
 
 TREES, DEPTH = 16, 8
@@ -272,6 +272,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     row without doc_id has no component, no links, and is kept. Rows with the same
     doc_id are one document to the links. Repeated rows are copies of each other.
     """
+    small_batches(docs.sparkSession)
     texts = documents(docs)
     features = stored(texts.mapInArrow(_features(size), _FEATURES), "signatures")
     named = features.where("set_hash IS NOT NULL AND doc_id IS NOT NULL")

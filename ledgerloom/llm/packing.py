@@ -70,13 +70,14 @@ def best_fit(lengths: Sequence[int], capacities: Sequence[int], overhead: int) -
     ]
 
 
-def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, n_tokens): ids of the whole text by a tokenizer's file, and an end id."""
+def token_lengths(docs: DataFrame, tokenizer: str, most_words: int | None = None) -> DataFrame:
+    """(doc_id, n_tokens): ids of the whole text by a tokenizer's file, and an end id.
+    Fewer ``most_words``, which a Python process remembers, take less memory and more time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
-                sizes = encoder(tokenizer).sizes(rows.column("text").to_pylist())
+                sizes = encoder(tokenizer, most_words).sizes(rows.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(sizes + 1)], names=["doc_id", "n_tokens"]
                 )

@@ -76,10 +76,11 @@ class Encoder:
     Words between blanks are looked up by 64-bit hashes and compared before ids are used
     again: texts in which two words share a hash are merged as a whole. ``hashes`` is sorted;
     its word i is spelled by ``length[i]`` code points of ``letters`` from ``first[i]`` on, its
-    ids are ``size[i]`` numbers of ``pool`` from ``start[i]`` on.
+    ids are ``size[i]`` numbers of ``pool`` from ``start[i]`` on. At most ``most`` words stay, HELD_WORDS if None.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
+        self.most = most
         self.tokenizer = _tokenizer(path)
         self.by_word = _by_word(path)
         self.hashes = np.zeros(0, dtype=np.uint64)
@@ -175,7 +176,7 @@ class Encoder:
         flat = np.zeros(0, dtype=np.uint32)
         if not count_only:
             flat = self.pool[_spread(self.start[at], sizes)]
-        if len(self.hashes) > HELD_WORDS:  # the words met first stay
+        if len(self.hashes) > (HELD_WORDS if self.most is None else self.most):  # the words met first stay
             self.hashes, self.first, self.length, self.letters, self.start, self.size, self.pool = held
         return flat, np.diff(ends[found.first])
 
@@ -203,9 +204,10 @@ def _spread(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """One for each Python process, so that tasks share the words seen."""
-    return Encoder(path)
+def encoder(path: str, most: int | None = None) -> Encoder:
+    """One for each Python process, so that tasks share the words seen: ``most`` of them,
+    HELD_WORDS if None."""
+    return Encoder(path, most)
 
 
 def _encode(path: str):

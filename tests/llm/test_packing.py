@@ -88,3 +88,13 @@ def test_awkward_rows(spark):
     df = spark.createDataFrame(odd, "doc_id long, n_tokens long")
     whole(packing.pack(df, (4, 8)).collect(), [(i, n or 0) for i, n in odd], (4, 8))
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_few_words_remembered_give_the_same_lengths(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = given(spark, "documents")
+    expected = sorted(packing.token_lengths(docs, path).collect())
+    assert sorted(packing.token_lengths(docs, path, 50).collect()) == expected
+    held = packing.encoder(path, 50)
+    held.sizes([r["text"] for r in docs.where("text IS NOT NULL").limit(20).collect()])
+    assert len(held.hashes) <= 50 and held is not packing.encoder(path)

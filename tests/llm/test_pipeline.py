@@ -1,5 +1,8 @@
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline
-from ledgerloom.llm import queries
+from ledgerloom.llm import near_dedup, queries
 from tests.llm.frames import awkward, given
 from tests.llm.pii_reference import base_spans
 from tests.llm.test_near_dedup import brute
@@ -58,6 +61,39 @@ def test_awkward_and_empty_documents(spark):
         docs.count()
 
 
+def largest_batch(df):
+    """MB of the largest batch that a Python process gets of the table at once."""
+
+    def run(batches):
+        yield from (pa.RecordBatch.from_pydict({"mb": [b.nbytes / 1e6]}) for b in batches)
+
+    return max(r["mb"] for r in df.mapInArrow(run, "mb double").collect())
+
+
+@pytest.mark.parametrize("step", [*(f for _, f in corpus_pipeline.STAGES), lambda s, d, _: near_dedup.near_duplicates(d)])
+def test_long_texts_reach_python_a_few_mb_at_a_time(spark, tmp_path, step):
+    session = spark.newSession()
+    long = session.range(300).selectExpr(
+        "id AS doc_id", "concat(id, repeat(' the and of', 4000)) AS text", "'en' AS lang", "'s' AS source", "44003L AS n_chars"
+    )
+    long.coalesce(1).write.parquet(str(tmp_path / "long"))
+    docs = session.read.parquet(str(tmp_path / "long"))
+    assert largest_batch(docs) > 10
+    session.range(1).selectExpr("id AS doc_id", "'a b' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars").write.parquet(
+        str(tmp_path / "one")
+    )
+    step(session, session.read.parquet(str(tmp_path / "one")), FOLDER)
+    assert largest_batch(docs) < 3
+    assert docs.count() == 300
+
+
+def test_batches_that_a_session_has_set_stay(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    corpus_pipeline.drop_near_copies(session, session.createDataFrame([(1, "a b")], "doc_id long, text string"), FOLDER)
+    assert session.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+
+
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
     assert numbers == list(range(1, 14))
