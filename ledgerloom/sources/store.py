@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ledgerloom.operators.filters import with_periods, with_rollup
 from ledgerloom.schema import AMOUNT_TYPE, LEDGER_SCHEMA
 from ledgerloom.sources.csv_files import ledger_columns, parse, quality, read_csv, rejects, rounded
+from ledgerloom.sources.folders import short_shuffles
 from ledgerloom.sources.rollup import read_rollup, write_rollup
 
 PARTITIONS = ["year", "month"]
@@ -58,18 +59,20 @@ def write_ledger(ledger: DataFrame, path: str, rows_per_file: int = 0, rollup: b
     Spark splits a month that is too big for one task (however large its part of
     the rows) and joins small ones, towards
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` per file. ``rows_per_file``
-    limits the rows of a file as well; 0 sets no limit. With ``rollup`` the tables of
+    limits the rows of a file as well; 0 sets no limit. What was shuffled, the rows in full,
+    is deleted when they are written. With ``rollup`` the tables of
     ``sources.rollup`` are stored too: worth its three scans where reports are asked for
     more than a few times.
     """
     spark = ledger.sparkSession
     keys = [c for c in ("rejected", *PARTITIONS) if c in ledger.columns]
-    (
-        by_month(ledger)
-        .write.partitionBy(*keys)
-        .option("maxRecordsPerFile", rows_per_file)
-        .parquet(path)
-    )
+    with short_shuffles(spark):
+        (
+            by_month(ledger)
+            .write.partitionBy(*keys)
+            .option("maxRecordsPerFile", rows_per_file)
+            .parquet(path)
+        )
     _count_periods(spark, path).coalesce(1).write.parquet(f"{path}/{PERIODS}")
     if rollup:
         write_rollup(read_ledger(spark, path), path)

@@ -1,6 +1,9 @@
 """What has to hold when the ledger is large: plan shapes, skew, hot groups."""
 
+import datetime
+import time
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ledgerloom.operators import filters, ranking
 from ledgerloom.operators.pivot import pivot
-from ledgerloom.plans import monthly, overview, properties, structure
+from ledgerloom.plans import monthly, overview, pivot_export, properties, structure
+from ledgerloom.schema import LEDGER_SCHEMA
 from ledgerloom.sources import folders, order_tables, store, workspace
 from tests.compare import connect, difference
 from tests.conftest import TOY_ROWS, make_ledger
@@ -334,3 +338,66 @@ def test_rows_alone_take_no_rollup(spark, tmp_path, monkeypatch):
     assert not made and rows.ledger_rollup is None
     whole = workspace.ledger(spark, str(tmp_path))
     assert len(made) == 1 and whole.ledger_rollup is not None and whole.inputFiles() == rows.inputFiles()
+
+
+def test_shuffle_files_go_when_a_ledger_is_written(spark, toy, tmp_path):
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    local = [Path(d.getPath()) for d in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for d in local for f in d.glob("*/shuffle_*.data")}
+
+    set_before, others = spark.conf.get(cleanup, None), shuffled()
+    joined = toy.repartition(3).join(toy.select("property_id").distinct(), "property_id").select(toy.columns)
+    store.write_ledger(joined, str(tmp_path / "ledger"))
+    until = time.time() + 10  # Spark deletes them in the background
+    while (left := shuffled() - others) and time.time() < until:
+        time.sleep(0.1)
+    # Its table of periods is a row per month.
+    assert sum(f.stat().st_size for f in left if f.exists()) < 500, left
+    assert store.read_ledger(spark, str(tmp_path / "ledger")).count() == 9
+    assert spark.conf.get(cleanup, None) == set_before
+
+
+def test_extra_columns_are_in_one_csv_folder_at_a_time(spark, tmp_path, monkeypatch):
+    """What was ingested is deleted before as much is exported; the rest of it stays."""
+    day = datetime.datetime(2020, 2, 3)
+    tables = {
+        "region": ("r_regionkey long, r_name string", [(0, "R"), (1, "S")]),
+        "nation": ("n_nationkey long, n_name string, n_regionkey long", [(0, 'a "b"', 0), (1, "c,d", 1)]),
+        "customer": (
+            "c_custkey long, c_name string, c_nationkey long, c_mktsegment string",
+            [(1, "P1", 0, "H"), (2, "P2", 1, None)],
+        ),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp", [(1, 1, day), (2, 2, day)]),
+        "lineitem": (
+            "l_orderkey long, l_linenumber int, l_extendedprice double, l_returnflag string, "
+            "l_linestatus string, l_shipdate timestamp",
+            [(1, 1, 10.0, "R", "F", day), (1, 1, 10.0, "R", "F", day), (2, 7, 2.5, "A", "O", day), (2, 1, 2.5, "A", "O", None)],
+        ),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    def made():
+        return set(Path(folders.shared_folder(spark)).glob("ledgerloom-*/extra*"))
+
+    before, at_export, export = made(), [], pivot_export.export_rows
+    monkeypatch.setattr(pivot_export, "export_rows", lambda rows, path: at_export.extend(made() - before) or export(rows, path))
+    found = entry.ledger_queries()["csv_extra_columns"](spark, str(tmp_path))
+    assert [p.name.rpartition("-")[0] for p in at_export] == ["extra"]
+    assert sorted(p.name.rpartition("-")[0] for p in made() - before) == ["extra", "extra-rows"]
+    p1 = ("P1", "H", "2020-02-03", "2020-02-03", "R", 'a "b"', "R-F", 2020, 2, -10.0, "2020-02-01")
+    p2 = ("P2", "", "2020-02-03", "2020-02-03", "S", "c,d", "A-O", 2020, 2, -2.5, "2020-02-01")
+    extra = {"P1": ('a "b"', "R", "R-F", "2", "R"), "P2": ("c,d", "S", "A-O", "2", "S")}
+    assert found.columns[-5:] == ["note.1", "a`b", "x y", "Year_2", "SHOP_2"]
+    order = [found.columns.index(c) for c in [*LEDGER_SCHEMA.names, *found.columns[-5:]]]
+    assert sorted(tuple(r[i] for i in order) for r in found.collect()) == [p1 + extra["P1"]] * 2 + [p2 + extra["P2"]]
+
+
+def test_folders_of_others_are_not_dropped(spark, tmp_path):
+    for path in (str(tmp_path), folders.shared_folder(spark)):
+        with pytest.raises(ValueError, match="not a folder"):
+            folders.drop_folder(spark, path)
+    assert tmp_path.exists()
